@@ -10,12 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 from courtframes.llm.common import table
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtframes.llm import simhash
+
+    return simhash.components(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtframes.llm import bpe
 
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtframes.llm import embedding
+
+    return embedding.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtframes.llm import packing
 
