@@ -16,6 +16,13 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtframes.llm import quality_rules
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.judge(docs, table(spark, sf_dir, "labels")).drop("text", "anomaly")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtframes.llm import bpe
 
