@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from courtframes.llm.common import table
 
@@ -23,6 +24,18 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, table(spark, sf_dir, "labels")).drop("text", "anomaly")
 
 
+def _held_out(modulus: int, rest: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus)) == rest
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtframes.llm import langid
+
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", _held_out(4, 2))
+    found = langid.predict(docs, langid.fit(docs.filter("not held_out")))
+    return found.select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtframes.llm import bpe
 
