@@ -165,3 +165,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: int, allowed=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text, label) of at most `rows` labelled documents, first by a hash of the id.
+
+    `allowed` is a condition on id_col.  The picked ids are bounded by `rows`, so they are broadcast.
+    Repeated labels of one id count once, with the largest; null ids and labels are left out.
+    """
+    picked = labels.select(F.col(id_col), F.col(label_col).cast("int").alias("label")).filter(F.col(id_col).isNotNull() & F.col("label").isNotNull())
+    if allowed is not None:
+        picked = picked.filter(allowed)
+    picked = picked.groupBy(id_col).agg(F.max("label").alias("label")).orderBy(F.xxhash64(id_col), id_col).limit(rows)
+    found = docs.select(F.col(id_col), F.col(text_col)).join(F.broadcast(picked), id_col)
+    return found.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), "label")

@@ -11,12 +11,24 @@ from pyspark.sql import functions as F
 from courtframes.llm.common import table
 
 
+def _held_out(modulus: int, rest: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus)) == rest
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtframes.llm import simhash
 
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtframes.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), allowed=~_held_out(4, 2))
+    return toxicity.predict(docs, model).select("doc_id", _held_out(4, 2).alias("held_out"), "score", "predicted")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtframes.llm import quality_rules
 
@@ -24,10 +36,6 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, table(spark, sf_dir, "labels")).drop("text", "anomaly")
 
 
-def _held_out(modulus: int, rest: int) -> Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus)) == rest
-
-
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtframes.llm import langid
 
@@ -48,6 +56,14 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op9_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtframes.llm import quality_crf
+
+    docs = table(spark, sf_dir, "documents")
+    model = quality_crf.fit(docs, table(spark, sf_dir, "labels"), allowed=~_held_out(5, 0))
+    return quality_crf.predict(docs, model).select("doc_id", _held_out(5, 0).alias("held_out"), "score", "predicted")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtframes.llm import packing
 
