@@ -36,6 +36,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, table(spark, sf_dir, "labels")).drop("text", "anomaly")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtframes.llm import line_dedup
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtframes.llm import langid
 
@@ -75,4 +82,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from courtframes.llm import line_dedup
+
+    return {"op5_line_dedup": line_dedup.oracle()}
