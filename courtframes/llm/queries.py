@@ -15,6 +15,12 @@ def _held_out(modulus: int, rest: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus)) == rest
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtframes.llm import substring
+
+    return substring.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtframes.llm import simhash
 
