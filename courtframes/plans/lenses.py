@@ -18,11 +18,11 @@ FRAMES = """
 select f.game_id, f.period, f.unix_ms, f.game_clock_cs, case when f.k % 7 = 0 then null else f.shot_clock_cs end as shot_clock_cs, f.k,
        case when p.i = 0 then -1 when p.i <= 5 then 100 else 200 end as team_id,
        case when p.i = 0 then -1 else 1000 + p.i end as player_id,
-       abs(((30 + 7 * q) * f.k + 997 * q + 131 * f.game_id) % 18800 - 9400) + case when p.i > 0 then 0 when f.k % 40 < 28 then 100 else 700 end as x_cft,
-       abs(((20 + 5 * q) * f.k + 577 * q + 71 * f.game_id) % 10000 - 5000) as y_cft,
+       abs((case when q % 5 = 0 then 3 else 30 + 7 * q end * f.k + 997 * q + 131 * f.game_id) % 18800 - 9400) + case when p.i > 0 then 0 when f.k % 40 < 28 then 100 else 700 end as x_cft,
+       abs((case when q % 5 = 0 then 2 else 20 + 5 * q end * f.k + 577 * q + 71 * f.game_id) % 10000 - 5000) as y_cft,
        case when p.i > 0 then 0 when f.k % 40 < 28 then abs((f.k * 37) % 600 - 300) else 300 + abs((f.k * 53) % 1600 - 800) end as z_cft
 from (select g.game_id, g.k, g.period, 1447287043000 + 40 * g.k + 2000 * cast(floor(g.k / 97) as bigint) as unix_ms,
-             72000 - 4 * (g.j - case when g.j % 251 < 20 then g.j % 251 else 0 end) + case when g.j % 1009 >= 1000 then 150 else 0 end as game_clock_cs,
+             72000 - 4 * (g.j - case when g.j % 251 between 100 and 119 then g.j % 251 - 100 else 0 end) + case when g.j % 1009 >= 1000 then 150 else 0 end as game_clock_cs,
              2400 - (g.j * 4) % 2400 as shot_clock_cs,
              1 + (cast(floor(g.k / 40) as bigint) * 7 + g.game_id) % 10 as h
       from (select game_id, k, period, cast(row_number() over (partition by game_id, period order by k) as bigint) as j
