@@ -1,8 +1,8 @@
 """Embedding near-duplicates by spherical-cap filters.
 
-Directions form a random product code: after a random rotation the dimensions fall into two blocks
-with `codes` random unit vectors each, and a filter is a pair of them.  A vector is list-decoded to every
-filter in whose cap it lies; caps are so high that a random direction lies in `share` of them.  Codes of
+Directions form random product codes: after each of `turns` random rotations the dimensions fall into two
+blocks with `codes` random unit vectors each, and a filter is a pair of them.  A vector is list-decoded to every
+filter in whose cap it lies; caps are so high that a random direction lies in `share` of a turn's.  Codes of
 one block that cannot reach the cap with the best of the other are left out, the rest are combined.  Vectors meet on filters and label and are
 verified by cosine in double precision.  A pair that shares several filters counts in the least.
 Equal vectors are one vector with a weight, and a large filter is cut into parts by hash.
@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 
 from courtframes.llm.common import connected_components, materialise, union_find
 
-CODES = 256
-SHARE = 3.4e-4
+TURNS, CODES = 10, 128
+SHARE = 2.5e-4
 PART = 1024
+BIN = 20_000
 
 
-@lru_cache(maxsize=8)
+@lru_cache(maxsize=64)
 def product_code(dim: int, codes: int, share: float, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """A rotation, the codes of both blocks (of length sqrt(1/2)) and the height of the caps."""
     rng = np.random.default_rng(seed)
@@ -42,57 +43,54 @@ def product_code(dim: int, codes: int, share: float, seed: int) -> tuple[np.ndar
     return turn, *blocks, least
 
 
-def list_decode(vectors: np.ndarray, codes: int = CODES, share: float = SHARE, seed: int = 7) -> list[np.ndarray]:
-    """Sorted filters of each unit vector: all pairs of codes with summed product of at least the cap."""
-    turn, first, second, least = product_code(vectors.shape[1], codes, share, seed)
-    half = first.shape[1]
-    turned = vectors @ turn
-    a, b = turned[:, :half] @ first.T, turned[:, half:] @ second.T
-    out = []
-    for x, y in zip(a, b):
-        i = np.flatnonzero(x + y.max() >= least)
-        j = np.flatnonzero(y + x.max() >= least)
-        p, q = np.nonzero(x[i, None] + y[None, j] >= least)
-        out.append(i[p] * codes + j[q])
-    return out
+def list_decode(vectors: np.ndarray, turns: int = TURNS, codes: int = CODES, share: float = SHARE, seed: int = 7) -> list[np.ndarray]:
+    """Sorted filters of each unit vector: in each turn all pairs of codes with summed product of at least the cap."""
+    out: list[list[np.ndarray]] = [[] for _ in vectors]
+    for t in range(turns):
+        turn, first, second, least = product_code(vectors.shape[1], codes, share, seed + t)
+        half = first.shape[1]
+        turned = vectors @ turn
+        a, b = turned[:, :half] @ first.T, turned[:, half:] @ second.T
+        for row, x, y in zip(out, a, b):
+            i = np.flatnonzero(x + y.max() >= least)
+            j = np.flatnonzero(y + x.max() >= least)
+            p, q = np.nonzero(x[i, None] + y[None, j] >= least)
+            row.append((t * codes + i[p]) * codes + j[q])
+    return [np.concatenate(row) for row in out]
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def _compare(pdf: pd.DataFrame, threshold: float) -> tuple[pd.DataFrame, pd.DataFrame]:
+def _compare(vectors: np.ndarray, filters: np.ndarray, here: int, side: np.ndarray, weight: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray] | None:
     """Link counts and a spanning forest of two parts of one filter; a pair counts only in its least filter."""
-    here = int(pdf["filter"].iloc[0])
-    unit = _unit(np.array(pdf["vector"].tolist(), np.float64))
-    side = pdf["side"].to_numpy()
+    unit = _unit(np.stack(vectors).astype(np.float64))
     left = np.flatnonzero(side <= 1)  # 0: one part against itself
     right = np.flatnonzero(side != 1)
-    lower = [np.asarray(x)[np.asarray(x) < here] for x in pdf["filters"]]
-    at, name = np.repeat(np.arange(len(lower)), list(map(len, lower))), np.concatenate(lower) if lower else np.zeros(0)
+    close = unit[left] @ unit[right].T >= threshold
+    close &= left[:, None] != right[None, :]
+    i, j = np.nonzero(close)
+    if not len(i):
+        return None
+    root = union_find(len(unit), left[i], right[j])
+    lower = [x[x < here] for x in filters]
+    at, name = np.repeat(np.arange(len(lower)), list(map(len, lower))), np.concatenate(lower)
     _, code, times = np.unique(name, return_inverse=True, return_counts=True)
     shared = times[code] > 1
-    member = np.zeros((len(lower), 0), np.float32)
     if shared.any():
         kept, code = np.unique(code[shared], return_inverse=True)
         member = np.zeros((len(lower), len(kept)), np.float32)
         member[at[shared], code] = 1
-    close = unit[left] @ unit[right].T >= threshold
-    close &= left[:, None] != right[None, :]
-    i, j = np.nonzero(close)
-    i, j = left[i], right[j]
-    root = union_find(len(unit), i, j)
-    if member.shape[1]:
         close &= ~(member[left] @ member[right].T > 0)
-    node, weight = pdf["node"].to_numpy(), pdf["weight"].to_numpy()
     links = np.zeros(len(unit), np.int64)
     links[left] += close @ weight[right]
     if (side == 1).any():
         links[right] += weight[left] @ close
-    return node, links, root
+    return links, root
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", codes: int = CODES, share: float = SHARE, seed: int = 7) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", turns: int = TURNS, codes: int = CODES, share: float = SHARE, seed: int = 7) -> DataFrame:
     """One row per vector: id, n_links, component_id, kept.
 
     Only vectors of the same non-null label are compared.  Vectors that are null, empty, zero or hold null
@@ -116,15 +114,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
                 own = np.stack([flat[ends[r] - dim : ends[r]] for r in rows])
                 own = _unit(own / np.abs(own).max(axis=1, keepdims=True))
                 for at in range(0, len(rows), 2048):
-                    for r, f in zip(rows[at : at + 2048], list_decode(own[at : at + 2048], codes, share, seed)):
+                    for r, f in zip(rows[at : at + 2048], list_decode(own[at : at + 2048], turns, codes, share, seed)):
                         found[r] = f
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["node", "filters"])
 
     coded = nodes.select("node", "vector").mapInArrow(decode, "node long, filters array<int>").join(nodes, "node")
     coded = materialise(coded.withColumn("dim", F.size("vector")), "filters")
     rows = coded.select("node", F.explode("filters").alias("filter"), "label", "dim")
-    sizes = rows.groupBy("filter", "label", "dim").agg(F.count("*").alias("n")).filter("n > 1").select("filter", "label", "dim", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
-    rows = rows.join(sizes, ["filter", "label", "dim"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    sizes = rows.groupBy("filter", "label", "dim").agg(F.count("*").alias("n")).filter("n > 1").select("filter", "label", "dim", "n", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
+    sizes = materialise(sizes, "sizes")
+    rows = rows.join(sizes.drop("n"), ["filter", "label", "dim"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     # a part meets itself and every other part of its filter
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     rows = rows.select("node", "filter", "label", "dim", "part", other).select(
@@ -132,14 +131,29 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
         F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
         F.expr("case when part = other then 0 when part < other then 1 else 2 end").alias("side"),
     )
+    # tiles are small, so tasks take bins of them; the number of bins follows the number of rows
+    bins = max(1, (sizes.agg(F.sum(F.col("n") * F.col("parts"))).first()[0] or 0) // BIN)
+    tile = ["filter", "label", "dim", "i", "j"]
+    rows = rows.withColumn("bin", F.pmod(F.xxhash64(*tile), F.lit(bins)))
     tiles = rows.join(coded.select("node", "weight", "vector", "filters"), "node")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        node, links, root = _compare(pdf, threshold)
-        keep = (links > 0) | (root != np.arange(len(node)))
-        return pd.DataFrame({"node": node[keep], "n": links[keep], "root": node[root[keep]]})
-
-    found = tiles.groupBy("filter", "label", "dim", "i", "j").applyInPandas(run, "node long, n long, root long")
+        pdf = pdf.sort_values([*tile, "node"], kind="stable", ignore_index=True)
+        new = (pdf[tile] != pdf[tile].shift()).any(axis=1).to_numpy()
+        edges = np.append(np.flatnonzero(new), len(pdf))
+        node, weight, side, here = (pdf[c].to_numpy() for c in ("node", "weight", "side", "filter"))
+        vector, filters = pdf["vector"].to_numpy(), pdf["filters"].to_numpy()
+        out = []
+        for a, b in zip(edges[:-1], edges[1:]):
+            got = _compare(vector[a:b], filters[a:b], int(here[a]), side[a:b], weight[a:b], threshold)
+            if got is not None:
+                links, root = got
+                keep = (links > 0) | (root != np.arange(b - a))
+                out.append((node[a:b][keep], links[keep], node[a:b][root[keep]]))
+        columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
+        return pd.DataFrame(dict(zip(["node", "n", "root"], columns)))
+
+    found = tiles.groupBy("bin").applyInPandas(run, "node long, n long, root long")
     found = materialise(found, "links")
     linked = connected_components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
