@@ -306,3 +306,63 @@ def screen_score(features: dict[str, Column], weights: dict[str, float], bias: f
     for name, w in weights.items():
         total = total + w * features[name]
     return 1 / (1 + F.exp(-total))
+
+
+def mark_dead_ball(moves: DataFrame, index: DataFrame, wait_ms: int = 1000) -> DataFrame:
+    """Transfers after whose catch (or release, without one) the clock still stands wait_ms later."""
+    clock = index.select(*FRAME, "game_clock_cs")
+    rows = moves.withColumn("unix_ms", F.coalesce("t_catch_ms", "t_release_ms"))
+    rows = kn.asof(rows, clock, PERIOD, "unix_ms", ["game_clock_cs"]).drop("match_unix_ms").withColumnRenamed("game_clock_cs", "__g0")
+    rows = kn.asof(rows.withColumn("unix_ms", F.col("unix_ms") + wait_ms), clock, PERIOD, "unix_ms", ["game_clock_cs"])
+    stands = F.coalesce(F.abs(F.col("game_clock_cs") - F.col("__g0")) < 1, F.lit(False))
+    return rows.select(*moves.columns, stands.alias("dead_ball"))
+
+
+def mark_after_made(moves: DataFrame, made: DataFrame, holders: DataFrame, most_ms: int = 10_000) -> DataFrame:
+    """Transfers by the scoring team from a made basket until the other team first holds the ball.
+
+    moves and made carry team_id, made its time t_ms, holders one row per held frame with its team_id.
+    """
+    teams = holders.select("game_id", "team_id").distinct()
+    rival = made.join(teams.withColumnRenamed("team_id", "__rival"), "game_id").filter("team_id <> __rival")
+    rival = rival.select("game_id", "period", F.col("__rival").alias("team_id"), F.col("team_id").alias("scorer"), F.col("t_ms").alias("t0"), (F.col("t_ms") + 1).alias("unix_ms"))
+    taken = kn.asof(rival, holders.select(*FRAME, "team_id").distinct().withColumn("__held", F.lit(True)), [*PERIOD, "team_id"], "unix_ms", ["__held"], forward=True)
+    spans = taken.groupBy(*PERIOD, "scorer", "t0").agg(F.least(F.min("match_unix_ms"), F.col("t0") + most_ms).alias("__end"))
+    spans = spans.select(*PERIOD, F.col("scorer").alias("team_id"), "t0", "__end")
+    keys = [*PERIOD, "team_id", "t_release_ms"]
+    hit = kn.range_join(moves.select(*keys).distinct(), spans, [*PERIOD, "team_id"], "t_release_ms", "t0", "__end", most_ms, closed=False).select(*keys).distinct()
+    return moves.join(hit.withColumn("__hit", F.lit(True)), keys, "left").select(*moves.columns, F.coalesce("__hit", F.lit(False)).alias("after_made_fg"))
+
+
+def mark_is_shot(moves: DataFrame, shots: DataFrame, within_ms: int = 200) -> DataFrame:
+    """Transfers whose giver shoots (player_id, t_ms) within the given time of the release."""
+    near = shots.select("game_id", "period", F.col("player_id").alias("giver"), F.col("t_ms").alias("__t")).distinct()
+    near = near.withColumn("__lo", F.col("__t") - within_ms).withColumn("__hi", F.col("__t") + within_ms)
+    keys = [*PERIOD, "giver", "t_release_ms"]
+    hit = kn.range_join(moves.select(*keys).distinct(), near, [*PERIOD, "giver"], "t_release_ms", "__lo", "__hi", 4 * within_ms).select(*keys).distinct()
+    return moves.join(hit.withColumn("__hit", F.lit(True)), keys, "left").select(*moves.columns, F.coalesce("__hit", F.lit(False)).alias("is_shot"))
+
+
+def half_runs(places: DataFrame, min_ms: int = 400) -> DataFrame:
+    """Runs of front and back court of the ball in a period (front: boolean column); short ones join the run before."""
+    table = kn.runs(places, PERIOD, "unix_ms", ["front"])
+    return kn.merge_runs(table, PERIOD, "front", min_ms)
+
+
+def group_screens(found: DataFrame, width_ms: int = 1000) -> DataFrame:
+    """Screens of one screener and defender within width_ms of a group's first share dup_start, those of one
+    screener share group_start."""
+    one = kn.anchored_groups(found, ["game_id", "period", "s", "d"], "t_start_ms", width_ms, "dup_start")
+    return kn.anchored_groups(one, ["game_id", "period", "s"], "t_start_ms", width_ms, "group_start")
+
+
+def stop_causes(stops: DataFrame, rows: DataFrame, within_ms: int = 2000) -> DataFrame:
+    """Each stop with the first in rank of the play-by-play rows (t_ms, msg_type) near its onset."""
+    # Rank of causes.
+    ranks = {6: "foul", 7: "violation", 5: "turnover", 10: "jump_ball", 9: "timeout", 18: "replay", 11: "ejection"}
+    order = F.create_map(*[F.lit(x) for i, k in enumerate(ranks) for x in (k, i)])
+    names = F.array(*[F.lit(n) for n in ranks.values()])
+    spans = stops.select(*PERIOD, "t_onset_ms", (F.col("t_onset_ms") - within_ms).alias("__lo"), (F.col("t_onset_ms") + within_ms).alias("__hi"))
+    known = rows.filter(F.col("msg_type").isin(list(ranks))).select(*PERIOD, "t_ms", order[F.col("msg_type")].alias("__rank"))
+    best = kn.range_join(known, spans, PERIOD, "t_ms", "__lo", "__hi", 2 * within_ms).groupBy(*PERIOD, "t_onset_ms").agg(F.min("__rank").alias("__rank"))
+    return stops.join(best, [*PERIOD, "t_onset_ms"], "left").select(*stops.columns, F.coalesce(F.get(names, F.col("__rank")), F.lit("unknown")).alias("cause"))

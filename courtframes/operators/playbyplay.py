@@ -278,3 +278,58 @@ def splits(games: DataFrame, train: float = 0.8, val: float = 0.1, folds: int =
 
 def is_terminal(msg_type: Column) -> Column:
     return msg_type.isin(MADE, MISSED, TURNOVER, FOUL, VIOLATION, TIMEOUT, END)
+
+
+def free_throw_links(pbp: DataFrame) -> DataFrame:
+    """Free throws with the foul each comes from.
+
+    The first of a trip takes the latest foul of the other team at its clock that no trip has used
+    (technical free throws take technical fouls, which serve again); later ones of the shooter keep the trip's.
+    Which fouls are used depends on the rows before, so a game's fouls and free throws are read in order.
+    """
+    ft = free_throw(F.col("description"))
+    rows = order_pbp(pbp).filter(F.col("msg_type").isin(FOUL, FREE_THROW) & ((F.col("msg_type") == FOUL) | F.col("p1_team_id").isNotNull()))
+    technical = F.when(F.col("msg_type") == FOUL, rules.foul_detail(F.col("action_type")).contains("technical")).otherwise(ft["kind"] == "technical")
+    rows = rows.select("game_id", "pos", "event_num", "period", "pctime_sec", "msg_type", F.col("p1_team_id").alias("team"), F.col("p1_id").alias("player"), technical.alias("technical"), ft["n"].alias("n"), ft["of"].alias("of"), ft["kind"].alias("kind"), ft["made"].alias("made"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        open_fouls: dict[tuple, list] = {}
+        trips: dict[tuple, int] = {}
+        out = []
+        for r in pdf.sort_values("pos").itertuples(index=False):
+            place = (r.period, r.pctime_sec, r.technical)
+            if r.msg_type == FOUL:
+                open_fouls.setdefault(place, []).append((r.event_num, r.team))
+                continue
+            link = trips.get((r.player, r.technical)) if not pd.isna(r.n) and r.n > 1 else None
+            if link is None:
+                here = open_fouls.get(place, [])
+                fits = [k for k, (_, team) in enumerate(here) if team != r.team and (r.technical or not pd.isna(team))]
+                if fits:
+                    link = here[fits[-1]][0]
+                    if not r.technical:
+                        here.pop(fits[-1])
+            if link is not None:
+                trips[r.player, r.technical] = link
+            out.append((r.game_id, r.event_num, r.period, r.pctime_sec, r.team, r.player, r.n, r.of, r.kind or "regular", r.made, link))
+        return pd.DataFrame(out, columns=names).astype({"n": "Int64", "of": "Int64", "foul_event_num": "Int64"})
+
+    kinds = dict(pbp.dtypes)
+    schema = f"game_id {kinds['game_id']}, event_num long, period long, pctime_sec {kinds['pctime_sec']}, team_id long, player_id long, n long, of long, kind string, made boolean, foul_event_num long"
+    names = [c.split()[0] for c in schema.split(", ")]
+    return rows.groupBy("game_id").applyInPandas(run, schema)
+
+
+def event_possession(events: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Events (game_id, t_ms, ...) with the possession that began last, without a check of its end."""
+    starts = ledger.filter("t_start_ms is not null").select("game_id", F.col("t_start_ms").alias("t_ms"), "poss_seq", "offense_team_id")
+    starts = starts.groupBy("game_id", "t_ms").agg(F.max(F.struct("poss_seq", "offense_team_id")).alias("p")).select("game_id", "t_ms", "p.*")
+    return asof(events, starts, ["game_id"], "t_ms", ["poss_seq", "offense_team_id"]).drop("match_t_ms")
+
+
+def offense_at(frames: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Team in possession at each frame (game_id, period, t_ms), null between possessions."""
+    spans = ledger.filter("t_start_ms is not null").select("game_id", "period", F.col("t_start_ms").alias("t_ms"), "t_end_ms", "offense_team_id")
+    spans = spans.groupBy("game_id", "period", "t_ms").agg(F.max(F.struct("t_end_ms", "offense_team_id")).alias("p")).select("game_id", "period", "t_ms", "p.*")
+    found = asof(frames, spans, ["game_id", "period"], "t_ms", ["t_end_ms", "offense_team_id"])
+    return found.select(*frames.columns, F.when(F.col("t_ms") <= F.col("t_end_ms"), F.col("offense_team_id")).alias("offense_team_id"))

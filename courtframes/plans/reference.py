@@ -41,7 +41,7 @@ def with_views(sql: str) -> str:
                 needed.append(name)
 
     add(sql)
-    return ("with " + ", ".join(f"{n} as ({_VIEWS[n]})" for n in needed) + " " if needed else "") + sql
+    return ("with " + ", ".join(f"{n} as materialized ({_VIEWS[n]})" for n in needed) + " " if needed else "") + sql
 
 
 def query(name: str, sql: str | None = None):

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from courtframes.operators import events as ev
-from courtframes.plans.reference import _VIEWS, direction, frames, index, query
+from courtframes.operators import frames as fr
+from courtframes.plans.reference import _VIEWS, direction, frames, index, pbp, query
 
 
 def handlers(spark, d):
@@ -179,3 +180,67 @@ def _(spark, d):
 @query("l2_postups")
 def _(spark, d):
     return ev.postups(frames(spark, d), handlers(spark, d), direction(spark, d), frames=10)
+
+
+_VIEWS["located_v"] = """select game_id, period, event_num, msg_type, p1_id as player_id, p1_team_id as team_id, unix_ms as t_ms from (select r.*, i.unix_ms, row_number() over (partition by r.game_id, r.event_num
+      order by not (game_clock_cs >= r.pctime_sec * 100 and game_clock_cs < r.pctime_sec * 100 + 100), segment_id, abs(2 * (game_clock_cs - r.pctime_sec * 100) - 100), unix_ms) as rn
+      from pbp_v r join index_v i on i.game_id = r.game_id and i.period = r.period and abs(game_clock_cs - r.pctime_sec * 100) <= 100) where rn = 1"""
+_VIEWS["transfer_v"] = """select t.game_id, t.segment_id, t.period, t.giver, t.taker, t.t_release_ms, t.t_catch_ms, case when t.giver <= 1005 then 100 else 200 end as team_id from (
+      select game_id, segment_id, period, handler_id as giver, lead(handler_id) over w as taker, coalesce(mine_last, t_end_ms) as t_release_ms, coalesce(lead(mine_first) over w, lead(t_start_ms) over w) as t_catch_ms
+      from touch_v window w as (partition by game_id, segment_id order by touch)) t where taker is not null and taker <> giver"""
+
+
+def _moves(spark, d):
+    rows = ev.transfers(handlers(spark, d), frames(spark, d))
+    return rows.select("game_id", "segment_id", "period", "giver", "taker", "t_release_ms", "t_catch_ms", F.when(F.col("giver") <= 1005, 100).otherwise(200).alias("team_id"))
+
+
+def _located(spark, d):
+    """Play-by-play rows put on the time axis by their clock."""
+    rows = pbp(spark, d).select("game_id", "period", "event_num", "msg_type", F.col("p1_id").alias("player_id"), F.col("p1_team_id").alias("team_id"), (F.col("pctime_sec") * 100).alias("clock_cs"))
+    return fr.locate_clock(index(spark, d), rows).select("game_id", "period", "event_num", "msg_type", "player_id", "team_id", F.col("unix_ms").alias("t_ms"))
+
+
+@query("l2_dead_ball", """select t.*, coalesce(abs(b.game_clock_cs - a.game_clock_cs) < 1, false) as dead_ball from (select *, coalesce(t_catch_ms, t_release_ms) as t0, coalesce(t_catch_ms, t_release_ms) + 1000 as t1 from transfer_v) t
+    asof left join index_v a on a.game_id = t.game_id and a.period = t.period and t.t0 >= a.unix_ms asof left join index_v b on b.game_id = t.game_id and b.period = t.period and t.t1 >= b.unix_ms""".replace("select t.*,", "select t.* exclude (t0, t1),"))
+def _(spark, d):
+    return ev.mark_dead_ball(_moves(spark, d), index(spark, d))
+
+
+@query(
+    "l2_after_made",
+    """select t.*, exists (select 1 from (select m.game_id, m.period, m.team_id, m.t_ms, least(m.t_ms + 10000, (select min(h.unix_ms) from handler_v h where h.game_id = m.game_id and h.period = m.period and h.unix_ms > m.t_ms and h.handler_id >= 0 and (case when h.handler_id <= 1005 then 100 else 200 end) <> m.team_id)) as t_end
+        from located_v m where m.msg_type = 1) s where s.game_id = t.game_id and s.period = t.period and s.team_id = t.team_id and t.t_release_ms >= s.t_ms and t.t_release_ms < s.t_end) as after_made_fg from transfer_v t""",
+)
+def _(spark, d):
+    held = handlers(spark, d).filter("handler_id >= 0").select("game_id", "period", "unix_ms", F.when(F.col("handler_id") <= 1005, 100).otherwise(200).alias("team_id"))
+    return ev.mark_after_made(_moves(spark, d), _located(spark, d).filter("msg_type = 1"), held)
+
+
+@query("l2_pass_is_shot", "select t.*, exists (select 1 from located_v s where s.msg_type in (1, 2) and s.game_id = t.game_id and s.period = t.period and s.player_id = t.giver and abs(s.t_ms - t.t_release_ms) <= 200) as is_shot from transfer_v t")
+def _(spark, d):
+    return ev.mark_is_shot(_moves(spark, d), _located(spark, d).filter("msg_type in (1, 2)"))
+
+
+@query("l2_stop_causes", """select s.*, coalesce(['foul', 'violation', 'turnover', 'jump_ball', 'timeout', 'replay', 'ejection'][(select min(case msg_type when 6 then 1 when 7 then 2 when 5 then 3 when 10 then 4 when 9 then 5 when 18 then 6 when 11 then 7 end) from located_v l
+    where l.game_id = s.game_id and l.period = s.period and l.t_ms between s.t_onset_ms - 2000 and s.t_onset_ms + 2000)], 'unknown') as cause from stop_v s""")
+def _(spark, d):
+    return ev.stop_causes(ev.clock_stops(index(spark, d)), _located(spark, d))
+
+
+@query("p11_half_runs", """
+    select * from (with recursive r as (select game_id, period, run_id, bool_or(front) as front, min(unix_ms) as t0, max(unix_ms) as t1, count(*) as n from (
+        select *, sum(case when p is null or p <> front then 1 else 0 end) over (partition by game_id, period order by unix_ms rows unbounded preceding) as run_id
+        from (select *, lag(front) over (partition by game_id, period order by unix_ms) as p from (select game_id, period, unix_ms, bx < 4700 as front from pball_v))) group by all),
+      walk as (select game_id, period, run_id, cast(1 as bigint) as merged_id, front from r where run_id = 1
+        union all select r.game_id, r.period, r.run_id, cast(w.merged_id + case when r.t1 - r.t0 < 400 or w.front = r.front then 0 else 1 end as bigint), case when r.t1 - r.t0 < 400 or w.front = r.front then w.front else r.front end
+        from walk w join r on r.game_id = w.game_id and r.period = w.period and r.run_id = w.run_id + 1)
+    select w.game_id, w.period, merged_id, bool_or(w.front) as front, min(t0) as t_start, max(t1) as t_end, cast(sum(n) as bigint) as n from walk w join r on r.game_id = w.game_id and r.period = w.period and r.run_id = w.run_id group by w.game_id, w.period, merged_id)""")
+def _(spark, d):
+    ball = frames(spark, d).filter("team_id = -1").select("game_id", "period", "unix_ms", (F.col("x_cft") < 4700).alias("front"))
+    return ev.half_runs(ball)
+
+
+@query("l2_screen_groups")
+def _(spark, d):
+    return ev.group_screens(ev.screens(frames(spark, d), handlers(spark, d)))

@@ -160,3 +160,81 @@ def _(spark, d):
 def _(spark, d):
     games = pbp(spark, d).groupBy("game_id").agg(F.min("event_num").alias("game_date"))
     return pb.splits(games)
+
+
+def _resets(spark, d):
+    """Resets from the frames themselves: every 60th frame of a period, running from a little later."""
+    w = kn.over(["game_id", "period"], ["unix_ms"])
+    rows = index(spark, d).withColumn("i", F.row_number().over(w)).filter("i % 60 = 30")
+    return rows.select("game_id", "period", "unix_ms", (F.col("unix_ms") + (F.col("i") % 7) * 40).alias("t_run_ms"), F.when(F.col("i") % 120 == 30, "full").otherwise("min14").alias("rule"))
+
+
+_VIEWS["reset_v"] = """select game_id, period, unix_ms, unix_ms + (i % 7) * 40 as t_run_ms, case when i % 120 = 30 then 'full' else 'min14' end as rule, n from (select *, row_number() over (partition by game_id, period order by unix_ms) as n
+    from (select *, row_number() over (partition by game_id, period order by unix_ms) as i from index_v) where i % 60 = 30)"""
+_VIEWS["resetclock_v"] = """select r.*, coalesce(a.game_clock_cs, z.last) as gc, coalesce(b.game_clock_cs, z.last) as gc_run, z.t0, z.begin from reset_v r
+    asof left join (select game_id, period, unix_ms, game_clock_cs from index_v) a on a.game_id = r.game_id and a.period = r.period and r.unix_ms <= a.unix_ms
+    asof left join (select game_id, period, unix_ms, game_clock_cs from index_v) b on b.game_id = r.game_id and b.period = r.period and r.t_run_ms <= b.unix_ms
+    join (select game_id, period, arg_max(game_clock_cs, unix_ms) as last, arg_min(game_clock_cs, unix_ms) as begin, min(unix_ms) as t0 from index_v group by all) z on z.game_id = r.game_id and z.period = r.period"""
+
+
+@query(
+    "p21_shot_clock_imputed",
+    """select i.game_id, i.period, i.unix_ms, least(least(greatest(case when i.unix_ms >= s.t_run_ms then s.value - greatest(0, s.gc_run - i.game_clock_cs) else s.value end, 0), 2400), i.game_clock_cs)::bigint as shot_clock_imputed_cs,
+      least(greatest(case when i.unix_ms >= s.t_run_ms then s.value - greatest(0, s.gc_run - i.game_clock_cs) else s.value end, 0), 2400) > i.game_clock_cs as imputed_off
+    from index_v i asof join (
+      with recursive walk as (
+        select game_id, period, cast(0 as bigint) as n, min(unix_ms) as unix_ms, cast(2400 as bigint) as value, min(unix_ms) as t_run_ms, cast(arg_min(game_clock_cs, unix_ms) as bigint) as gc_run from index_v group by game_id, period
+        union all
+        select r.game_id, r.period, r.n, r.unix_ms, case when r.rule = 'full' then 2400 else greatest(1400, least(greatest(case when r.unix_ms >= w.t_run_ms then w.value - greatest(0, w.gc_run - r.gc) else w.value end, 0), 2400)) end, r.t_run_ms, r.gc_run
+        from walk w join resetclock_v r on r.game_id = w.game_id and r.period = w.period and r.n = w.n + 1)
+      select * from walk) s on s.game_id = i.game_id and s.period = i.period and i.unix_ms >= s.unix_ms""",
+)
+def _(spark, d):
+    return sc.imputed(index(spark, d), _resets(spark, d)).withColumn("shot_clock_imputed_cs", F.col("shot_clock_imputed_cs").cast("long"))
+
+
+@query("p15_free_throw_links")
+def _(spark, d):
+    return pb.free_throw_links(pbp(spark, d))
+
+
+def _timed(spark, d):
+    own = pbp(spark, d).filter("msg_type in (1, 2, 5)")
+    return own.select("game_id", "period", F.col("event_num").alias("poss_seq"), F.col("p1_team_id").alias("offense_team_id"), (F.col("event_num") * 1000).alias("t_start_ms"), (F.col("event_num") * 1000 + 900).alias("t_end_ms"))
+
+
+_VIEWS["timed_v"] = "select game_id, period, event_num as poss_seq, p1_team_id as offense_team_id, event_num * 1000 as t_start_ms, event_num * 1000 + 900 as t_end_ms from pbp_v where msg_type in (1, 2, 5)"
+
+
+@query("p23_event_possession", "select e.game_id, e.event_num, e.t_ms, t.poss_seq, t.offense_team_id from (select game_id, event_num, event_num * 1000 + 17 as t_ms from pbp_v where msg_type in (4, 6, 9)) e asof left join timed_v t on t.game_id = e.game_id and e.t_ms >= t.t_start_ms")
+def _(spark, d):
+    events = pbp(spark, d).filter("msg_type in (4, 6, 9)").select("game_id", "event_num", (F.col("event_num") * 1000 + 17).alias("t_ms"))
+    return pb.event_possession(events, _timed(spark, d))
+
+
+@query("p9_offense_at", "select e.game_id, e.period, e.event_num, e.t_ms, case when e.t_ms <= t.t_end_ms then t.offense_team_id end as offense_team_id from (select game_id, period, event_num, event_num * 1000 + 17 as t_ms from pbp_v) e asof left join timed_v t on t.game_id = e.game_id and t.period = e.period and e.t_ms >= t.t_start_ms")
+def _(spark, d):
+    at = pbp(spark, d).select("game_id", "period", "event_num", (F.col("event_num") * 1000 + 17).alias("t_ms"))
+    return pb.offense_at(at, _timed(spark, d))
+
+
+@query("c17_greedy_match")
+def _(spark, d):
+    from courtframes.operators.matching import greedy_match
+
+    s = series(spark, d)
+    old = s.filter("v % 2 = 0").select("key", "event_id", "t_ms")
+    return greedy_match(old, s.filter("v % 2 = 1").select("key", "event_id", "t_ms"), ["key"], "t_ms", "event_id", "event_id", 200)
+
+
+@query("c19_resolution", """select c_custkey, name, c_nationkey, case when g.id is not null then g.id else u.id end as id, case when g.id is not null then 'name_group' when u.id is not null then 'name' else 'none' end as match
+    from (select c_custkey, concat('n', c_custkey % 400) as name, c_nationkey from customer) c
+    left join (select name, c_nationkey, min(id) as id from (select concat('n', c_custkey % 300) as name, (c_nationkey + c_custkey % 2) % 25 as c_nationkey, c_custkey % 350 as id from customer where c_custkey % 3 = 0) group by name, c_nationkey having count(distinct id) = 1) g using (name, c_nationkey)
+    left join (select name, min(id) as id from (select concat('n', c_custkey % 300) as name, c_custkey % 350 as id from customer where c_custkey % 3 = 0) group by name having count(distinct id) = 1) u using (name)""")
+def _(spark, d):
+    from courtframes.operators.matching import resolve
+
+    c = spark.read.parquet(f"{d}/customer.parquet")
+    names = c.select("c_custkey", F.concat(F.lit("n"), F.col("c_custkey") % 400).alias("name"), "c_nationkey")
+    known = c.filter("c_custkey % 3 = 0").select(F.concat(F.lit("n"), F.col("c_custkey") % 300).alias("name"), ((F.col("c_nationkey") + F.col("c_custkey") % 2) % 25).cast("int").alias("c_nationkey"), (F.col("c_custkey") % 350).alias("id"))
+    return resolve(names, known, "name", "c_nationkey", "id").select("c_custkey", "name", "c_nationkey", "id", "match")
