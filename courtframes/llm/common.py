@@ -29,12 +29,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Temporary folders of sessions without a shared one, by application.
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only where it is unset (local tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named in spark.checkpoint.dir, or set as the checkpoint folder; a temporary one only where
+    neither is (local tests)."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = tempfile.mkdtemp(prefix="courtframes-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_DIRS:
+            _OWN_DIRS[app] = tempfile.mkdtemp(prefix="courtframes-")
+        found = _OWN_DIRS[app]
     return found
 
 
