@@ -8,6 +8,7 @@ from courtframes.functions import court, rules
 from courtframes.functions.text import clock_seconds, free_throw, padded_id, person_name
 from courtframes.operators import kernels as kn
 from courtframes.operators import playbyplay as pb
+from courtframes.operators import reports as rp
 from courtframes.operators import shot_clock as sc
 from courtframes.plans.reference import _VIEWS, frames, index, pbp, query, series
 
@@ -238,3 +239,50 @@ def _(spark, d):
     names = c.select("c_custkey", F.concat(F.lit("n"), F.col("c_custkey") % 400).alias("name"), "c_nationkey")
     known = c.filter("c_custkey % 3 = 0").select(F.concat(F.lit("n"), F.col("c_custkey") % 300).alias("name"), ((F.col("c_nationkey") + F.col("c_custkey") % 2) % 25).cast("int").alias("c_nationkey"), (F.col("c_custkey") % 350).alias("id"))
     return resolve(names, known, "name", "c_nationkey", "id").select("c_custkey", "name", "c_nationkey", "id", "match")
+
+
+_VIEWS["box_v"] = """select game_id, p1_team_id, p1_id, count(*) filter (msg_type in (1, 2)) as fga, count(*) filter (msg_type = 1) as fgm, count(*) filter (msg_type = 1 and description like '%3PT%') as fg3m, count(*) filter (msg_type = 3) as fta,
+    count(*) filter (msg_type = 3 and description not like 'MISS%') as ftm, cast(sum(case when msg_type = 1 and description like '%3PT%' then 3 when msg_type = 1 then 2 when msg_type = 3 and description not like 'MISS%' then 1 else 0 end) as bigint) as points,
+    count(*) filter (msg_type = 4) as rebounds, count(*) filter (msg_type = 5) as turnovers from pbp_v where p1_id is not null group by all"""
+
+
+@query("x3_box_counts", "select * from box_v")
+def _(spark, d):
+    return rp.box_counts(pbp(spark, d))
+
+
+@query("x3_score_check", """select coalesce(a.game_id, b.game_id) as game_id, coalesce(a.team_id, b.team_id) as team_id, coalesce(a.points, 0) as official, coalesce(b.points, 0) as counted, coalesce(a.points, 0) = coalesce(b.points, 0) as agrees
+    from (select game_id, p1_team_id as team_id, cast(sum(points) as bigint) as points from box_v where game_id % 4 <> 0 group by all) a full join (select game_id, p1_team_id as team_id, cast(sum(points + case when game_id = 3 then 1 else 0 end) as bigint) as points from box_v where game_id % 5 <> 0 group by all) b on a.game_id = b.game_id and a.team_id = b.team_id""")
+def _(spark, d):
+    box = rp.box_counts(pbp(spark, d)).withColumnRenamed("p1_team_id", "team_id")
+    total = lambda df, extra: df.groupBy("game_id", "team_id").agg(F.sum(F.col("points") + extra).alias("points"))
+    return rp.score_check(total(box.filter("game_id % 4 <> 0"), F.lit(0)), total(box.filter("game_id % 5 <> 0"), F.when(F.col("game_id") == 3, 1).otherwise(0)))
+
+
+@query("x7_distribution", " union all ".join(f"select '{c}' as \"column\", min({c})::double as low, quantile_cont({c}, 0.05)::double as p05, quantile_cont({c}, 0.5)::double as p50, quantile_cont({c}, 0.95)::double as p95, max({c})::double as high from box_v" for c in ("points", "fga", "rebounds")))
+def _(spark, d):
+    return rp.distribution(rp.box_counts(pbp(spark, d)), ["points", "fga", "rebounds"])
+
+
+@query("x2_ordered_links", """select a.game_id, a.p1_id, a.line, b.event_num from (select *, row_number() over (partition by game_id, p1_id order by line) as n from (select game_id, p1_id, event_num * 3 as line from pbp_v where msg_type in (1, 2) and event_num % 9 <> 0)) a
+    join (select *, row_number() over (partition by game_id, p1_id order by event_num) as n from pbp_v where msg_type in (1, 2)) b on a.game_id = b.game_id and a.p1_id = b.p1_id and a.n = b.n""")
+def _(spark, d):
+    own = pbp(spark, d)
+    official = own.filter("msg_type in (1, 2) and event_num % 9 <> 0").select("game_id", "p1_id", (F.col("event_num") * 3).alias("line"))
+    return rp.link_in_order(official, own, ["game_id", "p1_id"]).select("game_id", "p1_id", "line", "event_num")
+
+
+@query("x12_shot_clock_backtest", """select f.game_id, count(*) as n, quantile_cont(abs(i.shot_clock_imputed_cs - f.shot_clock_filled_cs), 0.5)::double as median_error, round(avg((abs(i.shot_clock_imputed_cs - f.shot_clock_filled_cs) <= 100)::int), 6) as within_1, round(avg((abs(i.shot_clock_imputed_cs - f.shot_clock_filled_cs) <= 200)::int), 6) as within_2
+    from filled_v f join (select game_id, period, unix_ms, unix_ms % 2400 as shot_clock_imputed_cs from index_v) i using (game_id, period, unix_ms) where f.fill_method = 'observed' group by f.game_id""")
+def _(spark, d):
+    seen = sc.filled(index(spark, d)).filter("fill_method = 'observed'").withColumn("shot_clock_imputed_cs", F.col("unix_ms") % 2400)
+    out = rp.error_summary(seen, "shot_clock_imputed_cs", "shot_clock_filled_cs", ["game_id"])
+    return out.select("game_id", "n", "median_error", F.round("within_1", 6).alias("within_1"), F.round("within_2", 6).alias("within_2"))
+
+
+@query("x10_penalty_check", "select in_penalty, count(*) as n_fouls, cast(sum(to_ft) as bigint) as n_to_free_throws from (select fouls_before >= 4 or (pctime_sec <= 120 and late_before >= 1) as in_penalty, case when exists (select 1 from pbp_v p where p.msg_type = 3 and p.game_id = f.game_id and p.period = f.period and p.pctime_sec = f.pctime_sec and p.p1_team_id <> f.p1_team_id) then 1 else 0 end as to_ft from foul_v f where is_team) group by 1")
+def _(spark, d):
+    own = pbp(spark, d)
+    shot = own.filter("msg_type = 3").select("game_id", "period", "pctime_sec", F.when(F.col("p1_team_id") == 100, 200).otherwise(100).alias("p1_team_id")).distinct().withColumn("hit", F.lit(1))
+    fouls = pb.foul_states(own).filter("is_team").join(shot, ["game_id", "period", "pctime_sec", "p1_team_id"], "left")
+    return fouls.groupBy("in_penalty").agg(F.count("*").alias("n_fouls"), F.coalesce(F.sum("hit"), F.lit(0)).alias("n_to_free_throws"))
