@@ -366,3 +366,22 @@ def stop_causes(stops: DataFrame, rows: DataFrame, within_ms: int = 2000) -> Dat
     known = rows.filter(F.col("msg_type").isin(list(ranks))).select(*PERIOD, "t_ms", order[F.col("msg_type")].alias("__rank"))
     best = kn.range_join(known, spans, PERIOD, "t_ms", "__lo", "__hi", 2 * within_ms).groupBy(*PERIOD, "t_onset_ms").agg(F.min("__rank").alias("__rank"))
     return stops.join(best, [*PERIOD, "t_onset_ms"], "left").select(*stops.columns, F.coalesce(F.get(names, F.col("__rank")), F.lit("unknown")).alias("cause"))
+
+
+def incomplete_passes(found: DataFrame, handlers: DataFrame) -> DataFrame:
+    """Flights from a handler to nobody in the segment that miss the rim, with the giver's last candidate
+    frame as release; flights of one giver and release count once, the first."""
+    lost = found.filter(F.col("from_id").isNotNull() & F.col("to_id").isNull() & ~F.col("reaches_rim"))
+    lost = lost.select(*SEGMENT, "period", F.col("from_id").alias("giver"), F.col("t_start_ms").alias("unix_ms"), "t_end_ms", "ends_segment")
+    mine = handlers.filter("cand_id >= 0").select(*SEGMENT, F.col("cand_id").alias("giver"), "unix_ms", F.lit(True).alias("__c"))
+    rows = kn.asof(lost, mine, [*SEGMENT, "giver"], "unix_ms", ["__c"]).withColumn("t_release_ms", F.coalesce("match_unix_ms", "unix_ms"))
+    first = F.min_by(F.struct("period", F.col("unix_ms").alias("t_start_ms"), "t_end_ms", "ends_segment"), "unix_ms").alias("f")
+    return rows.groupBy(*SEGMENT, "giver", "t_release_ms").agg(first).select(*SEGMENT, "giver", "t_release_ms", "f.*")
+
+
+def shot_windows(found: DataFrame, held: DataFrame, frames: int = HOLD) -> DataFrame:
+    """From a flight that reaches the rim to the next touch of the segment that lasts `frames`, else its end."""
+    rim = found.filter("reaches_rim").select(*SEGMENT, "period", "t_start_ms", "t_end_ms", (F.col("t_end_ms") + 1).alias("unix_ms"))
+    firm = held.filter(F.col("n_frames") >= frames).select(*SEGMENT, F.col("t_start_ms").alias("unix_ms"), F.lit(True).alias("__h"))
+    rows = kn.asof(rim, firm, SEGMENT, "unix_ms", ["__h"], forward=True)
+    return rows.select(*SEGMENT, "period", F.col("t_start_ms").alias("t_from_ms"), F.coalesce("match_unix_ms", "t_end_ms").alias("t_to_ms"))

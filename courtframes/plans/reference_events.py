@@ -244,3 +244,19 @@ def _(spark, d):
 @query("l2_screen_groups")
 def _(spark, d):
     return ev.group_screens(ev.screens(frames(spark, d), handlers(spark, d)))
+
+
+@query("l2_incomplete_passes", """select game_id, segment_id, giver, t_release_ms, period, t_start_ms, t_end_ms, ends_segment from (select *, row_number() over (partition by game_id, segment_id, giver, t_release_ms order by t_start_ms) as rn from (
+      select f.game_id, f.segment_id, f.period, f.from_id as giver, f.t_start_ms, f.t_end_ms, f.ends_segment, coalesce(h.unix_ms, f.t_start_ms) as t_release_ms
+      from (select * from flight_v where from_id is not null and to_id is null and not reaches_rim) f
+      asof left join (select game_id, segment_id, cand_id, unix_ms from handler_v where cand_id >= 0) h on h.game_id = f.game_id and h.segment_id = f.segment_id and h.cand_id = f.from_id and f.t_start_ms >= h.unix_ms)) where rn = 1""")
+def _(spark, d):
+    held = handlers(spark, d)
+    return ev.incomplete_passes(ev.flights(held, frames(spark, d)), held)
+
+
+@query("l2_shot_windows", """select f.game_id, f.segment_id, f.period, f.t_start_ms as t_from_ms, coalesce(t.t_start_ms, f.t_end_ms) as t_to_ms from (select * from flight_v where reaches_rim) f
+    asof left join (select game_id, segment_id, t_start_ms from touch_v where n_frames >= 10) t on t.game_id = f.game_id and t.segment_id = f.segment_id and f.t_end_ms < t.t_start_ms""")
+def _(spark, d):
+    held = handlers(spark, d)
+    return ev.shot_windows(ev.flights(held, frames(spark, d)), ev.touches(held))
