@@ -26,10 +26,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from courtframes.llm.common import slices
+from courtframes.llm.common import slices, tidy
 
 LEAF = 6
-CACHE = 300_000
+CACHE = 120_000
 NEVER = 1 << 40
 #: White space of the split pattern: the Unicode property, as the library that is matched takes it.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -221,6 +221,7 @@ def encode_documents(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_c
     whole.  Rows stay as many as they are, repeated ones too; other columns are not read.
     """
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, pattern, memory = load(ranks), split_pattern(), _MEMORY.setdefault(ranks, Memory())
         for batch in batches:

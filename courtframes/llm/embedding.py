@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtframes.llm.common import connected_components, materialise, union_find
+from courtframes.llm.common import connected_components, materialise, tidy, union_find
 
 TURNS, CODES = 10, 128
 SHARE = 2.5e-4
@@ -103,6 +103,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     nodes = marked.filter("content is not null").groupBy("content").agg(F.min("id").alias("node"), F.count("*").alias("weight"))
     nodes = materialise(nodes.select("node", "weight", "content.label", "content.vector"), "nodes")
 
+    @tidy
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(1)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtframes.llm.common import slices
+from courtframes.llm.common import slices, tidy
 
 FIT_DOCS = 150
 FIT_CHARS = 40_000
@@ -192,6 +192,7 @@ def predict(docs: DataFrame, model: CrossParser, id_col: str = "doc_id", text_co
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = shared.value
         for batch in batches:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from courtframes.llm.bpe import Memory, gather, span_array
-from courtframes.llm.common import _LOWER, slices
+from courtframes.llm.common import _LOWER, slices, tidy
 
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
 GROUP_PIECES = 2048
@@ -62,6 +62,7 @@ def tokenised(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: in
     Null and empty texts have the end token alone.  Repeated rows give pieces of their own.
     """
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, memory = load(vocabulary), _MEMORY.setdefault(vocabulary, Memory())
 

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from courtframes.llm.common import labelled_sample, slices, words_of
+from courtframes.llm.common import labelled_sample, slices, tidy, words_of
 
 FIT_ROWS = 4096
 FIT_LINES = 64
@@ -164,6 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed=None, fit_rows: int = FIT_RO
     """A field fitted on at most fit_rows labelled documents, of each at most fit_lines lines, spread evenly
     as one run of neighbours from a place that the id's rank picks.  None without both labels."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -191,6 +192,7 @@ def predict(docs: DataFrame, model: LineCRF | None, limit: float = 0.3, id_col:
     """(id, score, predicted) of each row.  A null text is one empty line, like an empty text; without a
     model every score is 0.5.  Repeated rows are scored alike; an empty table gives no rows."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = [model.score(data, offsets) if model else np.full(len(offsets) - 1, 0.5) for _, _, data, offsets in slices(batch.column(1))]

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtframes.llm.common import connected_components, materialise, slices, union_find, words_of
+from courtframes.llm.common import connected_components, materialise, slices, tidy, union_find, words_of
 
 SEED = 42
 TILE = 4096
@@ -71,6 +71,7 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp): 64-bit fingerprint of lowered 3-word shingles; null and wordless texts have 0."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprints(data, offsets) for _, _, data, offsets in slices(batch.column(1))]
@@ -104,6 +105,7 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
     b = tiles.select(F.col("place").alias("q"), F.col("part").alias("j"), F.col("fps").alias("b"))
     pairs = near.join(a, ["p", "i"]).join(b, ["q", "j"]).select((F.expr("p = q and i = j")).alias("same"), "a", "b")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (batch.column(k).flatten().to_numpy() for k in (1, 2))

@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from courtframes.llm.common import labelled_sample, slices, words_of
+from courtframes.llm.common import labelled_sample, slices, tidy, words_of
 
 FIT_ROWS = 8192
 LEXICON = 1000
@@ -222,6 +222,7 @@ def predict(docs: DataFrame, model: ToxicityModel | None, limit: float = 0.3, id
     without a model every score is 0.  Repeated rows are scored alike; an empty table gives no rows."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
