@@ -32,10 +32,20 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of the smallest id stays; rows without an id go."""
-    groups = simhash.components(docs)
-    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Of each group of near-duplicates the row of the smallest id stays, without an id only where no row has one.
+
+    Rows are told apart by id and all that they hold, so rows of one id that are near nothing all stay.
+    """
+    key = F.struct(
+        F.col("doc_id").isNull().alias("no_id"),
+        F.coalesce("doc_id", F.lit(0)).alias("id"),
+        F.xxhash64("text").alias("version"),
+        F.xxhash64(*docs.columns).alias("all"),
+    )
+    keyed = docs.withColumn("__row", key)
+    groups = simhash.components(keyed, id_col="__row")
+    first = groups.filter("__row = component_id").select("__row").distinct()
+    return keyed.join(first, "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,3 +36,26 @@ def test_stages(spark):
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert pieces.groupBy("sequence_id").sum("length").filter("`sum(length)` > 4096").count() == 0
     assert pieces.select("doc_id").distinct().count() == docs.count()
+
+
+def test_near_dedup_keeps_rows_that_are_near_nothing(spark):
+    rng = random.Random(2)
+    a, b, c, d, e = (" ".join(f"w{rng.randrange(3000)}" for _ in range(80)) for _ in range(5))
+    rows = [(None, a), (None, a), (None, b), (1, b), (2, c), (2, d), (2, d), (3, d), (4, c), (5, e)]
+    schema = table(spark, SF, "documents").schema
+    docs = spark.createDataFrame([(i, t, "en", "planted", len(t)) for i, t in rows], schema).repartition(5)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, a), (1, b), (2, c), (2, d), (5, e)], key=str)
+    pieces = corpus_pipeline.pack(spark, corpus_pipeline.drop_near_duplicates(spark, docs, SF), SF)
+    assert sorted((r.doc_id for r in pieces.collect()), key=str) == sorted([None, 1, 2, 2, 5], key=str)
+
+
+def test_passages_are_cut_from_the_text_of_an_id_that_has_them(spark):
+    rng = random.Random(3)
+    text = lambda n: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    shared, clean = text(70), text(200)
+    rows = [(1, f"{text(50)} {shared}"), (2, clean), (2, f"{shared} {text(40)}"), (None, text(90))]
+    docs = spark.createDataFrame([(i, t, "en", "planted", len(t)) for i, t in rows], table(spark, SF, "documents").schema)
+    got = {r.text for r in corpus_pipeline.cut_repeated_passages(spark, docs, SF).collect()}
+    assert {rows[0][1], clean, rows[3][1]} <= got and len(got) == 4
+    assert sum(shared in t for t in got) == 1
