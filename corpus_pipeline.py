@@ -27,8 +27,8 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated runs of lines are cut from texts; no document goes."""
-    return _with_length(line_dedup.dedup_lines(docs).select(*docs.columns))
+    """Later copies of repeated runs of lines, and of single lines of content, are cut from texts; no document goes."""
+    return _with_length(line_dedup.dedup_lines(docs, line_words=line_dedup.LINE_WORDS).select(*docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,9 @@ goes no further.  Places of repeated fingerprints are joined and extended to bot
 of lines in which the place was selected is named by the hash of its lines, and the first place of each name,
 by document id and position, is found.  A line in a window that also stands at an earlier place is
 deleted; overlapping windows make up the whole repeated run.  The first copy of every run stays.
+
+Where asked for, a line that carries content by itself, in words or characters, is a run of its own: its
+later places are deleted whatever stands around them.
 """
 
 from __future__ import annotations
@@ -17,6 +20,9 @@ from pyspark.sql import functions as F
 from courtframes.llm.common import materialise
 
 WINDOW = 2
+#: A line of so many words, or of so many characters where words are not parted, carries content by itself.
+LINE_WORDS = 5
+LINE_CHARS = 40
 
 
 def _lines(text: Column) -> Column:
@@ -66,17 +72,33 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     return found.join(first, "name").filter(place != F.col("first")).select("id", "version", "start")
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, line_words: int = LINE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, version, start) of each line of at least line_words words or LINE_CHARS characters that also stands
+    at an earlier place, as repeated_windows."""
+    text = F.col(text_col)
+    rows = docs.filter(text.isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text).alias("version"), F.posexplode(_lines(text)).alias("start", "line"))
+    full = (F.length(F.trim("line")) >= LINE_CHARS) | (F.regexp_count("line", F.lit(r"[^ \t-\r]+")) >= line_words)
+    found = materialise(rows.filter(full).select("id", "version", "start", F.xxhash64("line").alias("name")), "lines")
+    place = F.struct("id", "version", "start")
+    first = found.groupBy("name").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last").select("name", "first")
+    return found.join(first, "name").filter(place != F.col("first")).select("id", "version", "start")
+
+
+def dedup_lines(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", line_words: int | None = None) -> DataFrame:
     """docs with repeated runs of at least `window` lines taken out of the text, and n_lines, n_removed.
 
     Lines end at line feeds and are compared exactly.  Null texts stay null with no lines; a text whose
     lines all go becomes empty; texts of fewer lines than `window` stay.  Repeated rows of one id and text
     are one place, so they stay alike.  Runs that repeat inside one text are repeated too.  Columns of
-    docs named n_lines or n_removed are replaced; an empty table gives no rows.
+    docs named n_lines or n_removed are replaced; an empty table gives no rows.  With line_words, repeated
+    lines of so many words or of LINE_CHARS characters go too, between unique lines and in texts of one line.
     """
     extra = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    gone = repeated_windows(docs, window, id_col, text_col).groupBy("id", "version").agg(F.collect_set("start").alias("starts"))
-    positions = F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (window - 1))))
+    runs = repeated_windows(docs, window, id_col, text_col).withColumn("lines", F.lit(window))
+    if line_words is not None:
+        runs = runs.unionByName(repeated_lines(docs, line_words, id_col, text_col).withColumn("lines", F.lit(1)))
+    gone = runs.groupBy("id", "version").agg(F.collect_set(F.struct("start", "lines")).alias("runs"))
+    positions = F.flatten(F.transform("runs", lambda r: F.sequence(r["start"], r["start"] + (r["lines"] - 1))))
     gone = gone.select(F.col("id").alias("__id"), F.col("version").alias("__version"), positions.alias("__gone"))
     text = F.col(f"d.`{text_col}`")
     joined = docs.alias("d").join(gone, (F.col(f"d.`{id_col}`") == F.col("__id")) & (F.xxhash64(text) == F.col("__version")), "left")

@@ -38,6 +38,20 @@ def test_stages(spark):
     assert pieces.select("doc_id").distinct().count() == docs.count()
 
 
+def test_repeated_single_lines_go(spark):
+    rng = random.Random(4)
+    line = lambda n=12: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    again, short, joined = line(), "so it goes", "w" * 60
+    rows = [(1, f"{line()}\n{again}\n{line()}"), (2, f"{line()}\n{again}\n{line()}\n{again}"), (3, again), (4, joined), (5, joined)]
+    rows += [(6, f"{line()}\n{short}\n{line()}"), (7, f"{short}\n{line()}"), (8, short), (9, line()), (9, line()), (10, None), (None, line())]
+    docs = spark.createDataFrame([(i, t, "en", "planted", 0) for i, t in rows], table(spark, SF, "documents").schema).repartition(3)
+    got = sorted(tuple(r) for r in corpus_pipeline.drop_repeated_lines(spark, docs, SF).select("doc_id", "text").fillna("null").fillna(0).collect())
+    expected = [(i or 0, "null" if t is None else t) for i, t in rows]
+    kept = rows[1][1].split("\n")
+    expected[1:5] = [(2, f"{kept[0]}\n{kept[2]}"), (3, ""), (4, joined), (5, "")]
+    assert got == sorted(expected)
+
+
 def test_near_dedup_keeps_rows_that_are_near_nothing(spark):
     rng = random.Random(2)
     a, b, c, d, e = (" ".join(f"w{rng.randrange(3000)}" for _ in range(80)) for _ in range(5))
