@@ -227,6 +227,46 @@ def test_passages_are_found_and_cut(spark, awkward):
     assert substring.repeated_passages(docs.limit(0)).count() == 0
 
 
+def test_every_stand_of_a_passage_is_found(spark):
+    rng = random.Random(11)
+    shared = [words(rng, 60) for _ in range(40)]
+    rows = []
+    for i, p in enumerate(shared):
+        middle = " ".join(p.split()[20:40])
+        rows.append((2 * i, f"{words(rng, 50)} {p} {words(rng, 50)}"))
+        rows.append((2 * i + 1, f"{words(rng, 50)} {middle} {words(rng, 50)} {p} {words(rng, 50)} {p} {words(rng, 50)}"))
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    cut = {r.doc_id: r.text for r in substring.cut_passages(docs).collect()}
+    assert all(cut[i] == t for i, t in rows if i % 2 == 0)
+    assert [sum(p in cut[2 * i + 1] for i, p in enumerate(shared)), max(len(cut[2 * i + 1].split()) for i in range(40))] == [0, 220]
+
+
+def test_matching_places_by_diagonal():
+    rng = np.random.default_rng(12)
+    for _ in range(20):
+        a, b = rng.integers(0, 9, 300).astype(np.uint32), rng.integers(0, 9, 260).astype(np.uint32)
+        b[40:120] = a[100:180]
+        found = [set(substring._diagonals(a, b, np.ones(300, bool), np.ones(260, bool), 46)) for substring.MATCHES in (1 << 22, 0)]
+        assert found[0] == found[1] and any(p <= 100 and q >= 179 and p - r == 60 for p, q, r, _ in found[0])
+    substring.MATCHES = 1 << 22
+    none = np.arange(50, dtype=np.uint32)
+    assert not list(substring._diagonals(none, none + np.uint32(100), np.ones(50, bool), np.ones(50, bool), 46))
+
+
+def test_links_do_not_hang_on_batches(spark):
+    rng = random.Random(13)
+    phrase, rows = words(rng, 9), []
+    for i in range(150):
+        rows.append((i, f"{words(rng, 60)} {phrase} {words(rng, 60)}"))
+    near = rows[5][1].split()
+    near[20], near[64 + 30] = "other", "changed"
+    rows.append((1000, " ".join(near)))
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    for parts in (1, 7, 151):
+        found = {(r.match_doc_id, r.doc_id) for r in substring.passage_links(docs.repartition(parts)).collect()}
+        assert found == {(5, 1000)}
+
+
 def test_quality_rules_statistics(spark, awkward, labels):
     rows = quality_rules.judge(awkward, labels).collect()
     assert len(rows) == awkward.count()
