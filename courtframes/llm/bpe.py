@@ -141,7 +141,8 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class Memory:
     """Bounded map from a span of text to its ids as bytes: two generations, so common spans stay."""
 
-    def __init__(self) -> None:
+    def __init__(self, size: int = CACHE) -> None:
+        self.size = size
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -153,7 +154,7 @@ class Memory:
 
     def put(self, span: str, ids: bytes) -> None:
         if len(span) <= 40:
-            if len(self.young) >= CACHE:
+            if len(self.young) >= self.size:
                 self.old, self.young = self.young, {}
             self.young[span] = ids
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -12,6 +13,7 @@ import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
+from tokenizers import Tokenizer
 
 from courtframes.llm import bpe, common, embedding, langid, line_dedup, packing, quality_crf, quality_rules, simhash, substring, toxicity
 
@@ -67,7 +69,7 @@ def test_bpe_tree_on_random_pieces():
 def test_packing_covers_every_id_once(spark, awkward):
     path = public_tokenizers.path("word_bpe_49k.json")
     rows = packing.pack(awkward, path, capacity=256).collect()
-    tokenizer = packing.load(path)
+    tokenizer = Tokenizer.from_file(path)
     texts = dict(awkward.select("doc_id", "text").collect())
     by_doc, by_sequence = {}, {}
     for r in rows:
@@ -90,6 +92,53 @@ def test_packing_covers_every_id_once(spark, awkward):
     assert packing.pack(awkward.limit(0), path).count() == 0
 
 
+def test_packing_ids_match_library_on_odd_texts(spark):
+    rng = random.Random(4)
+    parts = ["a", "Aa", "th", "é", "È", "ß", "日本", " ", "  ", "\n", "\t", ".", ",", "1", "12", "!!", "'s", "'LL", "don't", "<|endoftext|>", "<|EndOfText|>"]
+    parts += ["<|startoftext|>", "<|", "|>", "\u0301", "e\u0301", "İ", "×", "÷", "\u3000", "\x85", "\xa0", "ſ", "\u212a", "क\u093c", "#", "-", "🎉", "ǆ", "\x1c", "Σ", "ŉ", "x" * 50]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in packing.tokenised(docs, path).collect()}
+    for i, text in enumerate(texts):
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [2], "<u4")
+        assert got[i] == (len(ids), zlib.crc32(ids.tobytes())), text
+
+
+def test_packing_takes_the_cheapest_sequence_with_room():
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        lengths = rng.choice([1, 7, 50, 60, 100], int(rng.integers(0, 40)))
+        sequence, offset = packing.pack_lengths(lengths, 100)
+        left, first = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)), 0
+        while left:
+            n, later = -(-sum(lengths[i] for i in left) // 100), []
+            load, used = [0.0] * n, [0] * n
+            for i in left:
+                room = [k for k in range(n) if used[k] + lengths[i] <= 100]
+                if not room:
+                    later.append(i)
+                    continue
+                k = min(room, key=lambda k: (load[k], k))
+                assert (sequence[i], offset[i]) == (first + k, used[k])
+                used[k] += lengths[i]
+                load[k] += lengths[i] + lengths[i] ** 2 / 1024
+            first, left = first + n, later
+
+
+def test_packing_spreads_one_document_and_repeated_rows(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.createDataFrame([(1, "a b " * 30_000), *[(2, "one text here")] * 300, (None, None)], "doc_id long, text string")
+    rows = packing.pack(docs, path, capacity=16).collect()
+    assert sum(r.length for r in rows if r.doc_id == 1) == 60_001 and sum(r.doc_id == 2 for r in rows) == 300
+    assert max(Counter(r.sequence_id % (-(-len(rows) // packing.GROUP_PIECES)) for r in rows).values()) < 1.3 * packing.GROUP_PIECES
+    used = Counter()
+    for r in rows:
+        used[r.sequence_id] += r.length
+    assert max(used.values()) <= 16
+
+
 def test_packing_is_tight_and_balanced():
     lengths = np.random.default_rng(3).integers(1, 4097, 2000)
     sequence, offset = packing.pack_lengths(lengths, 4096)
