@@ -9,6 +9,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import functools
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -32,15 +33,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Temporary folders of sessions without a shared one, by application.
+#: Temporary folders of local sessions without a shared one, by application.
 _OWN_DIRS: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir, or set as the checkpoint folder; a temporary one only where
-    neither is (local tests)."""
+    """The folder named in spark.checkpoint.dir, or set as the checkpoint folder.
+
+    Where neither is set, a session whose executors run in the driver's own process takes a temporary folder; a
+    cluster would lose data there, so it is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[[\d*,]+\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN_DIRS:
             _OWN_DIRS[app] = tempfile.mkdtemp(prefix="courtframes-")
@@ -200,11 +206,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: in
     """(id, text, label) of at most `rows` labelled documents, first by a hash of the id.
 
     `allowed` is a condition on id_col.  The picked ids are bounded by `rows`, so they are broadcast.
-    Repeated labels of one id count once, with the largest; null ids and labels are left out.
+    Repeated labels of one id count once, with the largest; null ids and labels are left out.  Of rows with one id the
+    text of the least hash counts, so a repeated id does not enlarge the sample.
     """
     picked = labels.select(F.col(id_col), F.col(label_col).cast("int").alias("label")).filter(F.col(id_col).isNotNull() & F.col("label").isNotNull())
     if allowed is not None:
         picked = picked.filter(allowed)
     picked = picked.groupBy(id_col).agg(F.max("label").alias("label")).orderBy(F.xxhash64(id_col), id_col).limit(rows)
     found = docs.select(F.col(id_col), F.col(text_col)).join(F.broadcast(picked), id_col)
-    return found.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), "label")
+    found = found.groupBy(F.col(id_col).alias("id"), "label").agg(F.min(F.struct(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))).alias("t"))
+    return found.select("id", "t.text", "label")

@@ -4,8 +4,11 @@ For each language a suffix automaton recognises every substring of labelled text
 parsed greedily into the longest phrases that the automaton knows; in the language that fits, phrases are
 long and few.  Phrases are normalised by the number of symbols parsed, and the language with the
 fewest wins.  The automata are full transition tables, where a missing transition starts a new phrase
-from the root, so numpy parses thousands of pieces in lock-step; texts are parsed whole, in
-pieces of PIECE symbols that each begin a phrase.
+from the root, so numpy parses thousands of pieces in lock-step.
+
+Texts are parsed whole.  A long text is dealt into pieces of PIECE symbols that are first parsed each by itself; then a
+piece is parsed again from the state in which the piece before it ends, until it comes to a state that it already had
+at that place, from where on nothing changes.  So the phrases are those of one parse from the text's first symbol.
 """
 
 from __future__ import annotations
@@ -14,15 +17,18 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtframes.llm.common import slices, tidy
 
+#: The sample of a language: so many labelled rows, whole, of so many characters together; rows of all languages
+#: together have at most MODEL_CHARS, so the tables that are broadcast are bounded.
 FIT_DOCS = 150
 FIT_CHARS = 40_000
+MODEL_CHARS = 400_000
+#: Symbols that are parsed in lock-step; no result depends on it.
 PIECE = 512
 COMMON, RARE = 200, 32
 SHARPNESS = 40.0
@@ -62,7 +68,10 @@ def squeeze(symbols: np.ndarray) -> np.ndarray:
 
 
 def automaton(symbols: np.ndarray, size: int) -> np.ndarray:
-    """Full transitions: next state * size, with the top bit where a new phrase begins at the root."""
+    """Full transitions: next state * size, with the top bit where a new phrase begins.
+
+    The last state is that before a phrase, where each symbol begins one; unknown symbols are phrases of their own.
+    """
     step: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -89,8 +98,8 @@ def automaton(symbols: np.ndarray, size: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = clone
         last = new
-    root = np.array([step[0].get(c, 0) * size for c in range(size)], np.int64) | BREAK
-    table = np.tile(root, (len(step), 1))
+    root = np.array([step[0].get(c, len(step)) * size for c in range(size)], np.int64) | BREAK
+    table = np.tile(root, (len(step) + 1, 1))
     for state, own in enumerate(step):
         if own:
             table[state, list(own)] = np.fromiter(own.values(), np.int64, len(own)) * size
@@ -101,34 +110,76 @@ BREAK = 1 << 31
 
 
 class CrossParser:
-    def __init__(self, texts: dict[str, list[str]], fit_chars: int = FIT_CHARS):
+    def __init__(self, texts: dict[str, list[str]]):
         self.langs = sorted(texts)
         self.alphabet = Alphabet([t for lang in self.langs for t in texts[lang]])
-        tables = []
+        self.tables = []
         for lang in self.langs:
             codes = np.frombuffer("\n".join(texts[lang]).encode("utf-32-le"), np.uint32)
             symbols = self.alphabet.letters(codes)
-            tables.append(automaton(symbols[squeeze(symbols)][:fit_chars], self.alphabet.size))
-        self.base = np.cumsum([0, *map(len, tables)])[:-1]
-        self.tables = tables
-
-    def phrases(self, pieces: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Phrases of each piece (a row of symbols, sorted by falling length) in each language."""
-        out = np.zeros((len(self.langs), len(pieces)), np.int64)
-        columns = np.ascontiguousarray(pieces.T)
-        alive = np.searchsorted(-lengths, -np.arange(len(columns)), "left")
+            self.tables.append(automaton(symbols[squeeze(symbols)], self.alphabet.size))
+
+    def phrases(self, symbols: np.ndarray, offsets: np.ndarray, piece: int = PIECE) -> np.ndarray:
+        """Phrases of each text (a stretch of symbols) in each language."""
+        n = len(offsets) - 1
+        out = np.zeros((len(self.langs), n))
+        size = np.diff(offsets)
+        parts = -(-size // piece)
+        row = np.repeat(np.arange(n), parts)
+        if not len(row):
+            return out
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
+        begin = offsets[row] + piece * nth
+        length = np.minimum(piece, offsets[row + 1] - begin)
+        order = np.argsort(-length, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        row, length = row[order], length[order]
+        # the piece after and whether one is before, in this order; -1 where a text ends
+        after = np.where(np.append(nth[1:], 0) > 0, np.append(place[1:], 0), -1)[order]
+        follows = np.flatnonzero(nth[order] > 0)
+        before = place[order[follows] - 1]
+        padded = np.append(symbols, np.zeros(piece, symbols.dtype))
+        columns = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, piece)[begin[order]].T)
+        alive = np.searchsorted(-length, -np.arange(piece), "left").tolist()
+        states, breaks = np.empty(columns.shape, np.uint32), np.zeros(columns.shape, bool)
         for k, table in enumerate(self.tables):
-            state = np.zeros(len(pieces), np.uint32)
-            count = np.ones(len(pieces), np.uint32)
-            for i, n in enumerate(alive.tolist()):
-                if not n:
+            start = len(table) - self.alphabet.size
+            state = np.full(len(row), start, np.uint32)
+            for i, m in enumerate(alive):
+                if not m:
                     break
-                at = state[:n]
-                at += columns[i, :n]
+                at = state[:m]
+                at += columns[i, :m]
                 np.take(table, at, out=at, mode="clip")
-                count[:n] += at >> 31
+                np.greater_equal(at, BREAK, out=breaks[i, :m])
                 at &= BREAK - 1
-            out[k] = count
+                states[i, :m] = at
+            todo, entry = follows, state[before]
+            while len(todo):
+                i, own, at, ended = 0, todo, entry, []
+                while len(own):
+                    done = length[own] <= i
+                    if done.any():
+                        ended.append(own[done])
+                        state[own[done]] = at[done]
+                        own, at = own[~done], at[~done]
+                        continue
+                    at = table[at + columns[i, own]]
+                    breaks[i, own] = at >= BREAK
+                    at &= BREAK - 1
+                    new = at != states[i, own]
+                    states[i, own] = at
+                    own, at = own[new], at[new]
+                    i += 1
+                # pieces that came to their end in another state hand it on
+                todo = np.concatenate(ended) if ended else np.zeros(0, np.int64)
+                todo = todo[after[todo] >= 0]
+                todo, entry = after[todo], state[todo]
+            counts = np.zeros(len(row), np.int64)
+            for i, m in enumerate(alive):
+                counts[:m] += breaks[i, :m]
+            out[k] = np.bincount(row, weights=counts, minlength=n)
         return out
 
     def predict(self, texts_data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
@@ -146,42 +197,41 @@ class CrossParser:
         symbols, offsets = symbols[keep], kept[offsets]
         letters = np.append(0, np.cumsum(symbols != 0))
         has = letters[offsets[1:]] > letters[offsets[:-1]]
-        size = np.diff(offsets)
-        parts = -(-size // PIECE)
-        row = np.repeat(np.arange(n), parts)
-        begin = offsets[row] + PIECE * (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts))
-        length = np.minimum(PIECE, offsets[row + 1] - begin)
-        order = np.argsort(-length, kind="stable")
-        padded = np.append(symbols, np.zeros(PIECE, symbols.dtype))
-        pieces = np.lib.stride_tricks.sliding_window_view(padded, PIECE)[begin[order]] if len(row) else np.zeros((0, PIECE), np.uint8)
-        counts = np.zeros((len(self.langs), n))
-        found = self.phrases(pieces, length[order])
-        for k in range(len(self.langs)):
-            counts[k] = np.bincount(row[order], weights=found[k], minlength=n)
-        rate = counts / np.maximum(size, 1)
+        rate = self.phrases(symbols, offsets) / np.maximum(np.diff(offsets), 1)
         best = rate.argmin(axis=0) if len(self.langs) else np.zeros(n, int)
         weight = np.exp(-SHARPNESS * (rate - rate.min(axis=0))) if len(self.langs) else np.ones((1, n))
         score = np.where(has, 1 / weight.sum(axis=0), 0.0) if len(self.langs) else np.zeros(n)
         return [self.langs[b] if h and self.langs else "und" for b, h in zip(best, has)], score
 
 
-def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_chars: int = FIT_CHARS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> CrossParser:
-    """Automata from about fit_docs texts of each language (at most twice as many), picked by a hash of the id.
+def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_chars: int = FIT_CHARS, text_col: str = "text", lang_col: str = "lang") -> CrossParser:
+    """Automata of a sample of each language: at most fit_docs distinct texts, in order of their hash, as long as
+    they have fit_chars characters together (fewer where languages are many, see MODEL_CHARS).
 
-    The languages are counted first; rows of a common language are thinned by the hash, so no language
-    is gathered whole.  Each text gives at most fit_chars characters to the model.
+    Texts are taken whole.  A text that is longer than that is not in the sample; where a language has no other, its
+    shortest text is the sample.  Distinct texts are counted first and thinned by their hash, so no language is gathered
+    whole, and copies count once.  The sample does not depend on how rows are dealt.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).withColumn("h", F.xxhash64("text"))
     rows = rows.filter("lang is not null and text is not null and length(text) > 0")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
+    langs = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
+    if not langs:
         return CrossParser({})
+    chars = min(fit_chars, MODEL_CHARS // len(langs))
+    fits = rows.filter(F.length("text") <= chars)
     scale = 1 << 30
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, 1.5 * fit_docs / n) * scale))])
-    picked = rows.filter(F.pmod(F.xxhash64("id"), F.lit(scale)) < share[F.col("lang")])
-    got: pd.DataFrame = picked.select("id", "lang", F.left("text", F.lit(fit_chars)).alias("text")).limit(2 * fit_docs * len(counts)).toPandas()
-    got = got.sort_values(["lang", "id"], kind="stable")
-    return CrossParser({lang: g["text"].tolist() for lang, g in got.groupby("lang")}, fit_chars)
+    share = F.create_map(*[F.lit(x) for r in langs for x in (r["lang"], int(min(1.0, 2 * fit_docs / max(1, r["n"])) * scale))])
+    picked = fits.filter(F.pmod("h", F.lit(scale)) < share[F.col("lang")]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    # a window holds the thinned texts of a language, some 2 * fit_docs
+    order = Window.partitionBy("lang").orderBy("h")
+    picked = picked.select("lang", "h", "text", F.row_number().over(order).alias("k"), F.sum(F.length("text")).over(order).alias("total"))
+    got = picked.filter((F.col("k") <= fit_docs) & (F.col("total") <= chars)).select("lang", "h", "text").toPandas()
+    texts = {lang: g.sort_values("h", kind="stable")["text"].tolist() for lang, g in got.groupby("lang")}
+    missing = [r["lang"] for r in langs if r["lang"] not in texts]
+    if missing:
+        least = rows.filter(F.col("lang").isin(missing)).groupBy("lang").agg(F.min(F.struct(F.length("text").alias("n"), F.col("text"))).alias("t"))
+        texts |= {r["lang"]: [r["t"]["text"]] for r in least.collect()}
+    return CrossParser(texts)
 
 
 def predict(docs: DataFrame, model: CrossParser, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

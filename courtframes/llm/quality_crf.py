@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from courtframes.llm.common import labelled_sample, slices, tidy, words_of
 
 FIT_ROWS = 4096
-FIT_LINES = 64
 ROUNDS = 120
 OWN = 14
 
@@ -70,6 +69,11 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
         distinct / size, np.minimum(np.diff(words.offsets[per]) / size / 8, 3), np.minimum(by_byte(_DIGIT[data]) / size, 3),
         np.minimum(by_byte((data == 0x2E) | (data == 0x2C)) / size, 1),
     ]).astype(np.float64)
+    return with_neighbours(own, first), count.astype(float), first
+
+
+def with_neighbours(own: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Features of each line, of the line before and of that after it in the same text, and where it stands."""
     before, after = np.zeros_like(own), np.zeros_like(own)
     before[1:], after[:-1] = own[:-1], own[1:]
     before[first[:-1]] = 0
@@ -78,7 +82,7 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     edge[:, 0] = 1
     edge[first[:-1], 1] = 1
     edge[first[1:] - 1, 2] = 1
-    return np.column_stack([own, before, after, edge]), count.astype(float), first
+    return np.column_stack([own, before, after, edge])
 
 
 class LineCRF:
@@ -160,9 +164,12 @@ class LineCRF:
         return 1 / (1 + np.exp(-np.clip(self.scale[0] * odds + self.scale[1], -30, 30)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, allowed=None, fit_rows: int = FIT_ROWS, fit_lines: int = FIT_LINES, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> LineCRF | None:
-    """A field fitted on at most fit_rows labelled documents, of each at most fit_lines lines, spread evenly
-    as one run of neighbours from a place that the id's rank picks.  None without both labels."""
+def fit(docs: DataFrame, labels: DataFrame, allowed=None, fit_rows: int = FIT_ROWS, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> LineCRF | None:
+    """A field fitted on all lines of at most fit_rows labelled documents.  None without both labels.
+
+    Features are taken on the executors; the rows come to the driver in order of id and text, so the weights do not
+    depend on how rows are dealt.
+    """
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,19 +177,18 @@ def fit(docs: DataFrame, labels: DataFrame, allowed=None, fit_rows: int = FIT_RO
             rows = []
             for _, _, data, offsets in slices(batch.column(1)):
                 x, _, first = line_features(data, offsets)
-                for i, (a, b) in enumerate(zip(first[:-1], first[1:])):
-                    a += max(0, (b - a - fit_lines)) * (i % 7) // 6
-                    rows.append(x[a : min(b, a + fit_lines)].ravel())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64())), batch.column(2)], names=["id", "x", "label"])
+                rows += [x[a:b, :OWN].astype(np.float32).tobytes() for a, b in zip(first[:-1], first[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary()), batch.column(2)], names=["id", "x", "label"])
 
     sample = labelled_sample(docs, labels, label_col, fit_rows, allowed, id_col, text_col)
-    got = sample.mapInArrow(run, f"id {dict(sample.dtypes)['id']}, x array<double>, label int").toPandas().sort_values("id", kind="stable")
+    got = sample.mapInArrow(run, f"id {dict(sample.dtypes)['id']}, x binary, label int").toPandas().sort_values("id", kind="stable")
     y = (got["label"].to_numpy() == 1).astype(int)
     if len(y) < 20 or y.min() == y.max():
         return None
     crf = LineCRF()
-    parts = [np.asarray(v).reshape(-1, len(crf.weight)) for v in got["x"]]
-    x, first = np.concatenate(parts), np.append(0, np.cumsum([len(p) for p in parts]))
+    own = np.frombuffer(b"".join(got["x"]), np.float32).reshape(-1, OWN).astype(float)
+    first = np.append(0, np.cumsum([len(v) // (4 * OWN) for v in got["x"]]))
+    x = with_neighbours(own, first)
     crf.fit(x, first, y)
     crf.calibrate(crf.share(x, np.expm1(4 * x[:, 1]), first), y)
     return crf

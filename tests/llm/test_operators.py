@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -367,18 +368,41 @@ def test_language_id(spark, corpus, awkward):
 def test_suffix_automaton_phrases_match_greedy_search():
     rng = random.Random(11)
     learned = "".join(rng.choice("abc ") for _ in range(400))
-    model = langid.CrossParser({"x": [learned]})
-    alphabet = {c: int(model.alphabet.table[ord(c)]) for c in "abc "}
-    text = "".join(rng.choice("abc ") for _ in range(200))
-    symbols = np.array([[alphabet[c] for c in text]], np.uint8)
-    squeezed = "".join(c for i, c in enumerate(learned) if c != " " or i == 0 or learned[i - 1] != " ")
-    phrases, at = 0, 0
-    while at < len(text):
-        n = 1
-        while at + n < len(text) and text[at : at + n + 1] in squeezed:
-            n += 1
-        phrases, at = phrases + 1, at + n
-    assert model.phrases(symbols, np.array([len(text)]))[0, 0] == phrases
+    model = langid.CrossParser({"x": [learned], "y": ["zd zd"]})
+    squeezed = re.sub(" +", " ", learned).lstrip()
+    texts = ["".join(rng.choice("abc d") for _ in range(n)) for n in (0, 1, 5, 200, 64, 65)] + [learned, learned + "d" + learned, learned[7:300]]
+    texts = [re.sub(" +", " ", t) for t in texts]
+    expected = []
+    for text in texts:
+        phrases, at = 0, 0
+        while at < len(text):
+            n = 1
+            while at + n < len(text) and text[at : at + n + 1] in squeezed:
+                n += 1
+            phrases, at = phrases + 1, at + n
+        expected.append(phrases)
+    symbols = model.alphabet.letters(np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32))
+    offsets = np.append(0, np.cumsum([len(t) for t in texts]))
+    for piece in (1, 3, 16, 64, 512):
+        assert model.phrases(symbols, offsets, piece)[0].tolist() == expected
+
+
+def test_models_do_not_depend_on_how_rows_are_dealt(spark, corpus):
+    docs, labels = corpus
+    fields, parsers = [], []
+    for parts in (1, 13):
+        dealt = docs.repartition(parts)
+        fields.append(quality_crf.fit(dealt, labels))
+        parsers.append(langid.fit(dealt))
+    assert np.array_equal(fields[0].weight, fields[1].weight) and np.array_equal(fields[0].scale, fields[1].scale)
+    assert parsers[0].langs == parsers[1].langs and all(np.array_equal(a, b) for a, b in zip(parsers[0].tables, parsers[1].tables))
+
+
+def test_language_samples_are_whole_texts(spark):
+    rows = [("a" * 500, "long"), ("b" * 700, "long"), *[(f"c{chr(97 + i)}d", "short") for i in range(20)], *[("same", "short")] * 50, (None, "none"), ("e", None)]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"), fit_chars=40)
+    size = {lang: len(t) // model.alphabet.size for lang, t in zip(model.langs, model.tables)}
+    assert list(size) == ["long", "short"] and size["long"] == 502 and 20 < size["short"] < 90
 
 
 @pytest.mark.parametrize("module,label,least", [(toxicity, "toxic", 0.97), (quality_crf, "quality", 0.97)])
