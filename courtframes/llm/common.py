@@ -179,9 +179,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = materialise(edges.distinct(), "edges")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # stored, so that the join's sides are plain shuffles, whose skewed parts adaptive execution splits
+        low = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "low")
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialise(large, "large")
+        drop_materialised(low)
+        low = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = (
             large.join(low, "u")
             .select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
@@ -193,7 +196,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         state = [
             df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for df in (edges, after)
         ]
-        drop_materialised(edges)
+        for used in (edges, large, low):
+            drop_materialised(used)
         edges = after
         if tuple(state[0]) == tuple(state[1]):
             break

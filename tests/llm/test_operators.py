@@ -40,6 +40,11 @@ def labels(spark):
     return spark.createDataFrame([(1, 1, 0), (2, None, None), (None, 1, 1), (8, 0, 1)], "doc_id long, quality int, toxic int")
 
 
+@pytest.fixture(scope="module")
+def corpus(spark):
+    return common.table(spark, SF, "documents"), common.table(spark, SF, "labels")
+
+
 def test_bpe_matches_library_and_decodes(spark, awkward):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load(path).ranks, special_tokens={})
@@ -317,6 +322,56 @@ def test_links_do_not_hang_on_batches(spark):
         assert found == {(5, 1000)}
 
 
+def test_passage_links_against_all_pairs(spark, corpus):
+    """Whatever the dealing, the same rows; each pair of texts that all-pairs comparison verifies is in one class."""
+    docs = corpus[0].select("doc_id", "text")
+    found = [{tuple(r) for r in substring.passage_links(docs.repartition(parts)).collect()} for parts in (2, 13, 64)]
+    assert found[0] == found[1] == found[2] and found[0]
+    low = {}
+
+    def least(x):
+        while low.setdefault(x, x) != x:
+            x = low[x]
+        return x
+
+    for r in found[0]:
+        a, b = least(r[0]), least(r[3])
+        low[max(a, b)] = min(a, b)
+    rows = docs.orderBy("doc_id").collect()
+    hashes, first, _ = substring.shingles(*[np.concatenate(x) for x in zip(*[(np.frombuffer((r.text or "").encode() + b"\n", np.uint8),) for r in rows])], np.append(0, np.cumsum([len((r.text or "").encode()) + 1 for r in rows])))
+    own = [hashes[i:j] for i, j in zip(first[:-1], first[1:])]
+    holders = {}
+    for i, x in enumerate(own):
+        for h in np.unique(x).tolist():
+            holders.setdefault(h, []).append(i)
+    common_shingles = Counter((a, b) for group in holders.values() if len(group) < 200 for k, b in enumerate(group) for a in group[:k])
+    true = [(rows[a].doc_id, rows[b].doc_id) for (a, b), n in common_shingles.items() if n >= 30 and substring.verify_pair(own[a], own[b], 46, 0.8)]
+    assert len(true) > 50
+    assert sum(least(a) == least(b) for a, b in true) >= 0.99 * len(true)
+
+
+def test_a_text_between_true_copies_does_not_part_them(spark):
+    """Texts that share a phrase but not the passage stand, by id, before and between two copies."""
+    rng = random.Random(14)
+    phrase = words(rng, 24)
+    rows = [(i, f"{words(rng, 60)} {phrase} {words(rng, 60)}") for i in range(40)]
+    passage = f"{words(rng, 30)} {phrase} {words(rng, 30)}"
+    rows[10], rows[30] = ((i, f"{words(rng, 50)} {passage} {words(rng, 50)}") for i in (10, 30))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.match_doc_id, r.doc_id) for r in substring.passage_links(docs).collect()} == {(10, 30)}
+
+
+def test_equal_texts_and_repeated_rows_in_passages(spark):
+    rng = random.Random(15)
+    text = words(rng, 80)
+    rows = [(3, text), (3, text), (5, text), (5, words(rng, 70)), (9, text), (None, text), (11, "few words " * 3), (12, "few words " * 3)]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, __gone int, node string").repartition(5)
+    found = sorted((r.match_doc_id, r.doc_id, r.start_word, r.end_word, r.class_id) for r in substring.repeated_passages(docs).collect())
+    assert found == [(3, 5, 0, 80, 3), (3, 9, 0, 80, 3)]
+    cut = sorted(substring.cut_passages(docs).collect(), key=str)
+    assert len(cut) == len(rows) and {len((r.text or "").split()) for r in cut if r.doc_id in (5, 9)} == {0, 70}
+
+
 def test_quality_rules_statistics(spark, awkward, labels):
     rows = quality_rules.judge(awkward, labels).collect()
     assert len(rows) == awkward.count()
@@ -334,11 +389,6 @@ def test_quality_rules_statistics(spark, awkward, labels):
     assert quality_rules.judge(awkward.limit(0), labels.limit(0)).count() == 0
 
 
-@pytest.fixture(scope="module")
-def corpus(spark):
-    return common.table(spark, SF, "documents"), common.table(spark, SF, "labels")
-
-
 def _accuracy(rows, truth, key):
     pairs = [(getattr(r, key), truth[r.doc_id]) for r in rows if r.doc_id in truth]
     return sum(a == b for a, b in pairs) / len(pairs)
