@@ -57,11 +57,37 @@ def shared_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame, what: str = "cut") -> DataFrame:
     """Cut the lineage: write to the shared folder as Parquet and read back with the same schema."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    path = f"{_own_dir(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/courtframes-{spark.sparkContext.applicationId}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete all that this application has materialised, once no result is read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Scratch:
+    """Materialised tables that are deleted together as soon as what they were for is stored."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def __call__(self, df: DataFrame, what: str) -> DataFrame:
+        self.tables.append(materialise(df, what))
+        return self.tables[-1]
+
+    def drop(self) -> None:
+        for df in self.tables:
+            drop_materialised(df)
+        self.tables = []
+
+
 def drop_materialised(df: DataFrame) -> None:
     """Delete the files of a materialised table that no later plan reads."""
     spark = df.sparkSession

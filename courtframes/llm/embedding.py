@@ -60,6 +60,8 @@ def list_decode(vectors: np.ndarray, turns: int = TURNS, codes: int = CODES, sha
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
+    """Rows of length one.  They are scaled first, so that squares of very large or small components are finite."""
+    vectors = vectors / np.maximum(np.abs(vectors).max(axis=1, keepdims=True), 5e-324)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
@@ -113,7 +115,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
             for dim in np.unique(sizes):
                 rows = np.flatnonzero(sizes == dim)
                 own = np.stack([flat[ends[r] - dim : ends[r]] for r in rows])
-                own = _unit(own / np.abs(own).max(axis=1, keepdims=True))
+                own = _unit(own)
                 for at in range(0, len(rows), 2048):
                     for r, f in zip(rows[at : at + 2048], list_decode(own[at : at + 2048], turns, codes, share, seed)):
                         found[r] = f
@@ -164,7 +166,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
         .join(linked, "node", "left")
         .select("label", "vector", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
     )
-    groups = groups.select(F.struct("label", "vector").alias("content"), "n_links", "component_id")
+    # stored, so that many copies of one vector are split as a skewed part of a plain join
+    groups = materialise(groups.select(F.struct("label", "vector").alias("content"), "n_links", "component_id"), "groups")
     return marked.join(groups, "content", "left").select(
         F.col("id").alias(id_col),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -69,7 +69,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     found = materialise(found, "windows")
     place = F.struct("id", "version", "start")
     first = found.groupBy("name").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last").select("name", "first")
-    return found.join(first, "name").filter(place != F.col("first")).select("id", "version", "start")
+    # stored, so that the join's sides are plain shuffles, whose skewed parts adaptive execution splits
+    return found.join(materialise(first, "firsts"), "name").filter(place != F.col("first")).select("id", "version", "start")
 
 
 def repeated_lines(docs: DataFrame, line_words: int = LINE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -81,7 +82,8 @@ def repeated_lines(docs: DataFrame, line_words: int = LINE_WORDS, id_col: str =
     found = materialise(rows.filter(full).select("id", "version", "start", F.xxhash64("line").alias("name")), "lines")
     place = F.struct("id", "version", "start")
     first = found.groupBy("name").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last").select("name", "first")
-    return found.join(first, "name").filter(place != F.col("first")).select("id", "version", "start")
+    # stored, so that the join's sides are plain shuffles, whose skewed parts adaptive execution splits
+    return found.join(materialise(first, "firsts"), "name").filter(place != F.col("first")).select("id", "version", "start")
 
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", line_words: int | None = None) -> DataFrame:
@@ -99,14 +101,14 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
         runs = runs.unionByName(repeated_lines(docs, line_words, id_col, text_col).withColumn("lines", F.lit(1)))
     gone = runs.groupBy("id", "version").agg(F.collect_set(F.struct("start", "lines")).alias("runs"))
     positions = F.flatten(F.transform("runs", lambda r: F.sequence(r["start"], r["start"] + (r["lines"] - 1))))
-    gone = gone.select(F.col("id").alias("__id"), F.col("version").alias("__version"), positions.alias("__gone"))
+    gone = gone.select("id", "version", positions.alias("gone"))
     text = F.col(f"d.`{text_col}`")
-    joined = docs.alias("d").join(gone, (F.col(f"d.`{id_col}`") == F.col("__id")) & (F.xxhash64(text) == F.col("__version")), "left")
+    joined = docs.alias("d").join(gone.alias("g"), (F.col(f"d.`{id_col}`") == F.col("g.id")) & (F.xxhash64(text) == F.col("g.version")), "left")
     lines = _lines(text)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
-    after = F.when(F.col("__gone").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("g.gone"))
+    after = F.when(F.col("g.gone").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
     n_lines = F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long")
-    n_removed = F.when(F.col("__gone").isNull(), 0).otherwise(F.size(F.array_distinct("__gone"))).cast("long")
+    n_removed = F.when(F.col("g.gone").isNull(), 0).otherwise(F.size(F.array_distinct("g.gone"))).cast("long")
     columns = [after.alias(c) if c == text_col else F.col(f"d.`{c}`") for c in extra]
     return joined.select(*columns, n_lines.alias("n_lines"), n_removed.alias("n_removed"))
 

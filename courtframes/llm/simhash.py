@@ -147,6 +147,8 @@ def components(docs: DataFrame, radius: int = 2, id_col: str = "doc_id", text_co
     groups = materialise(marked.groupBy("fp").agg(F.min(id_col).alias("low")), "groups")
     linked = connected_components(links(groups.select("fp"), radius))
     groups = groups.join(linked, groups["fp"] == linked["node"], "left").select("fp", "low", F.coalesce("component", "fp").alias("component"))
-    lowest = groups.groupBy("component").agg(F.min("low").alias("component_id"))
-    names = groups.join(lowest, "component").select("fp", "component_id")
+    # both are stored, so that a large component and a frequent fingerprint are split as skewed parts of plain joins
+    groups = materialise(groups, "groups")
+    lowest = materialise(groups.groupBy("component").agg(F.min("low").alias("component_id")), "lowest")
+    names = materialise(groups.join(lowest, "component").select("fp", "component_id"), "names")
     return marked.join(names, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

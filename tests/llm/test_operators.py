@@ -206,6 +206,15 @@ def test_embedding_links_match_brute_force(spark):
     assert embedding.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_of_extreme_size_and_mixed_length(spark):
+    rng = np.random.default_rng(16)
+    v = rng.standard_normal(32)
+    rows = [v * 1e200, v * 1e-200, v, v[:16], v[:16] * 3, np.append(v[:31], 50.0)]
+    df = spark.createDataFrame([(i, [float(x) for x in r], 1, 5) for i, r in enumerate(rows)], "vec_id long, embedding array<double>, label int, node int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding.near_duplicates(df).collect()}
+    assert got == {0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (1, 3), 4: (1, 3), 5: (0, 5)}
+
+
 def test_connected_components(spark):
     rng = random.Random(7)
     edges = [(i, i + 1) for i in range(60)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(70)] + [(500, k) for k in range(501, 700)] + [(3, 3)]
@@ -384,6 +393,8 @@ def test_quality_rules_statistics(spark, awkward, labels):
         if repeated is not None:
             marks = {i + k for i, x in enumerate(windows) if x in repeated for k in range(3)}
             assert r.n_repeat_words == len(marks)
+        lines = [x for x in (r.text or "").split("\n") if x.encode().split()]
+        assert r.n_symbols == sum(c in "#*$%&|<>" for c in r.text or "") and r.n_dup_lines == len(lines) - len(set(lines))
         assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
         assert not (r.base_failed and r.kept)
     assert quality_rules.judge(awkward.limit(0), labels.limit(0)).count() == 0
@@ -394,6 +405,74 @@ def _accuracy(rows, truth, key):
     return sum(a == b for a, b in pairs) / len(pairs)
 
 
+def test_isolation_depths_match_a_plain_walk():
+    rng = np.random.default_rng(20)
+    rows = np.vstack([rng.standard_normal((200, 3)), rng.standard_normal((5, 3)) * 9])
+    forest = quality_rules.IsolationForest(rows, trees=20, tree_rows=64)
+    total = np.zeros(len(rows))
+    for feature, value, left, length in forest.trees:
+        for i, row in enumerate(rows):
+            at = 0
+            while left[at] != at:
+                at = left[at] + (row[feature[at]] >= value[at])
+            total[i] += length[at]
+    assert np.allclose(forest.score(rows), 2.0 ** (-total / 20 / forest.norm))
+    assert forest.score(rows)[200:].mean() > forest.score(rows)[:200].mean()
+
+
+def test_boosted_trees_match_plain_trees():
+    rng = np.random.default_rng(21)
+    x = rng.integers(0, 6, (120, 3)).astype(float)
+    y = ((x[:, 0] > 2) ^ (x[:, 1] > 3)).astype(float)
+    model = toxicity.BoostedTrees(x, y, rounds=3, depth=2, bins=8)
+
+    def gain(g, h):
+        return g.sum() ** 2 / (h.sum() + 1)
+
+    f = np.full(len(y), model.start)
+    for _ in range(3):
+        q = 1 / (1 + np.exp(-f))
+        g, h = y - q, q * (1 - q)
+        leaves = [np.arange(len(y))]
+        for _ in range(2):
+            parts = []
+            for own in leaves:
+                best, found = 1e-9, (own, own[:0])
+                for j in range(3):
+                    for edge in model.edges[j]:
+                        a, b = own[x[own, j] < edge], own[x[own, j] >= edge]
+                        if (now := gain(g[a], h[a]) + gain(g[b], h[b]) - gain(g[own], h[own])) > best + 1e-12:
+                            best, found = now, (a, b)
+                parts += found
+            leaves = parts
+        for own in leaves:
+            f[own] += 0.2 * g[own].sum() / (h[own].sum() + 1)
+    assert np.allclose(f, model.margin(x))
+
+
+def test_isotonic_steps_are_the_least_squares_rising_ones():
+    rng = np.random.default_rng(22)
+    for _ in range(20):
+        x = rng.permutation(12).astype(float)
+        y = rng.integers(0, 2, 12).astype(float)
+        got = toxicity.Isotonic(x, y)(np.sort(x))
+        own = y[np.argsort(x)]
+        # the minimax form of isotonic regression
+        plain = [max(min(own[i : j + 1].mean() for j in range(k, 12)) for i in range(k + 1)) for k in range(12)]
+        assert np.allclose(got, plain)
+
+
+def test_toxicity_features_on_a_plain_text():
+    texts = ["you vile dog", "you dear dog"] * 30
+    lexicon = toxicity.Lexicon(texts, np.array([1, 0] * 30))
+    assert set(lexicon.words) == {"vile"}
+    text = b"You V1LE vile!! DOG and some words more and more before you come"
+    row = dict(zip(toxicity.FEATURES, toxicity.features(np.frombuffer(text, np.uint8), np.array([0, len(text)]), lexicon)[0]))
+    n = len(text.split())
+    assert row["lexicon density"] == 2 / n and row["obfuscated lexicon density"] == 1 / n and row["obfuscation rate"] == 1 / n
+    assert row["second person density"] == 2 / n and row["near second person"] == 1 and row["exclamation"] == 2 / n
+
+
 def test_quality_rules_part_the_labels(spark, corpus):
     docs, labels = corpus
     truth = {r.doc_id: r.quality for r in labels.collect()}
