@@ -12,11 +12,11 @@ FULL_RESET_S, FRONT_RESET_S = 24.0, 14.0
 # Action codes of fouls and what they are.
 FOULS = {
     1: ("personal", "team"), 2: ("shooting", "team"), 3: ("loose_ball", "team"), 4: ("offensive", "other"), 5: ("inbound", "team"),
-    6: ("away_from_play", "team"), 9: ("clear_path", "team"), 10: ("double_personal", "other"), 11: ("technical", "other"),
-    12: ("non_unsportsmanlike_technical", "other"), 13: ("hanging_technical", "other"), 14: ("flagrant_1", "team"), 15: ("flagrant_2", "team"),
-    16: ("double_technical", "other"), 17: ("defensive_3_seconds", "other"), 18: ("delay_of_game", "other"), 19: ("taunting", "other"),
-    25: ("excess_timeout", "other"), 26: ("offensive_charge", "other"), 27: ("personal_block", "team"), 28: ("personal_take", "team"),
-    29: ("shooting_block", "team"), 30: ("too_many_players", "other"),
+    6: ("away_from_play", "team"), 9: ("clear_path", "team"), 10: ("double_personal", "other"), 11: ("technical", "technical"),
+    12: ("non_unsportsmanlike_technical", "technical"), 13: ("hanging_technical", "technical"), 14: ("flagrant_1", "team"), 15: ("flagrant_2", "team"),
+    16: ("double_technical", "technical"), 17: ("defensive_3_seconds", "technical"), 18: ("delay_of_game", "technical"), 19: ("taunting", "technical"),
+    25: ("excess_timeout", "technical"), 26: ("offensive_charge", "other"), 27: ("personal_block", "team"), 28: ("personal_take", "team"),
+    29: ("shooting_block", "team"), 30: ("too_many_players", "technical"),
 }
 
 
@@ -46,3 +46,8 @@ def foul_detail(action: Column) -> Column:
 
 def is_team_foul(action: Column) -> Column:
     return action.isin([k for k, (_, kind) in FOULS.items() if kind == "team"])
+
+
+def is_technical(action: Column) -> Column:
+    """Fouls that technical free throws follow."""
+    return F.coalesce(action.isin([k for k, (_, kind) in FOULS.items() if kind == "technical"]), F.lit(False))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Letters with marks and the plain letters they become; suffixes that are no part of a name.
+# Letters with marks and the plain letters they become; kinds of free throws; suffixes that are no part of a name.
 MARKED = "áàâäãåāčćçďđéèêëēėęíìîïīłñńňóòôöõøōřšśțţťúùûüūýÿžźżğ"
 PLAIN = "aaaaaaacccddeeeeeeeiiiiilnnnooooooorsstttuuuuuyyzzzg"
+FREE_THROW_KINDS = ["technical", "flagrant", "clear path"]
 SUFFIXES = ["jr", "sr", "ii", "iii", "iv"]
 
 
@@ -26,11 +27,20 @@ def margin(text: Column) -> Column:
 
 
 def free_throw(text: Column) -> Column:
-    """Struct kind ('' for common), n, of, made of a free throw's description."""
-    kind = F.lower(F.regexp_extract(text, r"(?i)Free Throw (Technical|Flagrant|Clear Path)?", 1))
-    number = F.regexp_extract(text, r"(?i)Free Throw (?:Technical|Flagrant|Clear Path)?\s*(\d)", 1).try_cast("int")
-    of = F.regexp_extract(text, r"(?i)Free Throw (?:Technical|Flagrant|Clear Path)?\s*\d ?of (\d)", 1).try_cast("int")
-    return F.struct(kind.alias("kind"), number.alias("n"), of.alias("of"), (~F.upper(F.coalesce(text, F.lit(""))).startswith("MISS")).alias("made"))
+    """Struct kind ('' for common), n, of, made of a free throw's description.
+
+    What follows "Free Throw" is read from left to right: a kind, the attempt's digit, and "of" with the trip's digit.
+    """
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    tail = F.when(lower.contains("free throw "), F.array_join(F.slice(F.split(lower, "free throw "), 2, 1 << 30), "free throw ")).otherwise("")
+    kind = F.lit("")
+    for name in FREE_THROW_KINDS:
+        kind = F.when(tail.startswith(name), name).otherwise(kind)
+    rest = F.ltrim(F.substr(tail, F.length(kind) + 1))
+    n = F.left(rest, F.lit(1)).try_cast("int")
+    trip = F.ltrim(F.when(n.isNull(), rest).otherwise(F.substr(rest, F.lit(2))))
+    of = F.when(trip.startswith("of "), F.substr(trip, F.lit(4), F.lit(1)).try_cast("int"))
+    return F.struct(kind.alias("kind"), n.alias("n"), of.alias("of"), (~lower.startswith("miss")).alias("made"))
 
 
 def person_name(text: Column) -> Column:

@@ -115,24 +115,27 @@ def attack_direction(entities: DataFrame, pbp: DataFrame) -> DataFrame:
 
 
 def terminal_events(pbp: DataFrame) -> DataFrame:
-    """Rows that may end a possession, with the score margin (first team) before them."""
-    points = F.when(F.col("msg_type") == 1, F.when(F.col("description").contains("3PT"), 3).otherwise(2)).when((F.col("msg_type") == 3) & ~F.col("description").startswith("MISS"), 1).otherwise(0)
-    signed = points * F.when(F.col("p1_team_id") == 100, 1).otherwise(-1)
-    before = F.sum(signed).over(over(["game_id"], ["event_num"]).rowsBetween(Window.unboundedPreceding, -1))
-    marked = pbp.withColumn("margin_before", F.coalesce(before, F.lit(0)))
+    """Rows that may end a possession, with the score margin before them.
+
+    score_margin (home less visitors) stands at scoring rows only; the margin before a row is the last one listed, zero at first.
+    """
+    margin = F.last("score_margin", ignorenulls=True).over(over(["game_id"], ["event_num"]).rowsBetween(Window.unboundedPreceding, -1))
+    marked = pbp.withColumn("margin_before", F.coalesce(margin, F.lit(0)).cast("long"))
     return marked.filter(F.col("msg_type").isin(1, 2, 5, 6, 7, 9, 13)).select("game_id", "event_num", "period", "pctime_sec", "msg_type", "margin_before")
 
 
 def locate_clock(index: DataFrame, readings: DataFrame, bin_cs: int = 100) -> DataFrame:
     """Frame of each clock reading (clock_cs): in the bin above it, else within a bin around it.
 
-    Of several segments the lowest, inside it the frame nearest the bin's centre, then the earliest.
+    Where readings have after_ms, not null, only later frames count.  Of several segments the lowest, inside it the frame nearest the bin's centre, then the earliest.
     """
     keys = ["game_id", "period"]
     asked = readings.withColumn("__b", F.explode(F.sequence(F.floor((F.col("clock_cs") - bin_cs) / bin_cs), F.floor((F.col("clock_cs") + bin_cs) / bin_cs))))
     frames = index.select(*keys, "unix_ms", "segment_id", "game_clock_cs", F.floor(F.col("game_clock_cs") / bin_cs).alias("__b"))
     apart = F.col("game_clock_cs") - F.col("clock_cs")
     near = asked.join(frames, [*keys, "__b"]).withColumn("__in", (apart >= 0) & (apart < bin_cs)).filter(F.abs(apart) <= bin_cs)
+    if "after_ms" in readings.columns:
+        near = near.filter("after_ms is null or unix_ms > after_ms")
     rank = F.struct(~F.col("__in"), "segment_id", F.abs(2 * apart - bin_cs), "unix_ms")
     return near.groupBy(*readings.columns).agg(F.min_by("unix_ms", rank).alias("unix_ms"))
 

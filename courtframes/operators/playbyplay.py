@@ -1,4 +1,4 @@
-"""Play-by-play: row order, possessions, foul states, estimates, splits.
+"""Play-by-play: row order, foul states, free throws and their fouls, estimates, splits.
 
 pbp columns: game_id, event_num, period, pctime_sec (counts down), msg_type, action_type, p1_team_id, p1_id,
 p3_team_id, description and, optionally, p1_is_team for rows about a team.  Work of this grain is small
@@ -7,8 +7,6 @@ per game and parallel over games.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,17 +22,18 @@ MADE, MISSED, FREE_THROW, REBOUND, TURNOVER, FOUL, VIOLATION, SUBSTITUTION, TIME
 def order_pbp(pbp: DataFrame) -> DataFrame:
     """pbp with `pos`, the row's place in its game.
 
-    By period; period starts first and ends last; clock down; event number, but free throws of one
-    shooter at one clock by attempt, from the place of the first.
+    By period; period starts first and ends last; clock down; event number.  The attempts of a trip (free throws of one
+    player at one clock) stand together where its first is listed, in order of attempt.
     """
-    attempt = F.regexp_extract("description", r"Free Throw .*?(\d) of \d", 1).try_cast("int")
+    attempt = free_throw(F.col("description"))
+    numbered = (F.col("msg_type") == FREE_THROW) & attempt["of"].isNotNull()
+    rows = pbp.withColumn("__attempt", F.when(numbered, attempt["n"]))
     trip = Window.partitionBy("game_id", "period", "pctime_sec", "p1_id", "msg_type")
-    is_trip = (F.col("msg_type") == FREE_THROW) & attempt.isNotNull()
-    key = F.when(is_trip, F.min("event_num").over(trip) * 10 + attempt).otherwise(F.col("event_num") * 10)
-    rank = F.when(F.col("msg_type") == START, 0).when(F.col("msg_type") == END, 2).otherwise(1)
-    rows = pbp.withColumn("__rank", rank).withColumn("__key", key)
-    w = over(["game_id"], ["period", "__rank", F.desc("pctime_sec"), "__key", "event_num"])
-    return rows.withColumn("pos", F.row_number().over(w).cast("long")).drop("__rank", "__key")
+    listed = F.when(F.col("__attempt").isNotNull(), F.min("event_num").over(trip)).otherwise(F.col("event_num"))
+    phase = F.when(F.col("msg_type") == START, -1).when(F.col("msg_type") == END, 1).otherwise(0)
+    place = F.struct(F.col("period"), phase, -F.col("pctime_sec"), listed, F.coalesce("__attempt", F.lit(0)), F.col("event_num"))
+    rows = rows.withColumn("__place", place)
+    return rows.withColumn("pos", F.row_number().over(over(["game_id"], ["__place"])).cast("long")).drop("__place", "__attempt")
 
 
 def foul_states(pbp: DataFrame) -> DataFrame:
@@ -92,175 +91,6 @@ def possession_estimate(pbp: DataFrame, team_rebounds: bool = False) -> DataFram
     return out.withColumn("possessions", F.col("attempts") - F.col("offensive_rebounds") + F.col("turnovers") + 0.44 * F.col("free_throws"))
 
 
-POSSESSION = "game_id {id}, poss_seq int, period long, offense_team_id long, start_event_num long, end_event_num long, start_type string, end_type string, n_fga int, n_fta int, n_oreb int, points int, tech_offense int, tech_defense int, event_nums array<long>"
-
-
-@dataclass
-class _Ball:
-    """A stretch of play of one team, as it is being read."""
-
-    period: int
-    team: int | None
-    start: int | None
-    why: str
-    fga: int = 0
-    fta: int = 0
-    oreb: int = 0
-    points: int = 0
-    technical: dict[int, int] = field(default_factory=dict)
-    events: list[int] = field(default_factory=list)
-
-
-class _Reader:
-    """Reads a game's rows in order.  `ball` is the open stretch, `make` a basket that an extra free throw
-    may still follow, `turned` the last change: when, how, to whom, and from which stretch."""
-
-    def __init__(self, teams: list[int]):
-        self.rivals = dict(zip(teams, reversed(teams))) if len(teams) == 2 else {}
-        self.done: list[tuple[_Ball, int | None, str]] = []
-        self.ball: _Ball | None = None
-        self.make: tuple[int, float, int] | None = None
-        self.turned: tuple[tuple[int, float], str, int | None, _Ball | None] | None = None
-
-    def shut(self, event: int | None, how: str) -> None:
-        if self.ball is not None and self.ball.team is not None:
-            self.done.append((self.ball, event, how))
-        self.ball = None
-
-    def turn(self, when: tuple[int, float], to: int | None, event: int, how: str, why: str) -> None:
-        was = self.ball
-        self.shut(event, how)
-        self.ball = _Ball(when[0], to, event, why)
-        self.turned = (when, how, to, was)
-
-    def claim(self, when: tuple[int, float], team: int, event: int, why: str = "unrecorded_change") -> None:
-        """The team has the ball, whether or not the rows said so."""
-        if self.ball.team is None:
-            self.ball.team = team
-        elif self.ball.team != team:
-            self.ball.events.remove(event)
-            self.turn(when, team, event, "unrecorded_change", why)
-            self.ball.events.append(event)
-
-    def settle(self, row, when: tuple[int, float], team: int | None) -> None:
-        """A made basket changes the ball unless this row can still belong to it."""
-        if self.make is None:
-            return
-        scorer, clock, event = self.make
-        extra = row.msg_type == FREE_THROW and team == scorer
-        quiet = row.msg_type in (FOUL, SUBSTITUTION, TIMEOUT, REPLAY) or (row.msg_type == REBOUND and team == scorer)
-        if not (row.pctime_sec == clock and (extra or quiet)):
-            to = None if row.msg_type == END else self.rivals.get(scorer)
-            self.turn(when, to, event, "made_fg", "made_basket_inbound")
-            self.make = None
-
-    def read(self, row) -> None:
-        event, when = int(row.event_num), (int(row.period), row.pctime_sec)
-        team = None if pd.isna(row.p1_team_id) else int(row.p1_team_id)
-        self.settle(row, when, team)
-        if row.msg_type == START:
-            self.shut(event, "period_end")
-        if self.ball is None:
-            self.ball = _Ball(when[0], None, None, "period_start")
-        self.ball.events.append(event)
-        if row.msg_type == END:
-            self.shut(event, "period_end")
-        elif row.msg_type == JUMP_BALL:
-            self.tip(row, when, event)
-        elif team is not None:
-            rule = {MADE: self.shot, MISSED: self.shot, FREE_THROW: self.free_throw, REBOUND: self.rebound, TURNOVER: self.turnover}.get(row.msg_type)
-            if rule:
-                rule(row, when, team, event)
-
-    def tip(self, row, when, event) -> None:
-        if pd.isna(row.p3_team_id):
-            return
-        winner = int(row.p3_team_id)
-        if self.ball.team is None:
-            self.ball.team = winner
-            self.ball.why = "jump_ball" if self.ball.why == "period_start" else self.ball.why
-        elif self.ball.team != winner:
-            self.turn(when, winner, event, "jump_ball_lost", "jump_ball")
-
-    def shot(self, row, when, team, event) -> None:
-        self.claim(when, team, event)
-        self.ball.fga += 1
-        if row.msg_type == MADE:
-            self.ball.points += 3 if "3PT" in (row.description or "") else 2
-            self.make = (team, row.pctime_sec, event)
-
-    def free_throw(self, row, when, team, event) -> None:
-        if row.ft_kind == "technical":
-            self.ball.technical[team] = self.ball.technical.get(team, 0) + int(row.ft_made)
-            return
-        self.claim(when, team, event, "free_throws")
-        self.ball.fta += 1
-        self.ball.points += int(row.ft_made)
-        last = not pd.isna(row.ft_n) and row.ft_n == row.ft_of
-        if last and row.ft_made and not row.ft_kind:
-            self.turn(when, self.rivals.get(team), event, "made_ft", "made_ft_inbound")
-        if last:
-            self.make = None
-
-    def rebound(self, row, when, team, event) -> None:
-        if self.ball.team in (None, team):
-            self.ball.oreb += self.ball.team == team
-            self.ball.team = team
-        elif row.p1_is_team and self.turned and self.turned[:2] == (when, "made_ft"):
-            self._belongs_before(event)
-        else:
-            self.turn(when, team, event, "defensive_rebound", "defensive_rebound")
-
-    def turnover(self, row, when, team, event) -> None:
-        if self.ball.team not in (None, team) and self.turned and self.turned[0] == when and self.turned[2] == self.rivals.get(team):
-            self._belongs_before(event)
-            return
-        self.claim(when, team, event)
-        self.turn(when, self.rivals.get(team), event, "turnover", "turnover")
-
-    def _belongs_before(self, event: int) -> None:
-        """A late row about a change that is already made."""
-        self.ball.events.remove(event)
-        if self.turned[3] is not None:
-            self.turned[3].events.append(event)
-
-
-def possessions(pbp: DataFrame) -> DataFrame:
-    """Possessions of each game with the events that belong to them.
-
-    The owner at a row depends on all rows before it, so each game is read in order; a game's rows are
-    few.  Stretches whose team never shows are left out.
-    """
-    kind = free_throw(F.col("description"))
-    if "p1_is_team" not in pbp.columns:
-        pbp = pbp.withColumn("p1_is_team", F.lit(False))
-    rows = order_pbp(pbp).withColumn("__ft", kind)
-    rows = rows.select("game_id", "pos", "event_num", "period", "pctime_sec", "msg_type", "p1_team_id", "p3_team_id", "description", "p1_is_team", F.col("__ft.kind").alias("ft_kind"), F.col("__ft.n").alias("ft_n"), F.col("__ft.of").alias("ft_of"), F.col("__ft.made").alias("ft_made"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        reader = _Reader(sorted({int(t) for t in pdf["p1_team_id"].dropna()}))
-        for row in pdf.sort_values("pos").itertuples(index=False):
-            reader.read(row)
-        reader.shut(None, "game_end")
-        out = []
-        for seq, (b, end, how) in enumerate(reader.done):
-            own = b.technical.get(b.team, 0)
-            out.append((pdf["game_id"].iloc[0], seq, b.period, b.team, b.start, end, b.why, how, b.fga, b.fta, b.oreb, b.points, own, sum(b.technical.values()) - own, b.events))
-        frame = pd.DataFrame(out, columns=names)
-        return frame.astype({"start_event_num": "Int64", "end_event_num": "Int64"})
-
-    schema = POSSESSION.format(id=dict(pbp.dtypes)["game_id"])
-    names = [c.split()[0] for c in schema.split(", ")]
-    return rows.groupBy("game_id").applyInPandas(run, schema)
-
-
-def possession_map(pbp: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Each row of pbp with its possession and whether its team has the ball."""
-    belongs = ledger.select("game_id", "poss_seq", "offense_team_id", F.explode("event_nums").alias("event_num"))
-    role = F.when(F.col("p1_team_id").isNull() | F.col("offense_team_id").isNull(), None).when(F.col("p1_team_id") == F.col("offense_team_id"), "offense").otherwise("defense")
-    return pbp.join(belongs, ["game_id", "event_num"], "left").select("game_id", "event_num", "poss_seq", "offense_team_id", role.alias("role"))
-
-
 def splits(games: DataFrame, train: float = 0.8, val: float = 0.1, folds: int = 5, seed: int = 9) -> DataFrame:
     """Games with split, parity by date order, and fold by a seeded hash rank.
 
@@ -289,8 +119,8 @@ def free_throw_links(pbp: DataFrame) -> DataFrame:
     """
     ft = free_throw(F.col("description"))
     rows = order_pbp(pbp).filter(F.col("msg_type").isin(FOUL, FREE_THROW) & ((F.col("msg_type") == FOUL) | F.col("p1_team_id").isNotNull()))
-    technical = F.when(F.col("msg_type") == FOUL, rules.foul_detail(F.col("action_type")).contains("technical")).otherwise(ft["kind"] == "technical")
-    rows = rows.select("game_id", "pos", "event_num", "period", "pctime_sec", "msg_type", F.col("p1_team_id").alias("team"), F.col("p1_id").alias("player"), technical.alias("technical"), ft["n"].alias("n"), ft["of"].alias("of"), ft["kind"].alias("kind"), ft["made"].alias("made"))
+    technical = F.when(F.col("msg_type") == FOUL, rules.is_technical(F.col("action_type"))).otherwise(ft["kind"] == "technical")
+    rows = rows.select("game_id", "pos", "event_num", "period", "pctime_sec", "msg_type", F.col("p1_team_id").alias("team"), F.col("p1_id").alias("player"), technical.alias("technical"), ft["n"].alias("n"), ft["of"].alias("of"), F.replace(ft["kind"], F.lit(" "), F.lit("_")).alias("kind"), ft["made"].alias("made"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         open_fouls: dict[tuple, list] = {}

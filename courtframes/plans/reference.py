@@ -145,14 +145,20 @@ def direction(spark, d):
     return fr.attack_direction(frames(spark, d), pbp(spark, d))
 
 
+#: Points of 100 less those of 200 so far, at scoring rows; the lens has no margin of its own.
+_MARGIN = """sum(case when p1_team_id = 100 then 1 else -1 end * case when msg_type = 1 then case when description like '%3PT%' then 3 else 2 end when msg_type = 3 and description not like 'MISS%' then 1 else 0 end)
+      over (partition by game_id order by event_num rows unbounded preceding)"""
+_SCORES = "case when msg_type = 1 or (msg_type = 3 and description not like 'MISS%') then margin end as score_margin"
+
+
 @query(
     "l1_terminal_events",
-    """select game_id, event_num, period, pctime_sec, msg_type, margin_before from (select *, cast(coalesce(sum(case when p1_team_id = 100 then 1 else -1 end *
-      case when msg_type = 1 then case when description like '%3PT%' then 3 else 2 end when msg_type = 3 and description not like 'MISS%' then 1 else 0 end)
-      over (partition by game_id order by event_num rows between unbounded preceding and 1 preceding), 0) as bigint) as margin_before from pbp_v) where msg_type in (1, 2, 5, 6, 7, 9, 13)""",
+    f"""select game_id, event_num, period, pctime_sec, msg_type, cast(coalesce(last_value(score_margin ignore nulls) over (partition by game_id order by event_num rows between unbounded preceding and 1 preceding), 0) as bigint) as margin_before
+    from (select *, {_SCORES} from (select *, {_MARGIN} as margin from pbp_v)) qualify msg_type in (1, 2, 5, 6, 7, 9, 13)""",
 )
 def _(spark, d):
-    return fr.terminal_events(pbp(spark, d))
+    scored = pbp(spark, d).selectExpr("*", f"{_MARGIN} as margin").selectExpr("*", _SCORES)
+    return fr.terminal_events(scored)
 
 
 @query(

@@ -8,6 +8,7 @@ from courtframes.functions import court, rules
 from courtframes.functions.text import clock_seconds, free_throw, padded_id, person_name
 from courtframes.operators import kernels as kn
 from courtframes.operators import playbyplay as pb
+from courtframes.operators import possessions as ps
 from courtframes.operators import reports as rp
 from courtframes.operators import shot_clock as sc
 from courtframes.plans.reference import _VIEWS, frames, index, pbp, query, series
@@ -62,14 +63,58 @@ def _(spark, d):
     return pb.possession_estimate(pbp(spark, d)).withColumn("possessions", F.round("possessions", 4))
 
 
-@query("p2_possessions")
+# The lens has the teams 100 and 200 in each game, so a team's rival is 300 less it; none of its rebounds is a team's.
+_VIEWS["walk_v"] = """with o as (select *, p1_team_id as team, 300 - p1_team_id as rival, msg_type = 3 and p1_team_id is not null and description not like '%Technical%' as attempt, description not like 'MISS%' as went_in from order_v),
+    f as (select *, attempt and description like '%2 of 2%' as final, last_value(case when msg_type = 1 then team end ignore nulls) over (partition by game_id, period, pctime_sec order by pos rows between unbounded preceding and 1 preceding) as scorer from o),
+    w as (select *, sum(case when msg_type in (6, 8, 9, 18) or (msg_type in (3, 4) and coalesce(team = scorer, false)) then 0 else 1 end) over (partition by game_id, period, pctime_sec order by pos rows unbounded preceding) as stretch from f),
+    b as (select *, max(case when msg_type = 1 then team end) over g as basket, bool_or(final) over g as decided, max(case when msg_type = 1 then event_num end) over g as made_event,
+          row_number() over (partition by game_id, period, pctime_sec, stretch order by pos desc) = 1 as ends from w window g as (partition by game_id, period, pctime_sec, stretch)),
+    q as (select *, basket is not null and not decided as in_basket from b),
+    s as (select *, in_basket and ends as scored, case when msg_type in (12, 13) then -1 when in_basket and ends then 300 - basket when in_basket then null when msg_type = 10 then p3_team_id when team is null then null
+          when msg_type in (1, 2, 4) then team when final and went_in then rival when attempt then team when msg_type = 5 then rival end as says from q),
+    h as (select *, nullif(last_value(says ignore nulls) over (partition by game_id order by pos rows between unbounded preceding and 1 preceding), -1) as holder,
+          case when (msg_type in (1, 2, 5) or attempt) and team is not null and (msg_type = 1 or not in_basket) then team end as needs,
+          case when scored then lead(period) over (partition by game_id order by pos) else period end as seen_period, case when scored then lead(pctime_sec) over (partition by game_id order by pos) else pctime_sec end as seen_clock from s),
+    m as (select *, last_value(case when says is not null and msg_type not in (12, 13) and (scored or coalesce(says <> holder, false) or msg_type = 5 or (final and went_in)) then {'p': seen_period, 'c': seen_clock, 'to': says} end ignore nulls)
+          over (partition by game_id order by pos rows between unbounded preceding and 1 preceding) as last from h),
+    l as (select *, coalesce(msg_type = 5 and team <> holder and last.to = rival and last.p = period and last.c = pctime_sec, false) as late from m)
+    select *, not late and coalesce(needs <> holder, false) as takes, case when late then null when scored then 'made_fg' when msg_type = 5 and team is not null then 'turnover' when in_basket then null when final and went_in then 'made_ft'
+      when msg_type = 10 and p3_team_id <> holder then 'jump_ball_lost' when msg_type = 4 and team <> holder then 'defensive_rebound' end as how, row_number() over (partition by game_id order by pos) = 1 as opens, lead(period) over (partition by game_id order by pos) as next_period from l"""
+_VIEWS["opening_v"] = """select *, row_number() over (partition by game_id order by pos, slot) as nth from (
+    select game_id, pos, 0 as slot, period, null::bigint as team, null::bigint as start, 'period_start' as why, event_num as ended, 'period_end' as how, false as turns from walk_v where msg_type = 12 or opens
+    union all select game_id, pos, 1, period, needs, event_num, case when msg_type = 3 then 'free_throws' else 'unrecorded_change' end, event_num, 'unrecorded_change', true from walk_v where takes
+    union all select game_id, pos, 3, case when scored then coalesce(next_period, period) else period end, nullif(says, -1), case when how = 'made_fg' then made_event else event_num end,
+      case how when 'made_fg' then 'made_basket_inbound' when 'made_ft' then 'made_ft_inbound' when 'jump_ball_lost' then 'jump_ball' else how end, case when how = 'made_fg' then made_event else event_num end, how, true from walk_v where how is not null
+    union all select game_id, pos, 4, period, null, null, 'period_start', event_num, 'period_end', false from walk_v where msg_type = 13)"""
+_VIEWS["stand_v"] = """select w.*, case when late then t.turned else t.nth end as belongs from walk_v w join (
+    select game_id, pos, slot, count(*) filter (slot <> 2) over r as nth, last_value(turned ignore nulls) over r as turned from (
+      select game_id, pos, slot, case when turns then nth - 1 end as turned from opening_v union all select game_id, pos, 2, null from walk_v)
+    window r as (partition by game_id order by pos, slot rows unbounded preceding)) t on t.game_id = w.game_id and t.pos = w.pos and t.slot = 2"""
+_VIEWS["ledger_v"] = """with c as (select game_id, belongs as nth, min(case when not late and claim is not null then {'pos': pos, 'claim': claim, 'tip': msg_type = 10} end) as claimed, sum((msg_type in (1, 2) and team is not null)::int) as n_fga, sum(attempt::int) as n_fta,
+        sum(case when msg_type = 1 and team is not null then case when description like '%3PT%' then 3 else 2 end when attempt and went_in then 1 else 0 end) as points, string_agg(event_num, ',' order by pos) as events,
+        list(team) filter (msg_type = 4 and (holder is not null or in_basket)) as rebounds, list(team) filter (msg_type = 3 and team is not null and not attempt and went_in) as technicals
+      from (select *, case when msg_type = 10 then p3_team_id when msg_type = 4 then team else needs end as claim from stand_v) group by all),
+    e as (select *, lead(ended) over (partition by game_id order by nth) as end_event, coalesce(lead(how) over (partition by game_id order by nth), 'game_end') as end_type from opening_v)
+    select e.game_id, (row_number() over (partition by e.game_id order by e.nth) - 1)::int as poss_seq, e.period, coalesce(e.team, c.claimed.claim) as offense_team_id, e.start as start_event_num, e.end_event as end_event_num,
+      case when e.team is null and c.claimed.tip and e.why = 'period_start' then 'jump_ball' else e.why end as start_type, e.end_type, coalesce(n_fga, 0)::int as n_fga, coalesce(n_fta, 0)::int as n_fta,
+      coalesce(len(list_filter(rebounds, lambda t: t = coalesce(e.team, c.claimed.claim))), 0)::int as n_oreb, coalesce(points, 0)::int as points, coalesce(len(list_filter(technicals, lambda t: t = coalesce(e.team, c.claimed.claim))), 0)::int as tech_offense,
+      coalesce(len(list_filter(technicals, lambda t: t <> coalesce(e.team, c.claimed.claim))), 0)::int as tech_defense, coalesce(events, '') as event_nums
+    from e left join c using (game_id, nth) where coalesce(e.team, c.claimed.claim) is not null"""
+
+
+@query("p2_possessions", "select * from ledger_v")
+def _(spark, d):
+    return ledger(spark, d).withColumn("event_nums", F.array_join("event_nums", ","))
+
+
 def ledger(spark, d):
-    return pb.possessions(pbp(spark, d))
+    return ps.possessions(pbp(spark, d))
 
 
-@query("p4_possession_map")
+@query("p4_possession_map", """select p.game_id, p.event_num, l.poss_seq, l.offense_team_id, case when p.p1_team_id is null or l.offense_team_id is null then null when p.p1_team_id = l.offense_team_id then 'offense' else 'defense' end as role
+    from pbp_v p left join (select game_id, poss_seq, offense_team_id, cast(unnest(string_split(nullif(event_nums, ''), ',')) as bigint) as event_num from ledger_v) l using (game_id, event_num)""")
 def _(spark, d):
-    return pb.possession_map(pbp(spark, d), ledger(spark, d))
+    return ps.possession_map(pbp(spark, d), ledger(spark, d))
 
 
 _VIEWS["fill_v"] = """select *, sc is not null and sc between 0 and 2400 and not stuck as ok from (select *, full24 and max(game_clock_cs) over (partition by game_id, period, run_id) - min(game_clock_cs) over (partition by game_id, period, run_id) > 800 as stuck from (

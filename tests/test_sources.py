@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from courtframes.functions import rules
 from courtframes.functions.text import clock_seconds, free_throw, margin, person_name
 from courtframes.operators import events as ev
-from courtframes.operators import matching, playbyplay
+from courtframes.operators import matching, possessions
 from courtframes.sources import raw, tables
 from courtframes.streaming import frames as stream
 
@@ -78,16 +78,17 @@ def _pbp(spark, rows):
 def test_possession_walk(spark):
     a, b = 100, 200
     held = _pbp(spark, [(720, 12, None, None, "", False), (720, 10, a, a, "", False), (700, 2, a, None, "MISS", False), (698, 4, b, None, "", False), (690, 10, a, a, "", False), (690, 5, b, None, "Lost Ball", False), (680, 1, a, None, "3PT", False), (600, 13, None, None, "", False)])
-    rows = playbyplay.possessions(held).orderBy("poss_seq").collect()
-    assert [r.offense_team_id for r in rows] == [a, b, a]
-    assert [r.end_type for r in rows] == ["defensive_rebound", "jump_ball_lost", "made_fg"] and rows[2].points == 3
+    rows = possessions.possessions(held).orderBy("poss_seq").collect()
+    # the period ends on a basket, so the other team has the ball at its end
+    assert [r.offense_team_id for r in rows] == [a, b, a, b]
+    assert [r.end_type for r in rows] == ["defensive_rebound", "jump_ball_lost", "made_fg", "period_end"] and rows[2].points == 3
     late = _pbp(spark, [(720, 12, None, None, "", False), (700, 3, a, None, "MISS Free Throw 1 of 2", False), (700, 3, a, None, "Free Throw 2 of 2", False), (700, 4, a, None, "Team Rebound", True), (650, 2, b, None, "MISS", False), (600, 13, None, None, "", False)])
-    rows = playbyplay.possessions(late).orderBy("poss_seq").collect()
+    rows = possessions.possessions(late).orderBy("poss_seq").collect()
     assert [(r.offense_team_id, r.end_type) for r in rows] == [(a, "made_ft"), (b, "period_end")]
     andone = _pbp(spark, [(720, 12, None, None, "", False), (700, 1, a, None, "Layup", False), (700, 6, b, None, "", False), (700, 3, a, None, "Free Throw 1 of 1", False), (680, 2, b, None, "MISS", False), (600, 13, None, None, "", False)])
-    rows = playbyplay.possessions(andone).orderBy("poss_seq").collect()
+    rows = possessions.possessions(andone).orderBy("poss_seq").collect()
     assert [(r.offense_team_id, r.points, r.end_type) for r in rows] == [(a, 3, "made_ft"), (b, 0, "period_end")]
-    found = {r.event_num: (r.poss_seq, r.role) for r in playbyplay.possession_map(andone, playbyplay.possessions(andone)).collect()}
+    found = {r.event_num: (r.poss_seq, r.role) for r in possessions.possession_map(andone, possessions.possessions(andone)).collect()}
     assert found[1] == (0, "offense") and found[2] == (0, "defense") and found[4] == (1, "offense")
 
 
