@@ -35,15 +35,22 @@ def player_rows(entities: DataFrame) -> DataFrame:
 
 
 def nearest_players(entities: DataFrame) -> DataFrame:
-    """Per frame with a ball: nearest and second nearest player, and the nearest of each team."""
-    d = player_rows(entities).join(ball_rows(entities), FRAME).withColumn("d2", _apart2("x_cft", "y_cft", "bx", "by"))
-    one = F.struct("d2", "player_id", "team_id")
-    per_team = d.groupBy(*FRAME, "bz", "team_id").agg(F.min(one).alias("best"), F.sort_array(F.collect_list("d2"))[1].alias("team_second"))
-    return per_team.groupBy(*FRAME, "bz").agg(
-        F.min("best").alias("near"),
-        F.map_from_entries(F.collect_list(F.struct("team_id", "best"))).alias("of_team"),
-        F.sort_array(F.flatten(F.collect_list(F.array("best.d2", "team_second"))))[1].alias("second_d2"),
-    )
+    """Per frame with a ball: nearest and second nearest player, and the nearest of each of both teams.
+
+    Rows are dealt by frame once; ball, ranks and the result share that dealing.
+    """
+    frame = Window.partitionBy(*FRAME)
+    is_ball = F.col("team_id") == BALL
+    ball = [F.max(F.when(is_ball, F.col(c))).over(frame).alias(b) for c, b in (("x_cft", "bx"), ("y_cft", "by"), ("z_cft", "bz"))]
+    d = entities.select(*FRAME, "team_id", "player_id", "x_cft", "y_cft", *ball).filter(~is_ball & F.col("bx").isNotNull()).withColumn("d2", _apart2("x_cft", "y_cft", "bx", "by"))
+    by_distance = ["d2", "player_id"]
+    d = d.select("*", F.row_number().over(frame.orderBy(*by_distance)).alias("n"), F.row_number().over(Window.partitionBy(*FRAME, "team_id").orderBy(*by_distance)).alias("n_team"), F.min("team_id").over(frame).alias("team_a"))
+    at = lambda n, c: F.max(F.when(F.col("n") == n, F.col(c)))
+    of = lambda own, c: F.max(F.when((F.col("n_team") == 1) & ((F.col("team_id") == F.col("team_a")) == own), F.col(c)))
+    return d.groupBy(*FRAME).agg(
+        F.max("bz").alias("bz"), at(1, "player_id").alias("near_id"), at(1, "team_id").alias("near_team"), at(1, "d2").alias("near_d2"), at(2, "d2").alias("second_d2"),
+        *[of(own, c).alias(f"{name}_{side}") for own, side in ((True, "a"), (False, "b")) for c, name in (("team_id", "team"), ("player_id", "best_id"), ("d2", "best_d2"))],
+    )
 
 
 def handler(entities: DataFrame, index: DataFrame) -> DataFrame:
@@ -56,29 +63,33 @@ def handler(entities: DataFrame, index: DataFrame) -> DataFrame:
     held = F.col("has_ball") & (F.col("bz") <= HELD_Z_CFT)
     reach = REACH_CFT * REACH_CFT
     rows = index.select(*FRAME, "segment_id", "has_ball").join(nearest_players(entities), FRAME, "left")
-    close = F.coalesce(held & (F.col("near.d2") <= reach), F.lit(False))
+    close = F.coalesce(held & (F.col("near_d2") <= reach), F.lit(False))
     rows = rows.select(
-        *FRAME, "segment_id", "has_ball", "bz", "of_team",
-        F.when(close, F.col("near.player_id")).otherwise(-1).alias("cand_id"),
-        F.when(close, F.col("near.team_id")).otherwise(-1).alias("cand_team"),
-        F.col("near.d2").alias("cand_d2"),
-        (close & F.coalesce(F.col("near.d2") == F.col("second_d2"), F.lit(False))).alias("cand_ambiguous"),
+        *FRAME, "segment_id", "has_ball", "bz", "team_a", "team_b", "best_id_a", "best_id_b", "best_d2_a", "best_d2_b",
+        F.when(close, F.col("near_id")).otherwise(-1).alias("cand_id"),
+        F.when(close, F.col("near_team")).otherwise(-1).alias("cand_team"),
+        F.col("near_d2").alias("cand_d2"),
+        (close & F.coalesce(F.col("near_d2") == F.col("second_d2"), F.lit(False))).alias("cand_ambiguous"),
         F.coalesce(held, F.lit(False)).alias("__held"),
     )
     rows = kn.mark_runs(rows, SEGMENT, ["unix_ms"], ["cand_team"])
     rows = _spread(rows, "cand_team", lambda t: kn.hysteresis(t, SEGMENT, "cand_team", HOLD, SWITCH), "control")
-    best = F.col("of_team")[F.col("control")]
-    own = F.coalesce(F.col("__held") & (best["d2"] <= reach), F.lit(False))
-    rows = rows.withColumn("__cand", F.when(own, best["player_id"]).otherwise(-1))
+    of_control = lambda c: F.when(F.col("control") == F.col("team_a"), F.col(f"{c}_a")).when(F.col("control") == F.col("team_b"), F.col(f"{c}_b"))
+    own = F.coalesce(F.col("__held") & (of_control("best_d2") <= reach), F.lit(False))
+    rows = rows.withColumn("__cand", F.when(own, of_control("best_id")).otherwise(-1))
     rows = kn.mark_runs(rows, SEGMENT, ["unix_ms"], ["__cand"])
     rows = _spread(rows, "__cand", lambda t: kn.sticky(t, SEGMENT, "__cand", HOLD), "state")
     return rows.select(*FRAME, "segment_id", "has_ball", "bz", "cand_id", "cand_d2", "cand_ambiguous", F.col("control").alias("control_team_id"), F.col("state").alias("handler_id"))
 
 
 def _spread(rows: DataFrame, value: str, rule, name: str) -> DataFrame:
-    """The result of a rule over runs, on each row of its run.  Runs and rows share their partitioning."""
-    table = rows.groupBy(*SEGMENT, "run_id").agg(F.first(value).alias(value), F.count("*").alias("n"))
-    return rows.join(rule(table).select(*SEGMENT, "run_id", name), [*SEGMENT, "run_id"]).drop("run_id")
+    """The result of a rule over runs, on each row of its run.
+
+    A run carries its rows as an array through the rule, so rows are neither planned twice nor joined again.
+    """
+    own = [c for c in rows.columns if c not in (*SEGMENT, "run_id", value)]
+    table = rows.groupBy(*SEGMENT, "run_id").agg(F.first(value).alias(value), F.count("*").alias("n"), F.collect_list(F.struct(*own)).alias("__rows"))
+    return rule(table).select(*SEGMENT, value, name, F.explode("__rows").alias("__row")).select(*SEGMENT, value, "__row.*", name)
 
 
 def touches(handlers: DataFrame) -> DataFrame:

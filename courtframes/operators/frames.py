@@ -19,10 +19,12 @@ JUMP_CS = 100
 
 
 def dedup_entities(raw: DataFrame) -> DataFrame:
-    """One row per entity and time: the first by event and moment."""
-    rest = [c for c in raw.columns if c not in ENTITY]
-    first = F.min_by(F.struct(*rest), F.struct("event_id", "moment_idx"))
-    return raw.groupBy(*ENTITY).agg(first.alias("r")).select(*ENTITY, "r.*")
+    """One row per entity and time: the first by event and moment.
+
+    Rows are dealt by frame, and sorted once; the frame index reuses the dealing.
+    """
+    first = F.row_number().over(over(ENTITY, ["event_id", "moment_idx"]))
+    return raw.repartition(*FRAME).withColumn("__nth", first).filter("__nth = 1").drop("__nth")
 
 
 def frame_index(entities: DataFrame) -> DataFrame:
@@ -31,12 +33,16 @@ def frame_index(entities: DataFrame) -> DataFrame:
     A segment begins at a period's start, after a hole of more than 60 ms, or where the clock rises by more
     than a second; segments count from zero in each game.
     """
-    frames = entities.groupBy(*FRAME).agg(
-        F.mode("game_clock_cs", True).alias("game_clock_cs"),
-        F.mode("shot_clock_cs", True).alias("shot_clock_cs"),
+    clocks = ["game_clock_cs", "shot_clock_cs"]
+    # in each frame a clock's rows are counted by windows, so that the mode is a plain maximum of numbers
+    votes = entities.select("*", *[F.count(c).over(Window.partitionBy(*FRAME, c)).alias(f"__n_{c}") for c in clocks])
+    most = Window.partitionBy(*FRAME)
+    votes = votes.select("*", *[F.max(f"__n_{c}").over(most).alias(f"__most_{c}") for c in clocks])
+    frames = votes.groupBy(*FRAME).agg(
+        *[F.min(F.when(F.col(f"__n_{c}") == F.col(f"__most_{c}"), F.col(c))).alias(c) for c in clocks],
         F.count("*").alias("n_entities"),
         F.count_if(F.col("team_id") != BALL).alias("n_players"),
-        F.bool_or(F.col("team_id") == BALL).alias("has_ball"),
+        F.max(F.col("team_id") == BALL).alias("has_ball"),
     )
     w = over(["game_id", "period"], ["unix_ms"])
     rise = F.col("game_clock_cs") - F.lag("game_clock_cs").over(w)

@@ -47,10 +47,12 @@ def _spoken(pbp: DataFrame) -> DataFrame:
     if "p1_is_team" not in pbp.columns:
         pbp = pbp.withColumn("p1_is_team", F.lit(False))
     ft = free_throw(F.col("description"))
-    teams = pbp.groupBy("game_id").agg(F.array_sort(F.collect_set("p1_team_id")).alias("teams"))
-    rows = order_pbp(pbp).join(teams, "game_id").withColumn("team", F.col("p1_team_id").cast("long"))
-    two = F.size("teams") == 2
-    rival = F.when(two & (F.col("team") == F.get("teams", F.lit(0))), F.get("teams", F.lit(1))).when(two, F.get("teams", F.lit(0))).otherwise(NOBODY).cast("long")
+    game = Window.partitionBy("game_id")
+    rows = order_pbp(pbp).withColumn("team", F.col("p1_team_id").cast("long"))
+    rows = rows.select("*", F.min("team").over(game).alias("__low"), F.max("team").over(game).alias("__high"))
+    two = (F.col("__low") < F.col("__high")) & ~F.max((F.col("team") != F.col("__low")) & (F.col("team") != F.col("__high"))).over(game)
+    # with other than two teams nobody is known to get the ball
+    rival = F.when(F.coalesce(two, F.lit(False)), F.col("__low") + F.col("__high") - F.col("team")).otherwise(NOBODY)
     attempt = _is(FREE_THROW) & F.col("team").isNotNull() & (ft["kind"] != "technical")
     rows = rows.select(
         "game_id", "pos", "event_num", "period", "pctime_sec", "msg_type", "team", "description", "p1_is_team", F.col("p3_team_id").cast("long").alias("winner"),
@@ -60,19 +62,19 @@ def _spoken(pbp: DataFrame) -> DataFrame:
     # baskets and what belongs to them
     clock = Window.partitionBy("game_id", "period", "pctime_sec").orderBy("pos")
     scorer = _last(F.when(_is(MADE), F.col("team")), clock.rowsBetween(Window.unboundedPreceding, -1))
-    with_basket = _is(*WITH_BASKET) | (_is(FREE_THROW, REBOUND) & F.coalesce(F.col("team") == scorer, F.lit(False)))
+    rows = rows.withColumn("scorer", scorer)
+    with_basket = _is(*WITH_BASKET) | (_is(FREE_THROW, REBOUND) & F.coalesce(F.col("team") == F.col("scorer"), F.lit(False)))
     rows = rows.withColumn("stretch", F.sum((~with_basket).cast("int")).over(clock.rowsBetween(Window.unboundedPreceding, 0)))
     group = Window.partitionBy("game_id", "period", "pctime_sec", "stretch").orderBy("pos")
     whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     basket = F.first(F.when(_is(MADE), F.col("team")), ignorenulls=True)
     rows = rows.withColumn("basket", basket.over(whole)).withColumn("decided", F.min(F.when(F.col("final") & F.col("basket").isNotNull(), F.col("pos"))).over(whole))
-    rows = rows.withColumn("made_event", F.first(F.when(_is(MADE), F.col("event_num")), ignorenulls=True).over(whole)).withColumn("ends", F.lead("pos").over(group).isNull())
+    rows = rows.withColumn("basket_rival", F.first(F.when(_is(MADE), F.col("rival")), ignorenulls=True).over(whole)).withColumn("made_event", F.first(F.when(_is(MADE), F.col("event_num")), ignorenulls=True).over(whole)).withColumn("ends", F.lead("pos").over(group).isNull())
     open_basket = F.col("basket").isNotNull() & F.col("decided").isNull()
     scored = open_basket & F.col("ends")
-    rival_of_basket = F.first(F.when(_is(MADE), F.col("rival")), ignorenulls=True).over(whole)
     says = (
         F.when(_is(START, END), NOBODY)
-        .when(scored, rival_of_basket)
+        .when(scored, F.col("basket_rival"))
         .when(open_basket, None)
         .when(_is(JUMP_BALL), F.col("winner"))
         .when(F.col("team").isNull(), None)
@@ -85,7 +87,8 @@ def _spoken(pbp: DataFrame) -> DataFrame:
     # late team rebounds
     made_last = F.col("final") & F.col("went_in") & F.col("common")
     speaks = F.col("says").isNotNull() & ~(_is(REBOUND) & F.col("p1_is_team"))
-    prior = _last(F.when(speaks, F.struct("period", "pctime_sec", "team", made_last.alias("made"))))
+    rows = rows.withColumn("prior", _last(F.when(speaks, F.struct("period", "pctime_sec", "team", made_last.alias("made")))))
+    prior = F.col("prior")
     late = _is(REBOUND) & F.col("p1_is_team") & prior["made"] & (prior["period"] == F.col("period")) & (prior["pctime_sec"] == F.col("pctime_sec")) & (prior["team"] == F.col("team"))
     return rows.withColumn("late", F.coalesce(late, F.lit(False))).withColumn("says", F.when(~F.col("late"), F.col("says")))
 
@@ -94,14 +97,15 @@ def _changed(pbp: DataFrame) -> DataFrame:
     """Rows of _spoken with holder before, takes (a change before the row), how (of a change after it) and to."""
     rows = _spoken(pbp)
     holder = _last(F.col("says"))
-    rows = rows.withColumn("holder", F.when(holder != NOBODY, holder))
+    rows = rows.withColumn("holder", holder).withColumn("holder", F.when(F.col("holder") != NOBODY, F.col("holder")))
     # a jump ball, a rebound and a claim where nobody was known change nothing
     needs = F.when((_is(MADE, MISSED, TURNOVER) | F.col("attempt")) & F.col("team").isNotNull() & ~(F.col("open_basket") & ~_is(MADE)), F.col("team"))
     # where a change is noticed: that of a basket by the row after its stretch
     noticed = F.when(F.col("scored"), F.struct(F.lead("period").over(_game()).alias("period"), F.lead("pctime_sec").over(_game()).alias("clock"))).otherwise(F.struct("period", F.col("pctime_sec").alias("clock")))
     moved = F.col("says").isNotNull() & ~_is(START, END) & (F.col("scored") | (F.col("holder").isNotNull() & (F.col("says") != F.col("holder"))) | _is(TURNOVER) | (F.col("final") & F.col("went_in") & F.col("common")))
     rows = rows.withColumn("needs", needs).withColumn("noticed", noticed)
-    last = _last(F.when(moved, F.struct("noticed", F.col("says").alias("to"))))
+    rows = rows.withColumn("last", _last(F.when(moved, F.struct("noticed", F.col("says").alias("to")))))
+    last = F.col("last")
     lost = _is(TURNOVER) & F.col("team").isNotNull() & (F.col("holder") != F.col("team")) & (last["to"] == F.col("rival")) & (last["noticed"]["period"] == F.col("period")) & (last["noticed"]["clock"] == F.col("pctime_sec"))
     rows = rows.withColumn("late", F.col("late") | F.coalesce(lost, F.lit(False)))
     takes = ~F.col("late") & (F.col("needs") != F.col("holder"))
@@ -133,13 +137,14 @@ def _placed(pbp: DataFrame) -> DataFrame:
         return F.struct(period.cast("long").alias("period"), team.alias("team"), start.alias("start"), why.alias("why"), ended.alias("ended"), by.alias("how"))
 
     unknown = opening(F.col("period"), nobody, nobody, F.lit("period_start"), event, F.lit("period_end"))
-    begins = _is(START) | (F.row_number().over(_game()) == 1)
+    rows = rows.withColumn("in_game", F.row_number().over(_game())).withColumn("next_period", F.lead("period").over(_game()))
+    begins = _is(START) | (F.col("in_game") == 1)
     taken = opening(F.col("period"), F.col("needs"), event, F.when(_is(FREE_THROW), "free_throws").otherwise("unrecorded_change"), event, F.lit("unrecorded_change"))
     to = F.when(F.col("says") != NOBODY, F.col("says"))
     why = F.create_map(*[F.lit(x) for pair in BEGINS.items() for x in pair])[F.col("how")]
     mark = F.when(F.col("how") == "made_fg", F.col("made_event").cast("long")).otherwise(event)
     # the row that notices a basket gives the period of what follows it
-    period = F.when(F.col("scored"), F.coalesce(F.lead("period").over(_game()), F.col("period"))).otherwise(F.col("period"))
+    period = F.when(F.col("scored"), F.coalesce("next_period", "period")).otherwise(F.col("period"))
     given = opening(period, to, mark, why, mark, F.col("how"))
     before = F.filter(F.array(F.when(begins, unknown), F.when(F.col("takes"), taken)), lambda x: x.isNotNull())
     after = F.filter(F.array(F.when(F.col("how").isNotNull(), given), F.when(_is(END), unknown)), lambda x: x.isNotNull())

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from courtframes.operators import frames as fr
 from courtframes.operators import kernels as kn
 from courtframes.plans.lenses import FRAMES, FRAMES_RAW, PBP, SERIES, spark_view, sql_view
+from courtframes.sources.layers import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,15 +56,15 @@ def query(name: str, sql: str | None = None):
 
 
 def frames(spark, d):
-    return spark_view(spark, d, FRAMES)
+    return stored(spark, d, "frames", lambda: spark_view(spark, d, FRAMES))
 
 
 def raw(spark, d):
-    return spark_view(spark, d, FRAMES_RAW)
+    return stored(spark, d, "raw", lambda: spark_view(spark, d, FRAMES_RAW))
 
 
 def pbp(spark, d):
-    return spark_view(spark, d, PBP)
+    return stored(spark, d, "pbp", lambda: spark_view(spark, d, PBP))
 
 
 def series(spark, d):
@@ -71,6 +72,10 @@ def series(spark, d):
 
 
 def index(spark, d):
+    return stored(spark, d, "frame_index", lambda: new_index(spark, d))
+
+
+def new_index(spark, d):
     return fr.frame_index(fr.dedup_entities(raw(spark, d)))
 
 
@@ -84,7 +89,7 @@ def _(spark, d):
 
 @query("l1_frame_index", "select * from index_v")
 def _(spark, d):
-    return index(spark, d)
+    return new_index(spark, d)
 
 
 @query("l1_segments", "select game_id, period, count(*) as n_frames, count(distinct segment_id) as n_segments, count(*) filter (clock_jump) as n_jumps, max(dt_ms) as max_dt_ms from index_v group by all")

@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 from courtframes.operators import events as ev
 from courtframes.operators import frames as fr
 from courtframes.plans.reference import _VIEWS, direction, frames, index, pbp, query
+from courtframes.sources.layers import stored
 
 
 def handlers(spark, d):
+    return stored(spark, d, "handlers", lambda: new_handlers(spark, d))
+
+
+def new_handlers(spark, d):
     return ev.handler(frames(spark, d), index(spark, d))
 
 
@@ -50,7 +55,7 @@ _VIEWS["handler_v"] = """select c.game_id, c.period, c.unix_ms, c.segment_id, c.
 
 @query("l2_handler", "select * from handler_v")
 def _(spark, d):
-    return handlers(spark, d)
+    return new_handlers(spark, d)
 
 
 _VIEWS["trun_v"] = _runs("handler_v", "handler_id")
