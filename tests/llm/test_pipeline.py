@@ -5,7 +5,8 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
-from courtframes.llm.common import table
+from pyspark.sql import functions as F
+from courtframes.llm.common import materialise, table
 
 SF = "/root/testdata/sf0.01"
 
@@ -73,3 +74,20 @@ def test_passages_are_cut_from_the_text_of_an_id_that_has_them(spark):
     got = {r.text for r in corpus_pipeline.cut_repeated_passages(spark, docs, SF).collect()}
     assert {rows[0][1], clean, rows[3][1]} <= got and len(got) == 4
     assert sum(shared in t for t in got) == 1
+
+
+def test_stages_on_empty_rejected_and_clashing_tables(spark):
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    base = table(spark, SF, "documents").schema
+    names = ["row", "doc", "gone", "id", "version", "component_id", "fp", "key", "node", "kept", "n_removed"]
+    rows = [(1, text(90), "en", "planted", 0), (2, text(60), None, None, None), (3, "short", "en", "planted", 5), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, base)
+    wide = docs.select("*", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    for start, left in ((docs.limit(0), set()), (docs.filter("doc_id = 3"), set()), (wide, {1, 2})):
+        now = start
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            now = materialise(stage(spark, now, SF), "stage")
+            assert set(now.columns) <= set(start.columns) and set(base.names) <= set(now.columns)
+        assert {r.doc_id for r in now.collect()} == left
+        assert {r.doc_id for r in corpus_pipeline.pack(spark, now, SF).collect()} == left
