@@ -42,10 +42,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         F.xxhash64("text").alias("version"),
         F.xxhash64(*docs.columns).alias("all"),
     )
-    keyed = docs.withColumn("__row", key)
-    groups = simhash.components(keyed, id_col="__row")
-    first = groups.filter("__row = component_id").select("__row").distinct()
-    return keyed.join(first, "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)
+    # all columns of docs in one, so that no name can clash
+    keyed = docs.select(key.alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text").alias("text"))
+    groups = simhash.components(keyed, id_col="row")
+    first = groups.filter("row = component_id").select("row").distinct()
+    return keyed.join(first, "row", "left_semi").dropDuplicates(["row"]).select("doc.*")
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
