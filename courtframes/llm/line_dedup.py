@@ -64,7 +64,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     places = rows.select("id", "version", F.explode(_places(F.col("hashes"), F.col("windows"), window)).alias("p"))
     places = places.select("id", "version", "p.print", F.transform("p.windows", lambda w: F.struct(w["start"].alias("start"), w["name"].alias("name"))).alias("windows"))
     places = materialise(places.filter(F.size("windows") > 0), "places")
-    again = places.groupBy("print").agg(F.count("*").alias("n")).filter("n > 1").select("print")
+    again = materialise(places.groupBy("print").agg(F.count("*").alias("n")).filter("n > 1").select("print"), "prints")
     found = places.join(again, "print", "left_semi").select("id", "version", F.explode("windows").alias("w")).select("id", "version", "w.start", "w.name")
     found = materialise(found, "windows")
     place = F.struct("id", "version", "start")
