@@ -46,7 +46,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     keyed = docs.select(key.alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text").alias("text"))
     groups = simhash.components(keyed, id_col="row")
     first = groups.filter("row = component_id").select("row").distinct()
-    return keyed.join(first, "row", "left_semi").dropDuplicates(["row"]).select("doc.*")
+    return keyed.select("row", "doc").join(first, "row", "left_semi").dropDuplicates(["row"]).select("doc.*")
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
