@@ -113,15 +113,21 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
     return joined.select(*columns, n_lines.alias("n_lines"), n_removed.alias("n_removed"))
 
 
-def oracle(window: int = WINDOW) -> str:
+def oracle(window: int = WINDOW, line_words: int | None = LINE_WORDS) -> str:
     """DuckDB SQL of doc_id, text, n_lines and n_removed over documents."""
+    single = f"""
+    singles as (select doc_id, s, line from (select doc_id, ls, unnest(range(0, len(ls))) as s, unnest(ls) as line from l)
+                where length(trim(line)) >= {LINE_CHARS} or len(regexp_extract_all(line, '[^ \\t-\\r]+')) >= {line_words}),
+    again as (select doc_id, s from (select *, row_number() over (partition by line order by doc_id, s) as k from singles) where k > 1),"""
+    also = " union all select doc_id, s as p from again"
     return f"""
     with l as (select doc_id, text, string_split(text, chr(10)) as ls from documents),
     w as (select doc_id, s, ls[s + 1:s + {window}] as run
           from (select doc_id, ls, unnest(range(0, len(ls) - {window} + 1)) as s from l where len(ls) >= {window})),
     later as (select doc_id, s from (select *, row_number() over (partition by run order by doc_id, s) as k from w
-              where len(list_filter(run, lambda x: x <> '')) > 0) where k > 1),
-    gone as (select doc_id, list(distinct p) as ps from (select doc_id, unnest(range(s, s + {window})) as p from later) group by doc_id)
+              where len(list_filter(run, lambda x: x <> '')) > 0) where k > 1),{single if line_words is not None else ""}
+    places as (select doc_id, unnest(range(s, s + {window})) as p from later{also if line_words is not None else ""}),
+    gone as (select doc_id, list(distinct p) as ps from places group by doc_id)
     select l.doc_id,
            case when ps is null then text
                 else array_to_string(list_filter(ls, lambda x, i: not list_contains(ps, i - 1)), chr(10)) end as text,

@@ -46,7 +46,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtframes.llm import line_dedup
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup_lines(docs)
+    return line_dedup.dedup_lines(docs, line_words=line_dedup.LINE_WORDS)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -252,6 +252,29 @@ def test_line_dedup_matches_loop(spark, awkward):
     assert line_dedup.dedup_lines(awkward.limit(0)).count() == 0
 
 
+def test_line_dedup_cuts_single_lines_of_content(spark, awkward):
+    rng = random.Random(18)
+    full = [f"a line of content number {i}" for i in range(25)] + ["x" * 40, "  " + "y" * 39 + "  "]
+    pool = full + [f"line {i}" for i in range(40)] + ["", " "]
+    rows = [(100 + i, "\n".join(rng.choice(pool) for _ in range(rng.choice([1, 1, 3, 9])))) for i in range(90)]
+    docs = awkward.select("doc_id", "text").distinct().unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(docs, line_words=line_dedup.LINE_WORDS).collect()}
+    runs, singles = set(), set()
+    for doc, text in sorted(docs.collect()):
+        lines = text.split("\n") if text is not None else []
+        gone = set()
+        for i in range(len(lines)):
+            run = tuple(lines[i : i + 2])
+            if len(run) == 2 and any(run):
+                gone |= {i, i + 1} if run in runs else set()
+                runs.add(run)
+            if len(lines[i].strip(" ")) >= 40 or len(re.findall(r"[^ \t-\r]+", lines[i])) >= 5:
+                gone |= {i} if lines[i] in singles else set()
+                singles.add(lines[i])
+        expected = None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in gone)
+        assert (got[doc].text, got[doc].n_lines, got[doc].n_removed) == (expected, len(lines), len(gone))
+
+
 def test_compact_windows_match_brute_force():
     rng = np.random.default_rng(9)
     for _ in range(100):
