@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from courtframes.operators import events as ev
 from courtframes.operators import frames as fr
+from courtframes.operators import shots as sh
 from courtframes.plans.reference import _VIEWS, direction, frames, index, pbp, query
 from courtframes.sources.layers import stored
 
@@ -84,17 +85,17 @@ def _(spark, d):
     return ev.flights(handlers(spark, d), frames(spark, d)).withColumn("path_cft", F.round("path_cft", 4))
 
 
-@query(
-    "l2_transfers",
-    """select p.game_id, p.segment_id, p.period, giver, taker, t_release_ms, t_catch_ms, n_free, (g.x_cft - t.x_cft) * (g.x_cft - t.x_cft) + (g.y_cft - t.y_cft) * (g.y_cft - t.y_cft) as d2,
+_VIEWS["moves_v"] = """select p.game_id, p.segment_id, p.period, giver, taker, t_release_ms, t_catch_ms, n_free, (g.x_cft - t.x_cft) * (g.x_cft - t.x_cft) + (g.y_cft - t.y_cft) * (g.y_cft - t.y_cft) as d2,
       case when n_free >= 2 then 'pass' when (g.x_cft - t.x_cft) * (g.x_cft - t.x_cft) + (g.y_cft - t.y_cft) * (g.y_cft - t.y_cft) <= 90000 then 'handoff' when (g.x_cft - t.x_cft) * (g.x_cft - t.x_cft) + (g.y_cft - t.y_cft) * (g.y_cft - t.y_cft) <= 250000 then 'ambiguous' else 'strip' end as kind,
       g.team_id = t.team_id as same_team
     from (select *, (select count(*) from free_v f where f.free and f.game_id = a.game_id and f.segment_id = a.segment_id and f.unix_ms between a.t_release_ms and a.t_catch_ms) as n_free
       from (select game_id, segment_id, period, handler_id as giver, lead(handler_id) over w as taker, coalesce(mine_last, t_end_ms) as t_release_ms, coalesce(lead(mine_first) over w, lead(t_start_ms) over w) as t_catch_ms
             from touch_v window w as (partition by game_id, segment_id order by touch)) a where taker is not null and taker <> giver) p
     left join frames_v g on g.game_id = p.game_id and g.period = p.period and g.unix_ms = p.t_catch_ms and g.player_id = p.giver
-    left join frames_v t on t.game_id = p.game_id and t.period = p.period and t.unix_ms = p.t_catch_ms and t.player_id = p.taker""",
-)
+    left join frames_v t on t.game_id = p.game_id and t.period = p.period and t.unix_ms = p.t_catch_ms and t.player_id = p.taker"""
+
+
+@query("l2_transfers", "select * from moves_v")
 def _(spark, d):
     return ev.transfers(handlers(spark, d), frames(spark, d))
 
@@ -162,17 +163,17 @@ def _(spark, d):
     return ev.dribbles(handlers(spark, d), frames(spark, d))
 
 
-@query(
-    "l2_drives_cuts",
-    f"""select game_id, period, segment_id, player_id, min(unix_ms) as t_start_ms, max(unix_ms) as t_end_ms, count(*) as n_frames, case when arg_min_null(has_it, unix_ms) then 'drive' else 'cut' end as kind from (
+_VIEWS["approach_v"] = """select game_id, period, segment_id, player_id, min(unix_ms) as t_start_ms, max(unix_ms) as t_end_ms, count(*) as n_frames, case when arg_min_null(has_it, unix_ms) then 'drive' else 'cut' end as kind from (
       select *, sum(case when p is null or p <> nears then 1 else 0 end) over (partition by game_id, player_id, period, segment_id order by unix_ms rows unbounded preceding) as run_id from (
         select *, lag(nears) over (partition by game_id, player_id, period, segment_id order by unix_ms) as p from (
           select r.*, h.segment_id, coalesce(r.rate > 500, false) and h.control_team_id = r.team_id as nears, h.handler_id = r.player_id as has_it from (
             select *, -(lead(dist) over w - lag(dist) over w) / ((lead(unix_ms) over w - lag(unix_ms) over w) / 1000.0) as rate from (
               select f.*, sqrt((x_cft - case when coalesce(attacks_left, true) then 525 else 8875 end) ** 2 + (y_cft - 2500) ** 2) as dist from frames_v f left join direction_v s on s.game_id = f.game_id and s.team_id = f.team_id and s.period = f.period where f.team_id <> -1)
-            window w as (partition by game_id, player_id, period order by unix_ms)) r join handler_v h using ({_F}))))
-    where nears group by game_id, period, segment_id, player_id, run_id having count(*) >= 8 and (not arg_min_null(has_it, unix_ms) or arg_min_null(dist, unix_ms) >= 1000)""",
-)
+            window w as (partition by game_id, player_id, period order by unix_ms)) r join handler_v h using (game_id, period, unix_ms))))
+    where nears group by game_id, period, segment_id, player_id, run_id having count(*) >= 8 and (not arg_min_null(has_it, unix_ms) or arg_min_null(dist, unix_ms) >= 1000)"""
+
+
+@query("l2_drives_cuts", "select * from approach_v")
 def _(spark, d):
     return ev.approaches(frames(spark, d), handlers(spark, d), direction(spark, d))
 
@@ -265,3 +266,81 @@ def _(spark, d):
 def _(spark, d):
     held = handlers(spark, d)
     return ev.shot_windows(ev.flights(held, frames(spark, d)), ev.touches(held))
+
+
+_VIEWS["shotat_v"] = """select l.game_id, l.period, l.event_num, l.msg_type, l.team_id, l.player_id as shooter_id, s.attacks_left, l.t_ms as t_pbp_ms, l.t_ms + 40 * (l.event_num % 5) - 80 as t_release_ms
+    from located_v l join direction_v s on s.game_id = l.game_id and s.period = l.period and s.team_id = l.team_id where l.msg_type in (1, 2)"""
+
+
+def _shots(spark, d):
+    """Attempts released about the frame of their clock, for the steps behind the release."""
+    rows = _located(spark, d).filter("msg_type in (1, 2)").withColumnRenamed("player_id", "shooter_id").join(direction(spark, d).select("game_id", "period", "team_id", "attacks_left"), ["game_id", "period", "team_id"])
+    return rows.select("game_id", "period", "event_num", "msg_type", "team_id", "shooter_id", "attacks_left", F.col("t_ms").alias("t_pbp_ms"), (F.col("t_ms") + 40 * (F.col("event_num") % 5) - 80).alias("t_release_ms"))
+
+
+@query("l2_shot_releases")
+def _(spark, d):
+    return sh.releases(frames(spark, d), index(spark, d), pbp(spark, d), direction(spark, d))
+
+
+@query("l2_shot_events")
+def _(spark, d):
+    return sh.shot_events(frames(spark, d), index(spark, d), pbp(spark, d), direction(spark, d), handlers(spark, d))
+
+
+_VIEWS["fallball_v"] = "select *, coalesce(bz < lag(bz) over (partition by game_id, period order by unix_ms), false) as lower from pball_v"
+_VIEWS["firm_v"] = "select game_id, period, unix_ms, segment_id, handler_id, control_team_id, count(*) over (partition by game_id, segment_id, run_id order by unix_ms desc) as n_left from trun_v"
+_VIEWS["facts_v"] = """select s.* exclude (t_at), l.unix_ms as t_landing_ms, l.bx as x_landing, l.bw as y_landing, case when c.segment_id = g.segment_id then c.unix_ms end as t_control_ms, case when c.segment_id = g.segment_id then c.handler_id end as control_id,
+      case when c.segment_id = g.segment_id then c.control_team_id end as control_team_id, case when c.segment_id = g.segment_id and msg_type = 2 then c.control_team_id = team_id end as offensive_rebound
+    from (select s.*, x_release, y_release, t_rim_ms, coalesce(t_rim_ms, t_release_ms) as t_at from shotat_v s left join (
+        select s.game_id, s.event_num, arg_min(bx, unix_ms) as x_release, arg_min(bw, unix_ms) as y_release, min(unix_ms) filter ((bx - case when attacks_left then 525 else 8875 end) ** 2 + (bw - 2500) ** 2 < 40000 and bz > 800 and bz < 1150) as t_rim_ms
+        from shotat_v s join pball_v b on b.game_id = s.game_id and b.period = s.period and b.unix_ms between s.t_release_ms and s.t_release_ms + 3000 group by all) r on r.game_id = s.game_id and r.event_num = s.event_num) s
+    left join lateral (select b.unix_ms, b.bx, b.bw from fallball_v b where b.game_id = s.game_id and b.period = s.period and b.unix_ms > s.t_rim_ms and b.unix_ms <= s.t_release_ms + 3000 and lower and bz < 900 order by b.unix_ms limit 1) l on true
+    asof left join firm_v g on g.game_id = s.game_id and g.period = s.period and s.t_at <= g.unix_ms
+    asof left join (select * from firm_v where handler_id >= 0 and n_left >= 10) c on c.game_id = s.game_id and c.period = s.period and s.t_at <= c.unix_ms"""
+
+
+@query("l2_after_release", "select * from facts_v")
+def _(spark, d):
+    return sh.after_release(_shots(spark, d), frames(spark, d), handlers(spark, d))
+
+
+@query("l2_settled_releases", """select * exclude (twin, nxt, t_release_ms, x_release, y_release, t_rim_ms, t_landing_ms, x_landing, y_landing, t_control_ms, control_id, control_team_id, offensive_rebound),
+      case when not twin then t_release_ms end as t_release_ms, case when not twin then x_release end as x_release, case when not twin then y_release end as y_release, case when not twin and (nxt is null or t_rim_ms < nxt) then t_rim_ms end as t_rim_ms,
+      case when not twin and (nxt is null or t_landing_ms < nxt) then t_landing_ms end as t_landing_ms, case when not twin and (nxt is null or t_landing_ms < nxt) then x_landing end as x_landing, case when not twin and (nxt is null or t_landing_ms < nxt) then y_landing end as y_landing,
+      case when not twin and (nxt is null or t_control_ms < nxt) then t_control_ms end as t_control_ms, case when not twin and (nxt is null or t_control_ms < nxt) then control_id end as control_id, case when not twin and (nxt is null or t_control_ms < nxt) then control_team_id end as control_team_id,
+      case when not twin and (nxt is null or t_control_ms < nxt) then offensive_rebound end as offensive_rebound, case when twin then 'duplicate_release' else 'rim' end as method
+    from (select f.*, (select min(o.t_release_ms) from facts_v o where o.game_id = f.game_id and o.period = f.period and o.t_release_ms > f.t_release_ms) as nxt,
+      exists (select 1 from facts_v o where o.game_id = f.game_id and o.period = f.period and o.t_release_ms = f.t_release_ms and (abs(o.t_pbp_ms - o.t_release_ms), o.event_num) < (abs(f.t_pbp_ms - f.t_release_ms), f.event_num)) as twin from facts_v f)""")
+def _(spark, d):
+    return sh.settle_releases(sh.after_release(_shots(spark, d), frames(spark, d), handlers(spark, d)).withColumn("method", F.lit("rim")))
+
+
+@query("l2_touch_endings", """select t.game_id, t.segment_id, t.period, t.handler_id, t.t_start_ms, t.t_end_ms, t.n_frames, t.cand_ambiguous, case when exists (select 1 from shotat_v s where s.game_id = t.game_id and s.period = t.period and s.shooter_id = t.handler_id and s.t_release_ms between t.t_end_ms - 200 and t.t_end_ms + 200) then 'shot'
+      else coalesce((select arg_min(case when not m.same_team then 'turnover' when m.kind = 'handoff' then 'handoff' else 'pass' end, m.t_release_ms) from moves_v m where m.game_id = t.game_id and m.period = t.period and m.giver = t.handler_id and m.t_release_ms between t.t_end_ms - 200 and t.t_end_ms + 200), 'none') end as ends_with from touch_v t""")
+def _(spark, d):
+    held = handlers(spark, d)
+    return sh.touch_endings(ev.touches(held), _shots(spark, d), ev.transfers(held, frames(spark, d)))
+
+
+@query("l2_approach_endings", """select a.*, case when a.kind = 'drive' then case when exists (select 1 from shotat_v s where s.game_id = a.game_id and s.period = a.period and s.shooter_id = a.player_id and s.t_release_ms between a.t_start_ms and a.t_end_ms + 500) then 'shot'
+        when exists (select 1 from moves_v m where m.game_id = a.game_id and m.period = a.period and m.giver = a.player_id and not m.same_team and m.t_release_ms between a.t_start_ms and a.t_end_ms + 500) then 'turnover'
+        when exists (select 1 from moves_v m where m.game_id = a.game_id and m.period = a.period and m.giver = a.player_id and m.t_release_ms between a.t_start_ms and a.t_end_ms + 500) then 'pass'
+        when exists (select 1 from located_v l where l.msg_type = 6 and l.game_id = a.game_id and l.period = a.period and l.t_ms between a.t_start_ms and a.t_end_ms + 500) then 'foul' else 'none' end end as end_reason,
+      case when a.kind = 'cut' then (select min(m.t_catch_ms) from moves_v m where m.game_id = a.game_id and m.period = a.period and m.taker = a.player_id and m.same_team and m.t_catch_ms between a.t_start_ms and a.t_end_ms + 500) end as t_catch_ms from approach_v a""")
+def _(spark, d):
+    held, own = handlers(spark, d), frames(spark, d)
+    fouls = _located(spark, d).filter("msg_type = 6").select("game_id", "period", F.col("t_ms").alias("t"))
+    return sh.approach_endings(ev.approaches(own, held, direction(spark, d)), _shots(spark, d), ev.transfers(held, own), fouls)
+
+
+@query("l2_empty_frames", "select m.*, (select count(*) from handler_v h where h.handler_id < 0 and h.game_id = m.game_id and h.period = m.period and h.unix_ms > m.t_release_ms and h.unix_ms < m.t_catch_ms) as n_no_handler_frames from moves_v m")
+def _(spark, d):
+    held = handlers(spark, d)
+    return sh.empty_frames(ev.transfers(held, frames(spark, d)), held)
+
+
+@query("v3_repeated_ids", "select kind, cast(sum(n) as bigint) as n_events, count(*) as n_ids, count(*) filter (n > 1) as n_repeated from (select kind, concat(game_id, ':', t_start_ms - t_start_ms % 10000, ':', player_id) as uid, count(*) as n from approach_v group by all) group by kind")
+def _(spark, d):
+    rows = ev.approaches(frames(spark, d), handlers(spark, d), direction(spark, d))
+    return sh.repeated_ids(rows.withColumn("uid", F.concat_ws(":", "game_id", F.col("t_start_ms") - F.col("t_start_ms") % 10000, "player_id")), "uid", "kind")

@@ -71,10 +71,11 @@ def test_second_attempt_looks_after_the_first(spark, scene):
 
 
 def test_facts_after_the_release(spark, scene):
-    own = spark.createDataFrame([("g", 1, 5, 2, OFF, SHOOTER, True, T0 + 3000, T0 + 2100, SHOOTER, "rim"), ("g", 1, 6, 1, OFF, SHOOTER, True, T0 + 3900, T0 + 2100, SHOOTER, "rim")], "game_id string, period int, " + shots.OUT)
+    own = spark.createDataFrame([("g", 1, 5, 2, OFF, SHOOTER, True, T0 + 3000, T0 + 2100, SHOOTER, "rim"), ("g", 1, 6, 1, OFF, SHOOTER, True, T0 + 3900, T0 + 2100, SHOOTER, "rim"), ("g", 1, 7, 2, OFF, SHOOTER, None, None, None, None, "unlocated")], "game_id string, period int, " + shots.OUT)
     held = spark.createDataFrame([("g", 1, T0 + 40 * i, 0, BIG if i >= 90 else -1, OFF) for i in range(125)], "game_id string, period int, unix_ms long, segment_id long, handler_id long, control_team_id long")
     rows = {r.event_num: r for r in shots.settle_releases(shots.after_release(own, scene, held)).collect()}
     assert rows[6].method == "duplicate_release" and rows[6].t_release_ms is None and rows[6].t_rim_ms is None
     r = rows[5]
     assert (r.control_id, r.t_control_ms, r.offensive_rebound) == (BIG, T0 + 3600, True)
     assert T0 + 2800 < r.t_rim_ms <= T0 + 3040 and r.t_landing_ms > r.t_rim_ms
+    assert rows[7].method == "unlocated" and (rows[7].t_rim_ms, rows[7].control_id, rows[7].offensive_rebound) == (None, None, None)
