@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from courtframes.operators import events as ev
 from courtframes.operators import frames as fr
 from courtframes.operators import shots as sh
+from courtframes.operators import spans as sp
 from courtframes.plans.reference import _VIEWS, direction, frames, index, pbp, query
 from courtframes.sources.layers import stored
 
@@ -234,15 +235,18 @@ def _(spark, d):
     return ev.stop_causes(ev.clock_stops(index(spark, d)), _located(spark, d))
 
 
-@query("p11_half_runs", """
+_VIEWS["halves_v"] = """
     select * from (with recursive r as (select game_id, period, run_id, bool_or(front) as front, min(unix_ms) as t0, max(unix_ms) as t1, count(*) as n from (
         select *, sum(case when p is null or p <> front then 1 else 0 end) over (partition by game_id, period order by unix_ms rows unbounded preceding) as run_id
         from (select *, lag(front) over (partition by game_id, period order by unix_ms) as p from (select game_id, period, unix_ms, bx < 4700 as front from pball_v))) group by all),
       walk as (select game_id, period, run_id, cast(1 as bigint) as merged_id, front from r where run_id = 1
         union all select r.game_id, r.period, r.run_id, cast(w.merged_id + case when r.t1 - r.t0 < 400 or w.front = r.front then 0 else 1 end as bigint), case when r.t1 - r.t0 < 400 or w.front = r.front then w.front else r.front end
         from walk w join r on r.game_id = w.game_id and r.period = w.period and r.run_id = w.run_id + 1)
-    select w.game_id, w.period, merged_id, bool_or(w.front) as front, min(t0) as t_start, max(t1) as t_end, cast(sum(n) as bigint) as n from walk w join r on r.game_id = w.game_id and r.period = w.period and r.run_id = w.run_id group by w.game_id, w.period, merged_id)""")
-def _(spark, d):
+    select w.game_id, w.period, merged_id, bool_or(w.front) as front, min(t0) as t_start, max(t1) as t_end, cast(sum(n) as bigint) as n from walk w join r on r.game_id = w.game_id and r.period = w.period and r.run_id = w.run_id group by w.game_id, w.period, merged_id)"""
+
+
+@query("p11_half_runs", "select * from halves_v")
+def half_runs(spark, d):
     ball = frames(spark, d).filter("team_id = -1").select("game_id", "period", "unix_ms", (F.col("x_cft") < 4700).alias("front"))
     return ev.half_runs(ball)
 
@@ -344,3 +348,72 @@ def _(spark, d):
 def _(spark, d):
     rows = ev.approaches(frames(spark, d), handlers(spark, d), direction(spark, d))
     return sh.repeated_ids(rows.withColumn("uid", F.concat_ws(":", "game_id", F.col("t_start_ms") - F.col("t_start_ms") % 10000, "player_id")), "uid", "kind")
+
+
+_VIEWS["ledger_v"] = "select game_id, period, merged_id as poss_seq, case when front then 100 else 200 end as offense_team_id, t_start as t_start_ms, t_end as t_end_ms from halves_v"
+_VIEWS["window_v"] = 'select game_id, period, concat(segment_id, chr(58), player_id, chr(58), t_start_ms) as "window", case when player_id <= 1005 then 100 else 200 end as team_id, t_start_ms as lo, case when t_start_ms % 3 = 0 then t_start_ms else t_end_ms end as hi from approach_v'
+
+
+def _ledger(spark, d):
+    """Stretches of the ball in one half, as possessions."""
+    return half_runs(spark, d).select("game_id", "period", F.col("merged_id").alias("poss_seq"), F.when(F.col("front"), 100).otherwise(200).cast("long").alias("offense_team_id"), F.col("t_start").alias("t_start_ms"), F.col("t_end").alias("t_end_ms"))
+
+
+def _windows(spark, d):
+    """Drives and cuts as windows, a third of them without length."""
+    rows = ev.approaches(frames(spark, d), handlers(spark, d), direction(spark, d))
+    return rows.select("game_id", "period", F.concat_ws(":", "segment_id", "player_id", "t_start_ms").alias("window"), F.when(F.col("player_id") <= 1005, 100).otherwise(200).cast("long").alias("team_id"), F.col("t_start_ms").alias("lo"), F.when(F.col("t_start_ms") % 3 == 0, F.col("t_start_ms")).otherwise(F.col("t_end_ms")).alias("hi"))
+
+
+@query("p7_window_possession", """select w.*, poss_seq, round(coalesce(frac, 0), 6) as overlap_frac, offense_team_id = team_id as offense_match from window_v w left join (
+      select *, row_number() over (partition by game_id, period, "window" order by frac desc, case when part = 0 then -poss_seq else poss_seq end) as rn from (
+        select w.game_id, w.period, w."window", l.poss_seq, l.offense_team_id, least(hi, t_end_ms) - greatest(lo, t_start_ms) as part, case when hi > lo then (least(hi, t_end_ms) - greatest(lo, t_start_ms)) / (hi - lo) else 1.0 end as frac
+        from window_v w join ledger_v l on l.game_id = w.game_id and l.period = w.period and (case when hi > lo then t_start_ms < hi and t_end_ms > lo else lo between t_start_ms and t_end_ms end))) b
+    on b.game_id = w.game_id and b.period = w.period and b."window" = w."window" and rn = 1""")
+def _(spark, d):
+    return sp.attach_possession(_windows(spark, d), _ledger(spark, d)).withColumn("overlap_frac", F.round("overlap_frac", 6))
+
+
+_VIEWS["lineup_v"] = "select game_id, period, unix_ms, string_agg(player_id, ',' order by player_id) filter (team_id = 100) as a, string_agg(player_id, ',' order by player_id) filter (team_id = 200) as b from frames_v where team_id <> -1 and (player_id <> 1003 or unix_ms % 4000 < 3000) group by all"
+
+
+@query("p12_lineups", """select l.game_id, l.period, l.poss_seq as span, offense_team_id as team_id, l.t_start_ms, l.t_end_ms, case when offense_team_id = 100 then f.a else f.b end as own_ids, case when offense_team_id = 100 then f.b else f.a end as other_ids, f.a = g.a and f.b = g.b as lineup_stable
+    from ledger_v l asof left join lineup_v f on f.game_id = l.game_id and f.period = l.period and l.t_start_ms <= f.unix_ms asof left join lineup_v g on g.game_id = l.game_id and g.period = l.period and l.t_end_ms >= g.unix_ms""")
+def _(spark, d):
+    # one player leaves and returns, so that not all line-ups are stable
+    there = frames(spark, d).filter("player_id <> 1003 or unix_ms % 4000 < 3000")
+    rows = sp.lineups(_ledger(spark, d).select("game_id", "period", F.col("poss_seq").alias("span"), F.col("offense_team_id").alias("team_id"), "t_start_ms", "t_end_ms"), there)
+    return rows.withColumns({c: F.array_join(c, ",") for c in ("own_ids", "other_ids")})
+
+
+@query("f13_peaks", """select game_id, period, unix_ms, min(case when not rising then unix_ms end) over (partition by game_id, period order by unix_ms rows between current row and unbounded following) as up_ms,
+      max(case when not falling then unix_ms end) over (partition by game_id, period order by unix_ms rows unbounded preceding) as down_ms
+    from (select *, coalesce(lead(bz) over w > bz, false) as rising, coalesce(lag(bz) over w > bz, false) as falling from pball_v window w as (partition by game_id, period order by unix_ms))""")
+def _(spark, d):
+    return sh.peaks(ev.ball_rows(frames(spark, d))).select("game_id", "period", "unix_ms", "up_ms", "down_ms")
+
+
+@query("f16_approach_start", """select game_id, period, unix_ms, player_id, last_value(case when before is null or before < d2 then unix_ms end ignore nulls) over (partition by game_id, period, player_id order by unix_ms rows unbounded preceding) as t_approach
+    from (select game_id, period, unix_ms, player_id, d2, lag(d2) over (partition by game_id, period, player_id order by unix_ms) as before from (select game_id, period, unix_ms, player_id, case when not shared then d2 end as d2 from pdist_v) where d2 is not null)""")
+def _(spark, d):
+    rows = ev.ball_distances(frames(spark, d)).filter("d2 is not null").select("game_id", "period", "unix_ms", "player_id", "d2")
+    return sp.approach_start(rows, ["game_id", "period", "player_id"], "unix_ms", "d2").drop("d2")
+
+
+@query("f18_grid_labels", """select g.game_id, g.period, g.span, g.unix_ms, coalesce(case when b.unix_ms is null or a.unix_ms - g.unix_ms < g.unix_ms - b.unix_ms then a.handler_id else b.handler_id end, -1) as handler_id
+    from (select game_id, period, span, unnest(range(t0, t1 + 1, 200)) as unix_ms from (select game_id, period, segment_id as span, min(unix_ms) + 7 as t0, max(unix_ms) + 7 as t1 from index_v group by all)) g
+    asof left join handler_v b on b.game_id = g.game_id and b.period = g.period and g.unix_ms >= b.unix_ms asof left join handler_v a on a.game_id = g.game_id and a.period = g.period and g.unix_ms <= a.unix_ms""")
+def _(spark, d):
+    own = index(spark, d).groupBy("game_id", "period", F.col("segment_id").alias("span")).agg((F.min("unix_ms") + 7).alias("t_start_ms"), (F.max("unix_ms") + 7).alias("t_end_ms"))
+    return sp.grid_labels(own, handlers(spark, d), "handler_id", 200)
+
+
+_VIEWS["hit_v"] = """select p.game_id, p.period, p.event_num, p.p1_team_id as team_id, arg_min(x < 4700, unix_ms) filter (z > 800 and z < 1150 and (least((x - 525) ** 2, (x - 8875) ** 2) + (y - 2500) ** 2 < 40000)) as rim_left
+    from pbp_v p join (select game_id, period, unix_ms, game_clock_cs, x_cft as x, y_cft as y, z_cft as z from frames_v where team_id = -1) b on b.game_id = p.game_id and b.period = p.period and b.game_clock_cs between p.pctime_sec * 100 - 200 and p.pctime_sec * 100 + 500
+    where p.msg_type in (1, 2) and p.p1_team_id is not null group by all"""
+
+
+@query("l1_direction_check", """select h.game_id, count(*) filter (rim_left is not null and attacks_left is not null) as n_shots_rim, count(*) filter (rim_left = attacks_left) as n_agree, count(*) filter (rim_left is null) as n_no_rim
+    from hit_v h left join direction_v s on s.game_id = h.game_id and s.period = h.period and s.team_id = h.team_id group by h.game_id""")
+def _(spark, d):
+    return sp.direction_check(frames(spark, d), pbp(spark, d), direction(spark, d))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from courtframes.operators import frames as fr
-from courtframes.operators import shots
+from courtframes.operators import shots, spans
 
 T0, OFF, SHOOTER, BIG, PASSER = 1_447_287_043_000, 100, 1000, 1001, 1002
 
@@ -79,3 +79,18 @@ def test_facts_after_the_release(spark, scene):
     assert (r.control_id, r.t_control_ms, r.offensive_rebound) == (BIG, T0 + 3600, True)
     assert T0 + 2800 < r.t_rim_ms <= T0 + 3040 and r.t_landing_ms > r.t_rim_ms
     assert rows[7].method == "unlocated" and (rows[7].t_rim_ms, rows[7].control_id, rows[7].offensive_rebound) == (None, None, None)
+
+
+def test_direction_check_by_the_hoop_reached(spark, scene):
+    pbp = spark.createDataFrame([("g", e, 1, c, 1, OFF, SHOOTER) for e, c in ((5, 697.0), (6, 400.0))], "game_id string, event_num int, period int, pctime_sec double, msg_type int, p1_team_id long, p1_id long")
+    for left, agree in ((True, 1), (False, 0)):
+        side = spark.createDataFrame([("g", OFF, 1, left)], "game_id string, team_id long, period int, attacks_left boolean")
+        r = spans.direction_check(scene, pbp, side).collect()[0]
+        assert (r.n_shots_rim, r.n_agree, r.n_no_rim) == (1, agree, 0)
+
+
+def test_windows_between_inside_and_outside_possessions(spark):
+    ledger = spark.createDataFrame([("g", 1, 1, 100, 0, 1000), ("g", 1, 2, 200, 1000, 2000), ("g", 1, 3, 100, None, None)], "game_id string, period int, poss_seq long, offense_team_id long, t_start_ms long, t_end_ms long")
+    windows = spark.createDataFrame([("g", 1, n, a, b, 100) for n, a, b in (("tie", 500, 1500), ("second", 900, 1900), ("moment", 1000, 1000), ("outside", 5000, 6000))], "game_id string, period int, window string, lo long, hi long, team_id long")
+    got = {r.window: (r.poss_seq, r.overlap_frac, r.offense_match) for r in spans.attach_possession(windows, ledger).collect()}
+    assert got == {"tie": (1, 0.5, True), "second": (2, 0.9, False), "moment": (2, 1.0, False), "outside": (None, 0.0, None)}
