@@ -350,7 +350,7 @@ def _(spark, d):
     return sh.repeated_ids(rows.withColumn("uid", F.concat_ws(":", "game_id", F.col("t_start_ms") - F.col("t_start_ms") % 10000, "player_id")), "uid", "kind")
 
 
-_VIEWS["ledger_v"] = "select game_id, period, merged_id as poss_seq, case when front then 100 else 200 end as offense_team_id, t_start as t_start_ms, t_end as t_end_ms from halves_v"
+_VIEWS["spell_v"] = "select game_id, period, merged_id as poss_seq, case when front then 100 else 200 end as offense_team_id, t_start as t_start_ms, t_end as t_end_ms from halves_v"
 _VIEWS["window_v"] = 'select game_id, period, concat(segment_id, chr(58), player_id, chr(58), t_start_ms) as "window", case when player_id <= 1005 then 100 else 200 end as team_id, t_start_ms as lo, case when t_start_ms % 3 = 0 then t_start_ms else t_end_ms end as hi from approach_v'
 
 
@@ -368,7 +368,7 @@ def _windows(spark, d):
 @query("p7_window_possession", """select w.*, poss_seq, round(coalesce(frac, 0), 6) as overlap_frac, offense_team_id = team_id as offense_match from window_v w left join (
       select *, row_number() over (partition by game_id, period, "window" order by frac desc, case when part = 0 then -poss_seq else poss_seq end) as rn from (
         select w.game_id, w.period, w."window", l.poss_seq, l.offense_team_id, least(hi, t_end_ms) - greatest(lo, t_start_ms) as part, case when hi > lo then (least(hi, t_end_ms) - greatest(lo, t_start_ms)) / (hi - lo) else 1.0 end as frac
-        from window_v w join ledger_v l on l.game_id = w.game_id and l.period = w.period and (case when hi > lo then t_start_ms < hi and t_end_ms > lo else lo between t_start_ms and t_end_ms end))) b
+        from window_v w join spell_v l on l.game_id = w.game_id and l.period = w.period and (case when hi > lo then t_start_ms < hi and t_end_ms > lo else lo between t_start_ms and t_end_ms end))) b
     on b.game_id = w.game_id and b.period = w.period and b."window" = w."window" and rn = 1""")
 def _(spark, d):
     return sp.attach_possession(_windows(spark, d), _ledger(spark, d)).withColumn("overlap_frac", F.round("overlap_frac", 6))
@@ -378,7 +378,7 @@ _VIEWS["lineup_v"] = "select game_id, period, unix_ms, string_agg(player_id, ','
 
 
 @query("p12_lineups", """select l.game_id, l.period, l.poss_seq as span, offense_team_id as team_id, l.t_start_ms, l.t_end_ms, case when offense_team_id = 100 then f.a else f.b end as own_ids, case when offense_team_id = 100 then f.b else f.a end as other_ids, f.a = g.a and f.b = g.b as lineup_stable
-    from ledger_v l asof left join lineup_v f on f.game_id = l.game_id and f.period = l.period and l.t_start_ms <= f.unix_ms asof left join lineup_v g on g.game_id = l.game_id and g.period = l.period and l.t_end_ms >= g.unix_ms""")
+    from spell_v l asof left join lineup_v f on f.game_id = l.game_id and f.period = l.period and l.t_start_ms <= f.unix_ms asof left join lineup_v g on g.game_id = l.game_id and g.period = l.period and l.t_end_ms >= g.unix_ms""")
 def _(spark, d):
     # one player leaves and returns, so that not all line-ups are stable
     there = frames(spark, d).filter("player_id <> 1003 or unix_ms % 4000 < 3000")
