@@ -83,11 +83,30 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtframes.llm import exact_dedup
+
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtframes.llm import hard_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), "vec_id % 50 = 0")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtframes.llm import runs
+
+    return runs.periodic_runs(runs.with_tails(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from courtframes.llm import line_dedup
+    from courtframes.llm import exact_dedup, hard_negatives, line_dedup
 
-    return {"op5_line_dedup": line_dedup.oracle()}
+    return {"op5_line_dedup": line_dedup.oracle(), "op11_exact_dedup": exact_dedup.oracle(), "op12_hard_negatives": hard_negatives.oracle()}
