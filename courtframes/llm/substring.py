@@ -10,6 +10,12 @@ Equal texts are one text, told by its hash.  Windows of the same hash value are
 distances from the centre: by all four, by both of one side, and by each alone.  In each group every text is linked to the
 earliest one, so a passage in n texts gives some n links, and which links are tried is a function of the table alone.  All passages of a linked pair are then laid out over both texts and
 verified by the Jaccard similarity of their shingles, as 32-bit hashes.
+
+The earliest text of a group may share too little with the others, which share a passage.  So where a text shares some of a
+stretch of the least length with the earliest text but not all of it, the stretch is named by the hash of its shingles, and of the texts
+with one name each is linked to the earliest, in a second turn of verification.  These texts share the whole stretch, so no link fails,
+and a third turn would find nothing.  Hence two texts with the same passage, word for word, are always in one class: the first text of the group of
+the passage's least hash either has it, and then both links to it hold, or has that one shingle of it, and then the passage has a name in both texts.
 """
 
 from __future__ import annotations
@@ -333,6 +339,30 @@ def verify_pair(a: np.ndarray, b: np.ndarray, width: int, similarity: float) ->
     return found
 
 
+def _stretches(a: np.ndarray, b: np.ndarray, width: int) -> np.ndarray:
+    """Names of the stretches of b of width shingles that hold a shingle of a and do not stand in a."""
+    if len(b) < width:
+        return np.zeros(0, np.int64)
+    with np.errstate(over="ignore"):
+        held = np.append(0, np.cumsum(np.isin(b, a)))
+        some = held[width:] > held[:-width]
+        own = _rolled(b, width)
+        return np.unique(own[some & ~np.isin(own, _rolled(a, width))]).view(np.int64)
+
+
+def _rolled(x: np.ndarray, width: int) -> np.ndarray:
+    """uint64 hash of each stretch of width values, from hashes of its halves."""
+    out, done = mix(x.astype(np.uint64), 97), 1
+    if len(x) < width:
+        return np.zeros(0, np.uint64)
+    with np.errstate(over="ignore"):
+        while done < width:
+            step = min(done, width - done)  # the second half may overlap the first
+            out = mix(out[: len(out) - step] * _M + out[step:], 98)
+            done += step
+    return out
+
+
 def passage_links(docs: DataFrame, passage_words: int = PASSAGE_WORDS, similarity: float = SIMILARITY, functions: int = FUNCTIONS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Verified passages that repeat: doc_id, start_word, end_word, match_doc_id, match_start_word,
     match_end_word, similarity; doc_id is the larger of the two ids and word ranges exclude their ends.
@@ -369,30 +399,52 @@ def _version_links(docs: DataFrame, passage_words: int = PASSAGE_WORDS, similari
     # where rows repeat, one of each text is enough
     repeats = known.join(wanted, ["doc", "node"], "left_semi").groupBy("doc", "node").count().filter("count > 1").limit(1).count()
     texts = materialise(texts.dropDuplicates(["node"]) if repeats else texts, "shingles")
+    scratch = Scratch()
+    tried = scratch(_verified(pairs, texts, width, similarity, True), "tried")
+    links = tried.filter("stretch is null").drop("stretch")
+    again = _with_first(tried.filter("stretch is not null").select("stretch", F.col("version").alias("node"), F.col("doc_id").alias("doc")), ["stretch"], scratch)
+    # the text that an earliest document has among those that were tried
+    first = pairs.select(F.col("b").alias("a"), F.col("b_doc").alias("a_doc")).distinct()
+    again = again.select(F.col("first").alias("a_doc"), F.col("node").alias("b")).join(first, "a_doc").join(first.select(F.col("a").alias("b"), F.col("a_doc").alias("b_doc")), "b")
+    again = again.filter("a <> b and a_doc < b_doc").distinct().join(pairs, ["a", "b", "a_doc", "b_doc"], "left_anti")
+    again = materialise(again.select("a", "b", "a_doc", "b_doc"), "again")
+    found = materialise(links.unionByName(_verified(again, texts, width, similarity, False).drop("stretch")), "links")
+    scratch.drop()
+    # documents of one text
+    group = known.filter(F.col("words") >= passage_words).distinct()
+    first = group.groupBy("node").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
+    copies = group.join(materialise(first.drop("last"), "copies"), "node").filter("doc <> first")
+    zero, words = F.lit(0).cast("long"), F.col("words")
+    copies = copies.select(F.col("doc").alias("doc_id"), zero.alias("start_word"), words.alias("end_word"), F.col("first").alias("match_doc_id"), zero.alias("match_start_word"), words.alias("match_end_word"), F.lit(1.0).alias("similarity"), F.col("node").alias("version"))
+    return found.unionByName(copies)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float, name_stretches: bool) -> DataFrame:
+    """Passages of pairs (a, b, a_doc, b_doc), and where asked for, rows with the name of a stretch of b in stretch."""
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
     both = both.join(texts.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b").select("a_doc", "b_doc", "b", "left", "right")
 
     @tidy
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 256):
-                out = []
+                out, named = [], []
                 for row in batch.slice(at, 256).to_pylist():
                     a, b = (np.frombuffer(row[k], np.uint32) for k in ("left", "right"))
                     for p, q, r, s, like in verify_pair(a, b, width, similarity):
-                        out.append((row["b_doc"], r, s + SHINGLE, row["a_doc"], p, q + SHINGLE, like, row["b"]))
-                columns = list(zip(*out)) if out else [()] * 8
+                        out.append((row["b_doc"], r, s + SHINGLE, row["a_doc"], p, q + SHINGLE, like, row["b"], None))
+                    if name_stretches:
+                        named.append((row["b_doc"], row["b"], _stretches(a, b, width)))
+                columns = list(zip(*out)) if out else [()] * 9
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64() if i == 6 else pa.int64()) for i, c in enumerate(columns)], names=names)
-
-    names = ["doc_id", "start_word", "end_word", "match_doc_id", "match_start_word", "match_end_word", "similarity", "version"]
-    found = both.mapInArrow(verified, ", ".join(f"{n} {'double' if n == 'similarity' else 'long'}" for n in names))
-    # documents of one text
-    group = known.filter(F.col("words") >= passage_words).distinct()
-    first = group.groupBy("node").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
-    copies = group.join(materialise(first.drop("last"), "copies"), "node").filter("doc <> first")
-    zero, words = F.lit(0).cast("long"), F.col("words")
-    copies = copies.select(F.col("doc").alias("doc_id"), zero.alias("start_word"), words.alias("end_word"), F.col("first").alias("match_doc_id"), zero.alias("match_start_word"), words.alias("match_end_word"), F.lit(1.0).alias("similarity"), F.col("node").alias("version"))
-    return found.unionByName(copies)
+                if named:
+                    size = [len(x) for _, _, x in named]
+                    none = pa.nulls(sum(size), pa.int64())
+                    doc, node = (pa.array(np.repeat(np.array(c, np.int64), size)) for c in list(zip(*named))[:2])
+                    yield pa.RecordBatch.from_arrays([doc, none, none, none, none, none, none.cast(pa.float64()), node, pa.array(np.concatenate([x for _, _, x in named]))], names=names)
+
+    names = ["doc_id", "start_word", "end_word", "match_doc_id", "match_start_word", "match_end_word", "similarity", "version", "stretch"]
+    return both.mapInArrow(run, ", ".join(f"{n} {'double' if n == 'similarity' else 'long'}" for n in names))
 
 
 def repeated_passages(docs: DataFrame, **options) -> DataFrame:

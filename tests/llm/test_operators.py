@@ -376,10 +376,12 @@ def test_passage_links_against_all_pairs(spark, corpus):
     for i, x in enumerate(own):
         for h in np.unique(x).tolist():
             holders.setdefault(h, []).append(i)
-    common_shingles = Counter((a, b) for group in holders.values() if len(group) < 200 for k, b in enumerate(group) for a in group[:k])
-    true = [(rows[a].doc_id, rows[b].doc_id) for (a, b), n in common_shingles.items() if n >= 30 and substring.verify_pair(own[a], own[b], 46, 0.8)]
-    assert len(true) > 50
-    assert sum(least(a) == least(b) for a, b in true) >= 0.99 * len(true)
+    common_shingles = {(a, b) for group in holders.values() for k, b in enumerate(group) for a in group[:k]}
+    true = [(a, b) for a, b in common_shingles if substring.verify_pair(own[a], own[b], 46, 0.8)]
+    exact = [(a, b) for a, b in true if np.isin(substring._rolled(own[a], 46), substring._rolled(own[b], 46)).any()]
+    together = lambda pairs: sum(least(rows[a].doc_id) == least(rows[b].doc_id) for a, b in pairs)
+    assert len(exact) > 50 and together(exact) == len(exact)
+    assert len(true) > len(exact) and together(true) >= 0.99 * len(true)
 
 
 def test_a_text_between_true_copies_does_not_part_them(spark):
@@ -393,6 +395,37 @@ def test_a_text_between_true_copies_does_not_part_them(spark):
     assert {(r.match_doc_id, r.doc_id) for r in substring.passage_links(docs).collect()} == {(10, 30)}
 
 
+@pytest.mark.parametrize("shared", [45, 48, 49])
+def test_copies_are_linked_whatever_the_earliest_text_shares(spark, shared):
+    """The earliest text of each group shares less than the passage with two later texts, which share all of it."""
+    rng = random.Random(shared)
+    rows = []
+    for g in range(150):
+        passage = words(rng, 50, 10**6).split()
+        part = passage[:shared] if g % 2 else passage[-shared:]
+        for k, own in enumerate((part, passage, passage)):
+            rows.append((1000 * k + g, f"{words(rng, 40, 10**6)} {' '.join(own)} {words(rng, 40, 10**6)}"))
+    # many texts with most of one passage, before and between its copies
+    passage = words(rng, 50, 10**6).split()
+    rows += [(10_000 + i, f"{words(rng, 30, 10**6)} {' '.join(passage if i in (7, 31, 32) else passage[i % 3 : i % 3 + 46])} {words(rng, 30, 10**6)}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    found = {(r.match_doc_id, r.doc_id) for r in substring.passage_links(docs).collect()}
+    assert {(1000 + g, 2000 + g) for g in range(150)} <= found
+    classes = {r.doc_id: r.class_id for r in substring.repeated_passages(docs).collect()}
+    assert classes[10_031] == classes[10_032] and len({(a, b) for a, b in found if a >= 10_000 and {a, b} <= {10_007, 10_031, 10_032}}) >= 2
+
+
+def test_names_of_stretches():
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 1 << 32, 200).astype(np.uint32)
+    rolled = substring._rolled(x, 46)
+    assert len(np.unique(rolled)) == len(rolled) == 155
+    assert np.array_equal(substring._rolled(x[30:90], 46), rolled[30:45])
+    b = np.concatenate([x[50:95], rng.integers(0, 1 << 32, 100).astype(np.uint32)])
+    assert len(substring._stretches(x, b, 46)) == 45 and not len(substring._stretches(x, x[20:120], 46))
+    assert not len(substring._stretches(x, b[:40], 46)) and not len(substring._stretches(x, b[45:], 46))
+
+
 def test_equal_texts_and_repeated_rows_in_passages(spark):
     rng = random.Random(15)
     text = words(rng, 80)
