@@ -5,6 +5,10 @@ blocks with `codes` random unit vectors each, and a filter is a pair of them.  A
 filter in whose cap it lies; caps are so high that a random direction lies in `share` of a turn's.  Codes of
 one block that cannot reach the cap with the best of the other are left out, the rest are combined.  Vectors meet on filters and label and are
 verified by cosine in double precision.  A pair that shares several filters counts in the least.
+
+A filter holds about `share` of the vectors of its label.  So labels have levels by their size: at each level a block has twice the
+codes, a cap a quarter of the share, and there are two turns more, which keeps the recall; a filter then holds some FILL vectors, however large the
+label.  A level is left out where its caps would be narrower than near-duplicates are apart, as in few dimensions.
 Equal vectors are one vector with a weight, and a large filter is cut into parts by hash.
 """
 
@@ -25,6 +29,8 @@ TURNS, CODES = 10, 128
 SHARE = 2.5e-4
 PART = 1024
 BIN = 20_000
+#: Vectors that a filter holds on average, at most, by levels of its label; and the height up to which levels go.
+FILL, HIGHEST = 256, 0.7
 
 
 @lru_cache(maxsize=64)
@@ -37,12 +43,31 @@ def product_code(dim: int, codes: int, share: float, seed: int) -> tuple[np.ndar
     for size in (half, dim - half):
         c = rng.standard_normal((codes, size))
         blocks.append(c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-30) * np.sqrt(0.5))
+    if codes > CODES:
+        return turn, *blocks, cap_height(dim, share)
     probe = _unit(rng.standard_normal((128, dim)))
     sums = (probe[:, :half] @ blocks[0].T)[:, :, None] + (probe[:, half:] @ blocks[1].T)[:, None, :]
     least = float(np.quantile(sums, 1 - share, method="lower"))
     return turn, *blocks, least
 
 
+@lru_cache(maxsize=256)
+def cap_height(dim: int, share: float) -> float:
+    """Height of the cap that a random direction lies in with probability share: the density of angles is sin ** (dim - 2)."""
+    angle = np.geomspace(1e-4, np.pi, 200_000)
+    density = np.exp(max(0, dim - 2) * np.log(np.maximum(np.sin(angle), 1e-300)))
+    area = np.append(0, np.cumsum((density[1:] + density[:-1]) * np.diff(angle)))
+    return float(np.cos(np.interp(share, area / area[-1], angle)))
+
+
+def level_of(size: int, dim: int, share: float = SHARE, fill: int = FILL) -> int:
+    """The least level at which a filter of a label of so many vectors holds `fill` of them, as far as heights allow."""
+    level = 0
+    while size * share / 4**level > fill and cap_height(dim, share / 4 ** (level + 1)) <= HIGHEST:
+        level += 1
+    return level
+
+
 def list_decode(vectors: np.ndarray, turns: int = TURNS, codes: int = CODES, share: float = SHARE, seed: int = 7) -> list[np.ndarray]:
     """Sorted filters of each unit vector: in each turn all pairs of codes with summed product of at least the cap."""
     out: list[list[np.ndarray]] = [[] for _ in vectors]
@@ -92,14 +117,15 @@ def _compare(vectors: np.ndarray, filters: np.ndarray, here: int, side: np.ndarr
     return links, root
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", turns: int = TURNS, codes: int = CODES, share: float = SHARE, seed: int = 7) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", turns: int = TURNS, codes: int = CODES, share: float = SHARE, fill: int = FILL, seed: int = 7) -> DataFrame:
     """One row per vector: id, n_links, component_id, kept.
 
     Only vectors of the same non-null label are compared.  Vectors that are null, empty, zero or hold null
-    or non-finite components link with nothing.  Equal vectors link.  An empty table gives no rows.
+    or non-finite components link with nothing.  Equal vectors link.  An empty table gives no rows.  A row whose id is null
+    links with nothing, and its component and kept are null.
     """
     vectors = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"), F.col(label_col).alias("label"))
-    sound = F.col("label").isNotNull() & F.col("vector").isNotNull() & F.expr("forall(vector, x -> x is not null and not isnan(x) and abs(x) < double('inf'))") & F.expr("exists(vector, x -> x <> 0)")
+    sound = F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("vector").isNotNull() & F.expr("forall(vector, x -> x is not null and not isnan(x) and abs(x) < double('inf'))") & F.expr("exists(vector, x -> x <> 0)")
     marked = vectors.select("id", F.when(sound, F.struct("label", "vector")).alias("content"))
     # the content's hash only deals rows; groups are formed on the content itself
     nodes = marked.filter("content is not null").groupBy("content").agg(F.min("id").alias("node"), F.count("*").alias("weight"))
@@ -110,18 +136,23 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
         for batch in batches:
             column = batch.column(1)
             sizes = column.value_lengths().to_numpy()
+            of_label = batch.column(2).to_numpy(zero_copy_only=False)
             flat, ends = column.flatten().to_numpy().astype(np.float64), np.cumsum(sizes)
             found: list = [None] * len(sizes)
-            for dim in np.unique(sizes):
-                rows = np.flatnonzero(sizes == dim)
-                own = np.stack([flat[ends[r] - dim : ends[r]] for r in rows])
-                own = _unit(own)
+            kinds = [(dim, level_of(int(n), int(dim), share, fill)) for dim, n in zip(sizes, of_label)]
+            for dim, level in sorted(set(kinds)):
+                rows = [r for r, kind in enumerate(kinds) if kind == (dim, level)]
+                own = _unit(np.stack([flat[ends[r] - dim : ends[r]] for r in rows]))
                 for at in range(0, len(rows), 2048):
-                    for r, f in zip(rows[at : at + 2048], list_decode(own[at : at + 2048], turns, codes, share, seed)):
+                    got = list_decode(own[at : at + 2048], turns + 2 * level, codes << level, share / 4**level, seed)
+                    for r, f in zip(rows[at : at + 2048], got):
                         found[r] = f
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["node", "filters"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "filters"])
 
-    coded = nodes.select("node", "vector").mapInArrow(decode, "node long, filters array<int>").join(nodes, "node")
+    # vectors of each label and dimension: a row for each
+    of_label = materialise(nodes.groupBy("label", F.size("vector").alias("dim")).agg(F.count("*").alias("n")), "labels")
+    sized = nodes.withColumn("dim", F.size("vector")).join(of_label, ["label", "dim"])
+    coded = sized.select("node", "vector", "n").mapInArrow(decode, "node long, filters array<bigint>").join(nodes, "node")
     coded = materialise(coded.withColumn("dim", F.size("vector")), "filters")
     rows = coded.select("node", F.explode("filters").alias("filter"), "label", "dim")
     sizes = rows.groupBy("filter", "label", "dim").agg(F.count("*").alias("n")).filter("n > 1").select("filter", "label", "dim", "n", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
