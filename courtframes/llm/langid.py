@@ -3,8 +3,8 @@
 For each language a suffix automaton recognises every substring of labelled text.  A document is
 parsed greedily into the longest phrases that the automaton knows; in the language that fits, phrases are
 long and few.  Phrases are normalised by the number of symbols parsed, and the language with the
-fewest wins.  The automata are full transition tables, where a missing transition starts a new phrase
-from the root, so numpy parses thousands of pieces in lock-step.
+fewest wins.  A missing transition starts a new phrase from the root, so numpy parses thousands of pieces in lock-step.
+Most states have one transition, which is kept by itself; only those that branch have a full row.
 
 Texts are parsed whole.  A long text is dealt into pieces of PIECE symbols that are first parsed each by itself; then a
 piece is parsed again from the state in which the piece before it ends, until it comes to a state that it already had
@@ -13,8 +13,10 @@ at that place, from where on nothing changes.  So the phrases are those of one p
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +25,10 @@ from pyspark.sql import functions as F
 
 from courtframes.llm.common import slices, tidy
 
-#: The sample of a language: so many labelled rows, whole, of so many characters together; rows of all languages
-#: together have at most MODEL_CHARS, so the tables that are broadcast are bounded.
-FIT_DOCS = 150
-FIT_CHARS = 40_000
-MODEL_CHARS = 400_000
+#: The sample of a language: so many labelled rows, whole, whatever their length.
+FIT_DOCS = 48
+#: The automata are broadcast, so their size is checked first.
+MODEL_BYTES = 512 << 20
 #: Symbols that are parsed in lock-step; no result depends on it.
 PIECE = 512
 COMMON, RARE = 200, 32
@@ -67,46 +68,92 @@ def squeeze(symbols: np.ndarray) -> np.ndarray:
     return keep
 
 
-def automaton(symbols: np.ndarray, size: int) -> np.ndarray:
-    """Full transitions: next state * size, with the top bit where a new phrase begins.
+class Automaton(NamedTuple):
+    """Transitions: next[s] for symbol[s], and full[row[s] + c] for others, with the top bit where a new phrase begins.
 
-    The last state is that before a phrase, where each symbol begins one; unknown symbols are phrases of their own.
+    Row 0 is that of a state without other transitions.  The last state is that before a phrase, where each symbol begins one; unknown
+    symbols are phrases of their own.
     """
-    step: list[dict[int, int]] = [{}]
-    link, length = [-1], [0]
+
+    symbol: np.ndarray  # uint8, OTHER where no transition is kept by itself
+    next: np.ndarray  # uint32
+    row: np.ndarray  # uint32
+    full: np.ndarray  # uint32
+
+    def step(self, at: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        out = self.next[at]
+        miss = np.flatnonzero(self.symbol[at] != symbols)
+        out[miss] = self.full[self.row[at[miss]] + symbols[miss]]
+        return out
+
+
+def automaton(symbols: np.ndarray, size: int) -> Automaton:
+    """The suffix automaton of the symbols, which are below size."""
+    # a state's first transition is in two arrays, further ones in a dictionary of those states that have any
+    symbol, target, link, length = array("h", [-1]), array("q", [-1]), array("q", [-1]), array("q", [0])
+    more: dict[int, dict[int, int]] = {}
     last = 0
     for c in symbols.tolist():
-        new = len(step)
-        step.append({})
-        length.append(length[last] + 1)
+        new = len(symbol)
+        symbol.append(-1)
+        target.append(-1)
         link.append(0)
-        p = last
-        while p >= 0 and c not in step[p]:
-            step[p][c] = new
+        length.append(length[last] + 1)
+        p, q = last, -1
+        while p >= 0:
+            if symbol[p] == c:
+                q = target[p]
+                break
+            if symbol[p] < 0:
+                symbol[p], target[p] = c, new
+            else:
+                own = more.setdefault(p, {})
+                if (q := own.setdefault(c, new)) != new:
+                    break
             p = link[p]
         if p >= 0:
-            q = step[p][c]
             if length[p] + 1 == length[q]:
                 link[new] = q
             else:
-                clone = len(step)
-                step.append(step[q].copy())
-                length.append(length[p] + 1)
+                clone = len(symbol)
+                symbol.append(symbol[q])
+                target.append(target[q])
                 link.append(link[q])
-                while p >= 0 and step[p].get(c) == q:
-                    step[p][c] = clone
+                length.append(length[p] + 1)
+                if q in more:
+                    more[clone] = dict(more[q])
+                while p >= 0:
+                    if symbol[p] == c and target[p] == q:
+                        target[p] = clone
+                    elif p in more and more[p].get(c) == q:
+                        more[p][c] = clone
+                    else:
+                        break
                     p = link[p]
                 link[q] = link[new] = clone
         last = new
-    root = np.array([step[0].get(c, len(step)) * size for c in range(size)], np.int64) | BREAK
-    table = np.tile(root, (len(step) + 1, 1))
-    for state, own in enumerate(step):
-        if own:
-            table[state, list(own)] = np.fromiter(own.values(), np.int64, len(own)) * size
-    return table.ravel().astype(np.uint32)
-
-
-BREAK = 1 << 31
+    n = len(symbol)
+    first, to = np.array(symbol, np.int64), np.array(target, np.int64)
+    root = np.full(size, n, np.int64)
+    if n > 1:
+        root[list(more.get(0, {}))] = list(more.get(0, {}).values())
+        root[first[0]] = to[0]
+    full = np.tile(root | BREAK, (1 + len(more), 1))
+    row = np.zeros(n + 1, np.int64)
+    for k, (state, own) in enumerate(more.items(), 1):
+        full[k, list(own)] = list(own.values())
+        full[k, first[state]] = to[state]
+        row[state] = k * size
+    alone = (first >= 0) & (row[:n] == 0)
+    return Automaton(
+        np.append(np.where(alone, first, OTHER), OTHER).astype(np.uint8),
+        np.append(np.where(alone, to, 0), 0).astype(np.uint32),
+        row.astype(np.uint32),
+        full.ravel().astype(np.uint32),
+    )
+
+
+BREAK, OTHER = 1 << 31, 255
 
 
 class CrossParser:
@@ -119,6 +166,9 @@ class CrossParser:
             symbols = self.alphabet.letters(codes)
             self.tables.append(automaton(symbols[squeeze(symbols)], self.alphabet.size))
 
+    def nbytes(self) -> int:
+        return self.alphabet.table.nbytes + sum(part.nbytes for table in self.tables for part in table)
+
     def phrases(self, symbols: np.ndarray, offsets: np.ndarray, piece: int = PIECE) -> np.ndarray:
         """Phrases of each text (a stretch of symbols) in each language."""
         n = len(offsets) - 1
@@ -144,17 +194,15 @@ class CrossParser:
         alive = np.searchsorted(-length, -np.arange(piece), "left").tolist()
         states, breaks = np.empty(columns.shape, np.uint32), np.zeros(columns.shape, bool)
         for k, table in enumerate(self.tables):
-            start = len(table) - self.alphabet.size
+            start = len(table.row) - 1
             state = np.full(len(row), start, np.uint32)
             for i, m in enumerate(alive):
                 if not m:
                     break
-                at = state[:m]
-                at += columns[i, :m]
-                np.take(table, at, out=at, mode="clip")
+                at = table.step(state[:m], columns[i, :m])
                 np.greater_equal(at, BREAK, out=breaks[i, :m])
                 at &= BREAK - 1
-                states[i, :m] = at
+                states[i, :m] = state[:m] = at
             todo, entry = follows, state[before]
             while len(todo):
                 i, own, at, ended = 0, todo, entry, []
@@ -165,7 +213,7 @@ class CrossParser:
                         state[own[done]] = at[done]
                         own, at = own[~done], at[~done]
                         continue
-                    at = table[at + columns[i, own]]
+                    at = table.step(at, columns[i, own])
                     breaks[i, own] = at >= BREAK
                     at &= BREAK - 1
                     new = at != states[i, own]
@@ -204,42 +252,37 @@ class CrossParser:
         return [self.langs[b] if h and self.langs else "und" for b, h in zip(best, has)], score
 
 
-def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_chars: int = FIT_CHARS, text_col: str = "text", lang_col: str = "lang") -> CrossParser:
-    """Automata of a sample of each language: at most fit_docs distinct texts, in order of their hash, as long as
-    they have fit_chars characters together (fewer where languages are many, see MODEL_CHARS).
+def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, text_col: str = "text", lang_col: str = "lang") -> CrossParser:
+    """Automata of a sample of each language: its first fit_docs distinct texts in order of their hash.
 
-    Texts are taken whole.  A text that is longer than that is not in the sample; where a language has no other, its
-    shortest text is the sample.  Distinct texts are counted first and thinned by their hash, so no language is gathered
+    Texts are taken whole, whatever their length.  Distinct texts are counted first and thinned by their hash, so no language is gathered
     whole, and copies count once.  The sample does not depend on how rows are dealt.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).withColumn("h", F.xxhash64("text"))
     rows = rows.filter("lang is not null and text is not null and length(text) > 0")
-    langs = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
+    langs = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"), F.min("h").alias("least")).collect()
     if not langs:
         return CrossParser({})
-    chars = min(fit_chars, MODEL_CHARS // len(langs))
-    fits = rows.filter(F.length("text") <= chars)
     scale = 1 << 30
+    # at least a language's text of the least hash
     share = F.create_map(*[F.lit(x) for r in langs for x in (r["lang"], int(min(1.0, 2 * fit_docs / max(1, r["n"])) * scale))])
-    picked = fits.filter(F.pmod("h", F.lit(scale)) < share[F.col("lang")]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    least = F.create_map(*[F.lit(x) for r in langs for x in (r["lang"], r["least"])])
+    lang = F.col("lang")
+    picked = rows.filter((F.pmod("h", F.lit(scale)) < share[lang]) | (F.col("h") == least[lang])).groupBy("lang", "h").agg(F.min("text").alias("text"))
     # a window holds the thinned texts of a language, some 2 * fit_docs
     order = Window.partitionBy("lang").orderBy("h")
-    picked = picked.select("lang", "h", "text", F.row_number().over(order).alias("k"), F.sum(F.length("text")).over(order).alias("total"))
-    got = picked.filter((F.col("k") <= fit_docs) & (F.col("total") <= chars)).select("lang", "h", "text").toPandas()
-    texts = {lang: g.sort_values("h", kind="stable")["text"].tolist() for lang, g in got.groupby("lang")}
-    missing = [r["lang"] for r in langs if r["lang"] not in texts]
-    if missing:
-        least = rows.filter(F.col("lang").isin(missing)).groupBy("lang").agg(F.min(F.struct(F.length("text").alias("n"), F.col("text"))).alias("t"))
-        texts |= {r["lang"]: [r["t"]["text"]] for r in least.collect()}
-    return CrossParser(texts)
+    got = picked.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= fit_docs).select("lang", "h", "text").toPandas()
+    return CrossParser({lang: g.sort_values("h", kind="stable")["text"].tolist() for lang, g in got.groupby("lang")})
 
 
 def predict(docs: DataFrame, model: CrossParser, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score) of each row; `und` with score 0 for texts that are null or have no letter.
 
     Ties go to the first language by name.  A model without languages gives `und`.  Repeated rows are
-    predicted alike; an empty table gives no rows.
+    predicted alike; an empty table gives no rows.  A model of more than MODEL_BYTES is an error, as it is broadcast.
     """
+    if (size := model.nbytes()) > MODEL_BYTES:
+        raise ValueError(f"the automata take {size} bytes; fit them on fewer rows")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @tidy

@@ -183,6 +183,31 @@ def test_simhash_components_match_brute_force(spark, awkward):
     assert simhash.components(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("level", [1, 3, 5])
+def test_filters_of_large_labels_hold_few_vectors_and_lose_no_pairs(level):
+    rng = np.random.default_rng(level)
+    for dim in (64, 128):
+        share = embedding.SHARE / 4**level
+        assert embedding.level_of(int(4**level * embedding.FILL / embedding.SHARE), dim) == level
+        a, z = (embedding._unit(rng.standard_normal((300, dim))) for _ in range(2))
+        z = embedding._unit(z - (z * a).sum(1, keepdims=True) * a)
+        found = [embedding.list_decode(x, embedding.TURNS + 2 * level, embedding.CODES << level, share) for x in (a, 0.931 * a + np.sqrt(1 - 0.931**2) * z)]
+        assert np.mean([len(np.intersect1d(x, y)) > 0 for x, y in zip(*found)]) >= 0.99
+        # a vector is in so many filters of a turn, whatever the level, so each holds `share` of them
+        assert 3 < np.mean([len(x) for x in found[0]]) / (embedding.TURNS + 2 * level) < 5.5
+    assert embedding.level_of(10**12, 3) == 0
+
+
+def test_embedding_levels_by_label(spark):
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal((120, 64))
+    near = base + 0.3 * rng.standard_normal((120, 64))
+    rows = [(i, [float(v) for v in x], 1 if i % 3 else 2) for i, x in enumerate(base)] + [(1000 + i, [float(v) for v in x], 1 if i % 3 else 2) for i, x in enumerate(near)]
+    df = spark.createDataFrame([*rows, (None, rows[0][1], 2)], "vec_id long, embedding array<double>, label int")
+    plain, levels = ({r.vec_id: tuple(r) for r in embedding.near_duplicates(df, fill=f).collect()} for f in (256, 1e-3))
+    assert plain == levels and plain[None] == (None, 0, None, None) and sum(r[1] for r in plain.values()) > 200
+
+
 def test_embedding_links_match_brute_force(spark):
     rng = np.random.default_rng(6)
     rows = []
@@ -580,14 +605,24 @@ def test_models_do_not_depend_on_how_rows_are_dealt(spark, corpus):
         fields.append(quality_crf.fit(dealt, labels))
         parsers.append(langid.fit(dealt))
     assert np.array_equal(fields[0].weight, fields[1].weight) and np.array_equal(fields[0].scale, fields[1].scale)
-    assert parsers[0].langs == parsers[1].langs and all(np.array_equal(a, b) for a, b in zip(parsers[0].tables, parsers[1].tables))
-
-
-def test_language_samples_are_whole_texts(spark):
-    rows = [("a" * 500, "long"), ("b" * 700, "long"), *[(f"c{chr(97 + i)}d", "short") for i in range(20)], *[("same", "short")] * 50, (None, "none"), ("e", None)]
-    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"), fit_chars=40)
-    size = {lang: len(t) // model.alphabet.size for lang, t in zip(model.langs, model.tables)}
-    assert list(size) == ["long", "short"] and size["long"] == 502 and 20 < size["short"] < 90
+    assert parsers[0].langs == parsers[1].langs and all(np.array_equal(x, y) for a, b in zip(parsers[0].tables, parsers[1].tables) for x, y in zip(a, b))
+
+
+def test_language_samples_are_whole_texts(spark, monkeypatch):
+    rng = random.Random(6)
+    long = "".join(rng.choice("abcdef") for _ in range(60_000))
+    rows = [(long, "long"), ("b" * 700, "long"), *[(f"c{chr(97 + i)}d", "short") for i in range(20)], *[("same", "short")] * 50, (None, "none"), ("e", None)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    model = langid.fit(docs)
+    assert model.langs == ["long", "short"]
+    # all of the long text is known: one phrase
+    symbols = model.alphabet.letters(np.frombuffer(long.encode("utf-32-le"), np.uint32))
+    assert model.phrases(symbols, np.array([0, len(symbols)])).astype(int).tolist()[0] == [1]
+    assert model.nbytes() < 40e6
+    assert len(langid.fit(docs, fit_docs=5).tables[1].row) < len(model.tables[1].row)
+    monkeypatch.setattr(langid, "MODEL_BYTES", 1000)
+    with pytest.raises(ValueError, match="fewer rows"):
+        langid.predict(docs.withColumnRenamed("lang", "doc_id"), model)
 
 
 @pytest.mark.parametrize("module,label,least", [(toxicity, "toxic", 0.97), (quality_crf, "quality", 0.97)])
