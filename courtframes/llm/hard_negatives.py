@@ -26,45 +26,47 @@ BLOCK, BATCH = 4096, 2048
 POSITIVES, NEGATIVES = 5, 3
 #: A negative scores between these percentages of its positive.
 LOW, HIGH = 50, 95
-#: Sorted access begins with so many rows of each list, and doubles.
-DEPTH = 16
+#: Sorted access begins with so many rows of each list, and goes on to so many times as many.
+DEPTH, STEP = 16, 4
 
 
 class Lists:
-    """The sorted lists of a block; ids ascend, and rows are told by their place."""
+    """The sorted lists of a block: for each dimension the sorted components, and each row's place among them.  Ids ascend."""
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray):
         self.vectors, self.ids = vectors, ids
-        self.rising = np.argsort(vectors, axis=0, kind="stable")
-        self.falling = self.rising[::-1]
+        order = np.argsort(vectors.T, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(vectors.T, order, axis=1)
+        self.place = np.empty(order.shape, np.int32)
+        np.put_along_axis(self.place, order, np.arange(len(ids), dtype=np.int32)[None, :], axis=1)
 
     def read(self, anchor: np.ndarray, enough: Callable[[np.ndarray, np.ndarray, float], bool]) -> tuple[np.ndarray, np.ndarray]:
         """(rows, scores) of all rows that came up until enough(rows, scores, threshold) held."""
         n = len(self.ids)
-        used = np.flatnonzero(anchor != 0)
-        if not len(used):  # all scores are zero, and no list tells rows apart
-            return np.arange(n), self.vectors @ anchor if self.vectors.shape[1] else np.zeros(n)
-        up = anchor[used] > 0
-        rising, falling = self.rising[:, used], self.falling[:, used]
-        seen = np.zeros(n, bool)
-        rows, scores = np.zeros(0, np.int64), np.zeros(0, self.vectors.dtype)
+        up, down = np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
+        if not len(up) + len(down):  # all scores are zero, and no list tells rows apart
+            return np.arange(n), np.zeros(n)
+        # the depth at which a row first comes up: lists are read from their end where the anchor is positive
+        depth = np.minimum(n - 1 - self.place[up].max(axis=0, initial=-1), self.place[down].min(axis=0, initial=n))
+        rows, scores, whole = np.zeros(0, np.int64), np.zeros(0, self.vectors.dtype), None
         begin, end = 0, min(DEPTH, n)
         while True:
-            came = np.where(up, falling[begin:end], rising[begin:end])
-            mark = np.zeros(n, bool)
-            mark[came.ravel()] = True
-            new = np.flatnonzero(mark & ~seen)
-            seen |= mark
-            rows, scores = np.append(rows, new), np.append(scores, self.vectors[new] @ anchor)
-            threshold = self.vectors[came[-1], used] @ anchor[used]
-            if end == n or enough(rows, scores, threshold):
+            new = np.flatnonzero((depth >= begin) & (depth < end))
+            # many rows at once are scored by one product with the block, few by their own
+            if whole is None and 4 * len(new) > n:
+                whole = self.vectors @ anchor
+            rows = np.append(rows, new)
+            scores = np.append(scores, self.vectors[new] @ anchor if whole is None else whole[new])
+            threshold = self.sorted[up, n - end] @ anchor[up] + self.sorted[down, end - 1] @ anchor[down]
+            if len(rows) == n or enough(rows, scores, threshold):
                 return rows, scores
-            begin, end = end, min(2 * end, n)
+            begin, end = end, min(STEP * end, n)
 
 
 def _first(rows: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Places of the k highest scores, ties by row."""
-    return np.lexsort((rows, -scores))[:k]
+    at = np.flatnonzero(scores >= least) if (least := _kth(scores, k)) is not None else np.arange(len(scores))
+    return at[np.lexsort((rows[at], -scores[at]))[:k]]
 
 
 def _kth(scores: np.ndarray, k: int):
@@ -72,11 +74,12 @@ def _kth(scores: np.ndarray, k: int):
 
 
 def _matrix(*frames: pd.DataFrame) -> list[np.ndarray]:
-    """Vectors of both sides as doubles where all their products are exact, else as Python integers."""
-    both = [np.stack(f["vector"].to_numpy()).astype(np.float64) if len(f) else np.zeros((0, 0)) for f in frames]
+    """Vectors of both sides as floats of a width in which all their products are exact, else as Python integers."""
+    both = [np.stack(f["vector"].to_numpy()).astype(np.float64) for f in frames]
     most = [float(np.abs(m).max(initial=0)) for m in both]
-    if most[0] * most[1] * max(1, both[0].shape[1]) < 2.0**53:
-        return both
+    bound = most[0] * most[1] * max(1, both[0].shape[1])
+    if bound < 2.0**53:
+        return [m.astype(np.float32) for m in both] if bound < 2.0**24 else both
     return [np.array([[int(v) for v in row] for row in m], object).reshape(m.shape) for m in both]
 
 
@@ -127,10 +130,11 @@ def negatives_of(anchors: pd.DataFrame, rows: pd.DataFrame, k: int, low: int, hi
             others = labels != label
 
             def enough(found, scores, threshold):
+                open_ = [w for w in windows if threshold >= w[2]]
+                if any(threshold >= w[3] for w in open_):  # no score of the window is above the threshold
+                    return False
                 scores = scores[others[found]]
-                for _, _, least, most in windows:
-                    if threshold < least:
-                        continue
+                for _, _, least, most in open_:
                     kth = _kth(scores[(scores >= least) & (scores <= most)], k)
                     if kth is None or threshold >= kth:
                         return False
