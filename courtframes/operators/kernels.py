@@ -168,10 +168,17 @@ def longest_overlap(a: DataFrame, b: DataFrame, keys: list[str], a_id: list[str]
 
 
 def first_hold(anchors: DataFrame, run_table: DataFrame, keys: list[str], anchor: str, min_n: int, step: int) -> DataFrame:
-    """Start of the first run, cut at the anchor, that lasts min_n steps of `step` at or after it."""
-    after = run_table.filter(F.col("n") >= min_n)
-    joined = anchors.alias("a").join(after.alias("r"), keys).filter((F.col("t_end") >= F.col(anchor)) & (F.col("t_end") - F.greatest("t_start", F.col(anchor)) >= (min_n - 1) * step))
-    return joined.groupBy(*[F.col(c) for c in anchors.columns]).agg(F.min(F.greatest("t_start", F.col(anchor))).alias("t_hold"))
+    """Start of the first run, cut at the anchor, that lasts min_n steps of `step` at or after it.
+
+    Runs of a key do not overlap.  Either the run that the anchor lies in is long enough behind it, or the first whole one that begins later
+    holds; each is an as-of search, so no anchor meets all runs of its key.
+    """
+    long = run_table.filter((F.col("n") >= min_n) & (F.col("t_end") - F.col("t_start") >= (min_n - 1) * step)).select(*keys, F.col("t_start").alias(anchor), "t_end")
+    own = asof(anchors.distinct(), long, keys, anchor, ["t_end"])
+    here = F.col("t_end") - F.col(anchor) >= (min_n - 1) * step
+    own = own.select(*anchors.columns, F.when(here, F.col(anchor)).alias("__here"))
+    found = asof(own, long, keys, anchor, ["t_end"], forward=True)
+    return found.select(*anchors.columns, F.coalesce("__here", f"match_{anchor}").alias("t_hold")).filter("t_hold is not null")
 
 
 def last_crossing(df: DataFrame, keys: list[str], time: str, flag: str) -> DataFrame:

@@ -127,7 +127,11 @@ def _(spark, d):
     return ev.shared_places(frames(spark, d))
 
 
-@query("m2_pair_distances", "select a.game_id, a.period, a.unix_ms, a.player_id as id_a, b.player_id as id_b, case when not (a.shared or b.shared) then (a.x_cft - b.x_cft) * (a.x_cft - b.x_cft) + (a.y_cft - b.y_cft) * (a.y_cft - b.y_cft) end as d2, a.shared or b.shared as xy_shared from pdist_v a join pdist_v b on a.game_id = b.game_id and a.period = b.period and a.unix_ms = b.unix_ms and a.team_id < b.team_id")
+_VIEWS["sole_v"] = """select p.game_id, p.period, p.unix_ms, p.team_id, p.player_id, p.x_cft, p.y_cft, n.n > 1 as shared from (select * from frames_v where team_id <> -1) p
+    join (select game_id, period, unix_ms, x_cft, y_cft, count(*) as n from frames_v where team_id <> -1 group by all) n on p.game_id = n.game_id and p.period = n.period and p.unix_ms = n.unix_ms and p.x_cft = n.x_cft and p.y_cft = n.y_cft"""
+
+
+@query("m2_pair_distances", "select a.game_id, a.period, a.unix_ms, a.player_id as id_a, b.player_id as id_b, case when not (a.shared or b.shared) then (a.x_cft - b.x_cft) * (a.x_cft - b.x_cft) + (a.y_cft - b.y_cft) * (a.y_cft - b.y_cft) end as d2, a.shared or b.shared as xy_shared from (select * from sole_v where team_id = 100) a join (select * from sole_v where team_id = 200) b on a.game_id = b.game_id and a.period = b.period and a.unix_ms = b.unix_ms")
 def _(spark, d):
     return ev.pair_distances(frames(spark, d))
 
