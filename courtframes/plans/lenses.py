@@ -78,3 +78,19 @@ def spark_view(spark: SparkSession, sf_dir: str, lens: str) -> DataFrame:
 
 def sql_view(lens: str) -> str:
     return re.sub(r"\{(\w+)\}", r"\1", lens)
+
+#: FRAMES where the ball of every third flight passes over a rim, by turns of either hoop, and comes down behind it.
+FRAMES_RIM = f"""
+select game_id, period, unix_ms, game_clock_cs, shot_clock_cs, k, team_id, player_id,
+       case when up then case when floor(k / 120) % 2 = 0 then 525 else 8875 end + 40 * (k % 40 - 34) else x_cft end as x_cft,
+       case when up then 2500 + 20 * (k % 40 - 34) else y_cft end as y_cft,
+       case when up then 1250 - 60 * (k % 40 - 32) else z_cft end as z_cft
+from (select r.*, team_id = -1 and floor(k / 40) % 3 = 0 and k % 40 >= 32 as up from ({FRAMES}) r) u
+"""
+
+#: PBP with a clock that runs as far as the frames' does, so that most rows lie in frames; an attempt stands close to the end of a flight.
+PBP_NEAR = f"""
+select q.game_id, event_num, period, 720 - cast(floor(f.n * (j - 1) / (100 * m)) as bigint) as pctime_sec, msg_type, action_type, p1_team_id, p1_id, p3_team_id, description
+from (select p.*, row_number() over (partition by game_id, period order by event_num) as j, count(*) over (partition by game_id, period) as m from ({PBP}) p) q
+join (select user_id % 15 as game_id, count(*) as n from {{events}} group by user_id % 15) f on q.game_id = f.game_id
+"""
