@@ -11,16 +11,17 @@ distances from the centre: by all four, by both of one side, and by each alone.
 earliest one, so a passage in n texts gives some n links, and which links are tried is a function of the table alone.  All passages of a linked pair are then laid out over both texts and
 verified by the Jaccard similarity of their shingles, as 32-bit hashes.
 
-The earliest text of a group may share too little with the others, which share a passage.  So where a text shares some of a
-stretch of the least length with the earliest text but not all of it, the stretch is named by the hash of its shingles, and of the texts
+The earliest text of a group may share too little with the others, which share a passage.  So where a text shares the least
+shingle of a stretch of the least length with the earliest text but not the stretch, the stretch is named by the hash of its shingles, and of the texts
 with one name each is linked to the earliest, in a second turn of verification.  These texts share the whole stretch, so no link fails,
 and a third turn would find nothing.  Hence two texts with the same passage, word for word, are always in one class: the first text of the group of
-the passage's least hash either has it, and then both links to it hold, or has that one shingle of it, and then the passage has a name in both texts.
+the passage's least shingle either has it, and then both links to it hold, or has that shingle alone, and then the passage has a name in both texts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,16 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def tokens_of(base: np.ndarray, function: int) -> np.ndarray:
+    """Min-hash tokens of shingles: in order of the upper half of a hash of the shingle's upper half, which stays known when texts are verified."""
+    with np.errstate(over="ignore"):
+        return ranks_of(base >> np.uint64(32), function) << np.uint64(32) | base & np.uint64(0xFFFFFFFF)
+
+
+def ranks_of(short: np.ndarray, function: int) -> np.ndarray:
+    return mix(short.astype(np.uint64), function) >> np.uint64(32)
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """uint64 hash of each shingle of a slice, the first shingle of each text, and each text's words; short texts have none."""
     words = words_of(data, offsets)
@@ -137,8 +148,7 @@ def _window_rows(nodes: np.ndarray, base: np.ndarray, first: np.ndarray, width:
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
     high = base >> np.uint64(64 - PROBE_BITS)
     for k in range(1, functions + 1):
-        with np.errstate(over="ignore"):
-            tokens = mix(base, k)
+        tokens = tokens_of(base, k)
         _, c, _ = compact_windows(tokens, first, width)
         if not len(c):
             continue
@@ -304,13 +314,13 @@ def _agree(a: np.ndarray, b: np.ndarray, left: np.ndarray, right: np.ndarray, d:
     return np.flatnonzero((a[x : x + n] == b[y : y + n]) & left[x : x + n] & right[y : y + n])
 
 
-def verify_pair(a: np.ndarray, b: np.ndarray, width: int, similarity: float) -> list[tuple[int, int, int, int, float]]:
+def verify_pair(a: np.ndarray, b: np.ndarray, width: int, similarity: float, in_b: np.ndarray | None = None) -> list[tuple[int, int, int, int, float]]:
     """Shingle ranges (first and last, in a and in b) and similarity of all passages of b that a has too.
 
     Runs of shared shingles are compared run by run; where such a run is more than one passage, the
     stretches that agree at equal distance are compared.
     """
-    in_a, in_b = np.isin(a, b), np.isin(b, a)
+    in_a, in_b = np.isin(a, b), np.isin(b, a) if in_b is None else in_b
     a_lo, a_hi = _segments(in_a, width)
     b_lo, b_hi = _segments(in_b, width)
     found: list[tuple[int, int, int, int, float]] = []
@@ -339,28 +349,47 @@ def verify_pair(a: np.ndarray, b: np.ndarray, width: int, similarity: float) ->
     return found
 
 
-def _stretches(a: np.ndarray, b: np.ndarray, width: int) -> np.ndarray:
-    """Names of the stretches of b of width shingles that hold a shingle of a and do not stand in a."""
+def _stretches(a: np.ndarray, b: np.ndarray, width: int, shared: np.ndarray) -> np.ndarray:
+    """Names of the stretches of b of width shingles whose least token, under the first function, a has too, and which do not stand in a.
+
+    Such a token put both texts in one group, wherever b's stretch stands a second time.
+    """
     if len(b) < width:
         return np.zeros(0, np.int64)
     with np.errstate(over="ignore"):
-        held = np.append(0, np.cumsum(np.isin(b, a)))
-        some = held[width:] > held[:-width]
-        own = _rolled(b, width)
-        return np.unique(own[some & ~np.isin(own, _rolled(a, width))]).view(np.int64)
+        least = _sliding(ranks_of(b, 1) << np.uint64(1) | ~shared, width, True)
+        some = np.flatnonzero(least & np.uint64(1) == 0)
+        if not len(some):
+            return some
+        own = _rolled(b, width)[some]
+    if len(a) >= width:
+        own = own[~np.isin(own, _rolled(a, width))]
+    return np.unique(own).view(np.int64)
+
+
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2 ** 64."""
+    base = [int(_M), pow(int(_M), -1, 1 << 64)]
+    out = []
+    with np.errstate(over="ignore"):
+        for x in base:
+            row = np.ones(1, np.uint64)
+            while len(row) < n:
+                row = np.concatenate([row, row * np.uint64(pow(x, len(row), 1 << 64))])
+            out.append(row)
+    return out[0], out[1]
 
 
 def _rolled(x: np.ndarray, width: int) -> np.ndarray:
-    """uint64 hash of each stretch of width values, from hashes of its halves."""
-    out, done = mix(x.astype(np.uint64), 97), 1
+    """uint64 hash of each stretch of width values."""
     if len(x) < width:
         return np.zeros(0, np.uint64)
+    up, down = _powers(1 << max(16, len(x).bit_length()))
     with np.errstate(over="ignore"):
-        while done < width:
-            step = min(done, width - done)  # the second half may overlap the first
-            out = mix(out[: len(out) - step] * _M + out[step:], 98)
-            done += step
-    return out
+        total = np.zeros(len(x) + 1, np.uint64)
+        np.cumsum(mix(x.astype(np.uint64), 97) * up[: len(x)], out=total[1:])
+        return mix((total[width:] - total[:-width]) * down[: len(x) - width + 1], 98)
 
 
 def passage_links(docs: DataFrame, passage_words: int = PASSAGE_WORDS, similarity: float = SIMILARITY, functions: int = FUNCTIONS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -431,10 +460,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float,
                 out, named = [], []
                 for row in batch.slice(at, 256).to_pylist():
                     a, b = (np.frombuffer(row[k], np.uint32) for k in ("left", "right"))
-                    for p, q, r, s, like in verify_pair(a, b, width, similarity):
+                    shared = np.isin(b, a)
+                    for p, q, r, s, like in verify_pair(a, b, width, similarity, shared):
                         out.append((row["b_doc"], r, s + SHINGLE, row["a_doc"], p, q + SHINGLE, like, row["b"], None))
-                    if name_stretches:
-                        named.append((row["b_doc"], row["b"], _stretches(a, b, width)))
+                    if name_stretches and len(own := _stretches(a, b, width, shared)):
+                        named.append((row["b_doc"], row["b"], own))
                 columns = list(zip(*out)) if out else [()] * 9
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64() if i == 6 else pa.int64()) for i, c in enumerate(columns)], names=names)
                 if named:

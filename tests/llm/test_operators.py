@@ -447,8 +447,13 @@ def test_names_of_stretches():
     assert len(np.unique(rolled)) == len(rolled) == 155
     assert np.array_equal(substring._rolled(x[30:90], 46), rolled[30:45])
     b = np.concatenate([x[50:95], rng.integers(0, 1 << 32, 100).astype(np.uint32)])
-    assert len(substring._stretches(x, b, 46)) == 45 and not len(substring._stretches(x, x[20:120], 46))
-    assert not len(substring._stretches(x, b[:40], 46)) and not len(substring._stretches(x, b[45:], 46))
+    names = lambda a, b: substring._stretches(a, b, 46, np.isin(b, a)).view(np.uint64).tolist()
+    rank = substring.ranks_of(b, 1)
+    least = [i + int(rank[i : i + 46].argmin()) for i in range(len(b) - 45)]
+    assert names(x, b) == sorted(substring._rolled(b, 46)[[i for i, p in enumerate(least) if p < 45]].tolist()) and len(names(x, b)) > 5
+    assert not names(x, x[20:120]) and not names(x, b[:40]) and not names(x, b[45:])
+    base = rng.integers(0, 1 << 63, 1000).astype(np.uint64)
+    assert (np.diff(substring.ranks_of((base >> np.uint64(32)).astype(np.uint32), 3)[np.argsort(substring.tokens_of(base, 3))].astype(np.int64)) >= 0).all()
 
 
 def test_equal_texts_and_repeated_rows_in_passages(spark):
