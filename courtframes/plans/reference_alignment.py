@@ -5,8 +5,11 @@ from __future__ import annotations
 from courtframes.operators import alignment as al
 from courtframes.operators import events as ev
 from courtframes.operators import frames as fr
+from courtframes.operators import ledger as lg
+from courtframes.operators import possessions as po
 from courtframes.operators import shots as sh
 from courtframes.plans.lenses import FRAMES_RIM, PBP_NEAR, spark_view, sql_view
+from courtframes.plans import reference_pbp  # noqa: F401  its views come first
 from courtframes.plans.reference import _VIEWS, frames, index, query
 from courtframes.plans.reference_events import handlers
 from courtframes.sources.layers import stored
@@ -92,3 +95,29 @@ def _(spark, d):
     shots = spark.createDataFrame([], "game_id bigint, event_num bigint, method string, t_release_ms bigint, t_control_ms bigint, control_id bigint, control_team_id bigint")
     rows = al.align(log, own, shots, ev.clock_stops(own), ev.flights(held, frames(spark, d)), ev.transfers(held, frames(spark, d)))
     return rows.drop("n", "m")
+
+
+def rim_ledger(spark, d):
+    """Possessions of the near log on the time axis."""
+    build = lambda: lg.ledger_times(po.possessions(near_log(spark, d)), near_log(spark, d), aligned(spark, d), index(spark, d), rim_direction(spark, d))
+    return stored(spark, d, "ledger_rim", build)
+
+
+@query("p5_ledger_times")
+def _(spark, d):
+    return rim_ledger(spark, d)
+
+
+_VIEWS["onear_v"] = _VIEWS["order_v"].replace("pbp_v", "pnear_v")
+_VIEWS["say_v"] = "select game_id, pos, event_num, msg_type, p1_team_id as team, pctime_sec as c from onear_v where msg_type in (1, 2, 4, 5, 6, 7, 10, 12, 13)"
+_VIEWS["said_v"] = "select *, lag(msg_type) over w as last_type, lag(team) over w as last_team, lag(event_num) over w as last_num from say_v window w as (partition by game_id order by pos)"
+_VIEWS["putback_v"] = "select game_id, pos, event_num, msg_type, team, c, last_num as missed from said_v where msg_type in (1, 2) and last_type = 2 and last_team is not distinct from team"
+
+
+@query("p3_putback_order", """select r.game_id, r.event_num, s.event_num as putback_event_num, s.missed as missed_shot_event_num
+    from onear_v r join putback_v s on s.game_id = r.game_id and s.pos < r.pos and s.team is not distinct from r.p1_team_id and s.c = r.pctime_sec
+    left join onear_v n on n.game_id = r.game_id and n.pos = r.pos + 1
+    where r.msg_type = 4 and not exists (select 1 from say_v b where b.game_id = r.game_id and b.pos > s.pos and b.pos < r.pos and (b.msg_type in (1, 2, 4, 12, 13) or b.c <> s.c))
+      and (s.msg_type = 1 or (n.msg_type = 4 and n.p1_team_id is not distinct from r.p1_team_id and n.pctime_sec = r.pctime_sec))""")
+def _(spark, d):
+    return lg.putback_order(near_log(spark, d))
