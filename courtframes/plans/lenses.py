@@ -94,3 +94,11 @@ select q.game_id, event_num, period, 720 - cast(floor(f.n * (j - 1) / (100 * m))
 from (select p.*, row_number() over (partition by game_id, period order by event_num) as j, count(*) over (partition by game_id, period) as m from ({PBP}) p) q
 join (select user_id % 15 as game_id, count(*) as n from {{events}} group by user_id % 15) f on q.game_id = f.game_id
 """
+
+#: FRAMES where player 1003 walks up to 1010 in every cycle of 40 frames, and 1004 stands by 1010: moving screens.
+FRAMES_SCREEN = f"""
+select r.game_id, r.period, r.unix_ms, r.game_clock_cs, r.shot_clock_cs, r.k, r.team_id, r.player_id,
+       case when r.player_id = 1003 then z.x_cft + 700 - 28 * (r.k % 40) when r.player_id = 1004 then z.x_cft + 60 else r.x_cft end as x_cft,
+       case when r.player_id = 1003 then z.y_cft + 40 when r.player_id = 1004 then z.y_cft + 240 + 30 * (r.k % 40) else r.y_cft end as y_cft, r.z_cft
+from ({FRAMES}) r join (select game_id, k, x_cft, y_cft from ({FRAMES}) z0 where player_id = 1010) z on z.game_id = r.game_id and z.k = r.k
+"""

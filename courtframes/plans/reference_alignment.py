@@ -1,14 +1,19 @@
-"""Registered queries of the alignment of the log to the frames, over a lens whose clocks meet and whose ball reaches the rim."""
+"""Registered queries of the alignment of the log to the frames, over a lens whose clocks meet and whose ball reaches the rim; and of screens."""
 
 from __future__ import annotations
 
+import re
+
+from pyspark.sql import functions as F
+
 from courtframes.operators import alignment as al
 from courtframes.operators import events as ev
 from courtframes.operators import frames as fr
 from courtframes.operators import ledger as lg
 from courtframes.operators import possessions as po
+from courtframes.operators import screens as sc
 from courtframes.operators import shots as sh
-from courtframes.plans.lenses import FRAMES_RIM, PBP_NEAR, spark_view, sql_view
+from courtframes.plans.lenses import FRAMES_RIM, FRAMES_SCREEN, PBP_NEAR, spark_view, sql_view
 from courtframes.plans import reference_pbp  # noqa: F401  its views come first
 from courtframes.plans.reference import _VIEWS, frames, index, query
 from courtframes.plans.reference_events import handlers
@@ -121,3 +126,59 @@ _VIEWS["putback_v"] = "select game_id, pos, event_num, msg_type, team, c, last_n
       and (s.msg_type = 1 or (n.msg_type = 4 and n.p1_team_id is not distinct from r.p1_team_id and n.pctime_sec = r.pctime_sec))""")
 def _(spark, d):
     return lg.putback_order(near_log(spark, d))
+
+
+def _screens(cap: int) -> str:
+    """SQL of the screens under a speed cap."""
+    return f"""select game_id, segment_id, s, u, d, arg_min(period, unix_ms) as period, min(unix_ms) as t_start_ms, max(unix_ms) as t_end_ms, count(*) as n_frames, arg_min(unix_ms, sd2 * 10000000000000 + unix_ms) as t_contact_ms from (
+      select *, sum(fresh) over (partition by game_id, segment_id, s, u, d order by unix_ms rows unbounded preceding) as run_id from (
+        select *, case when unix_ms - lag(unix_ms) over (partition by game_id, segment_id, s, u, d order by unix_ms) <= 60 then 0 else 1 end as fresh from (
+          select s.game_id, s.period, s.unix_ms, s.segment_id, s.player_id as s, u.player_id as u, f.player_id as d, (s.x_cft - f.x_cft) * (s.x_cft - f.x_cft) + (s.y_cft - f.y_cft) * (s.y_cft - f.y_cft) as sd2
+          from (select o.* from mine_v o join speed_v v on v.game_id = o.game_id and v.period = o.period and v.unix_ms = o.unix_ms and v.player_id = o.player_id where v.speed < {cap} and o.player_id <> o.handler_id) s
+          join mine_v u on u.game_id = s.game_id and u.period = s.period and u.unix_ms = s.unix_ms and u.player_id <> s.player_id and (s.x_cft - u.x_cft) * (s.x_cft - u.x_cft) + (s.y_cft - u.y_cft) * (s.y_cft - u.y_cft) <= 640000
+          join foe_v f on f.game_id = u.game_id and f.period = u.period and f.unix_ms = u.unix_ms and f.of = u.player_id) where sd2 <= 360000))
+      group by game_id, segment_id, s, u, d, run_id having count(*) >= 5"""
+
+
+_VIEWS["mine_v"] = "select p.game_id, p.period, p.unix_ms, p.team_id, p.player_id, p.x_cft, p.y_cft, h.segment_id, h.handler_id from frames_v p join handler_v h on h.game_id = p.game_id and h.period = p.period and h.unix_ms = p.unix_ms and h.control_team_id = p.team_id where p.team_id <> -1"
+_VIEWS["foe_v"] = """select * from (select u.game_id, u.period, u.unix_ms, u.player_id as of, f.player_id, f.x_cft, f.y_cft, row_number() over (partition by u.game_id, u.period, u.unix_ms, u.player_id order by (u.x_cft - f.x_cft) * (u.x_cft - f.x_cft) + (u.y_cft - f.y_cft) * (u.y_cft - f.y_cft), f.player_id) as rn
+      from mine_v u join frames_v f on f.game_id = u.game_id and f.period = u.period and f.unix_ms = u.unix_ms and f.team_id = 300 - u.team_id) where rn = 1"""
+_VIEWS["setscreen_v"] = _screens(sc.SET_CFT)
+_VIEWS["anyscreen_v"] = _screens(sc.MOVING_CFT)
+_VIEWS["spot_v"] = "select game_id, period, unix_ms, player_id, x_cft, y_cft from frames_v where team_id <> -1"
+_AT = "game_id = a.game_id and {0}.period = a.period and {0}.unix_ms = a.{1} and {0}.player_id = a.{2}"
+
+
+@query("l2_set_screens", "select * from setscreen_v")
+def _(spark, d):
+    return ev.screens(frames(spark, d), handlers(spark, d))
+
+
+_MOVING = f"""select * exclude (then_ms, closing), round(closing, 3) as closing_cft from (select a.*, sqrt((ts.x_cft - td.x_cft) ** 2 + (ts.y_cft - td.y_cft) ** 2) - sqrt((ns.x_cft - nd.x_cft) ** 2 + (ns.y_cft - nd.y_cft) ** 2) as closing from (
+      select m.*, (select max(unix_ms) from index_v i where i.game_id = m.game_id and i.period = m.period and i.unix_ms <= m.t_contact_ms - 500) as then_ms from anyscreen_v m
+      where not exists (select 1 from setscreen_v e where e.game_id = m.game_id and e.period = m.period and e.s = m.s and e.u = m.u and e.d = m.d and m.t_contact_ms between least(e.t_start_ms, e.t_contact_ms - 1000) and greatest(e.t_end_ms, e.t_contact_ms + 1000))) a
+    join spot_v ns on ns.{_AT.format("ns", "t_contact_ms", "s")} join spot_v nd on nd.{_AT.format("nd", "t_contact_ms", "d")}
+    join spot_v ts on ts.{_AT.format("ts", "then_ms", "s")} join spot_v td on td.{_AT.format("td", "then_ms", "d")}) where closing >= 100"""
+
+
+def _over(sql: str, base: str, other: str) -> str:
+    """The SQL, and the views below it, with one base view in place of another."""
+    words = lambda text: {n for n in _VIEWS if re.search(rf"\b{n}\b", text)}
+    rests = lambda name: name == base or any(rests(n) for n in words(_VIEWS[name]) - {name})
+    for name in words(sql):
+        if rests(name):
+            new = other if name == base else f"{name[:-2]}_{other}"
+            if new not in _VIEWS:
+                _VIEWS[new] = _over(_VIEWS[name], base, other)
+            sql = re.sub(rf"\b{name}\b", new, sql)
+    return sql
+
+
+_VIEWS["fscreen_v"] = sql_view(FRAMES_SCREEN)
+
+
+@query("l2_moving_screens", _over(_MOVING, "frames_v", "fscreen_v"))
+def _(spark, d):
+    own = stored(spark, d, "frames_screen", lambda: spark_view(spark, d, FRAMES_SCREEN))
+    held = stored(spark, d, "handlers_screen", lambda: ev.handler(own, index(spark, d)))
+    return sc.moving_screens(own, held).withColumn("closing_cft", F.round("closing_cft", 3))
