@@ -11,11 +11,12 @@ from courtframes.operators import events as ev
 from courtframes.operators import frames as fr
 from courtframes.operators import ledger as lg
 from courtframes.operators import possessions as po
+from courtframes.operators import screen_features as sf
 from courtframes.operators import screens as sc
 from courtframes.operators import shots as sh
 from courtframes.plans.lenses import FRAMES_RIM, FRAMES_SCREEN, PBP_NEAR, spark_view, sql_view
 from courtframes.plans import reference_pbp  # noqa: F401  its views come first
-from courtframes.plans.reference import _VIEWS, frames, index, query
+from courtframes.plans.reference import _VIEWS, frames, index, pbp, query
 from courtframes.plans.reference_events import handlers
 from courtframes.sources.layers import stored
 
@@ -182,3 +183,78 @@ def _(spark, d):
     own = stored(spark, d, "frames_screen", lambda: spark_view(spark, d, FRAMES_SCREEN))
     held = stored(spark, d, "handlers_screen", lambda: ev.handler(own, index(spark, d)))
     return sc.moving_screens(own, held).withColumn("closing_cft", F.round("closing_cft", 3))
+
+
+_VIEWS["moving_v"] = _MOVING
+_VIEWS["soft_v"] = """select game_id, period, unix_ms, team_id, player_id, x, y, mx, my, case when near then (mx2 - mx0) / step end as vx, case when near then (my2 - my0) / step end as vy,
+      case when near then sqrt(((mx2 - mx0) / step) ** 2 + ((my2 - my0) / step) ** 2) end as sp
+    from (select *, lead(unix_ms) over w - unix_ms <= 60 and unix_ms - lag(unix_ms) over w <= 60 as near, (lead(unix_ms) over w - lag(unix_ms) over w) / 1000.0 as step, lead(mx) over w as mx2, lag(mx) over w as mx0, lead(my) over w as my2, lag(my) over w as my0
+      from (select game_id, period, unix_ms, team_id, player_id, x_cft as x, y_cft as y, avg(x_cft) over w as mx, avg(y_cft) over w as my from frames_v where team_id <> -1
+        window w as (partition by game_id, player_id, period order by unix_ms rows between 2 preceding and 2 following)) window w as (partition by game_id, player_id, period order by unix_ms))"""
+_VIEWS["contact_v"] = """select row_number() over (order by game_id, period, s, u, d, t_contact_ms) as id, game_id, period, s, u, d, t_contact_ms as tc, t_start_ms from
+    (select game_id, period, s, u, d, t_contact_ms, t_start_ms from setscreen_v union select game_id, period, s, u, d, t_contact_ms, t_start_ms from moving_v)"""
+_VIEWS["scene_v"] = """select c.id, c.tc, h.unix_ms as t, h.segment_id as seg, h.handler_id, coalesce(h.has_ball and h.cand_id < 0, false) as free, s as sid, u as uid, d as did, a.x as sx, a.y as sy, a.mx as smx, a.my as smy, a.vx as svx, a.vy as svy, a.sp as ssp, a.team_id as team,
+      b.x as ux, b.y as uy, b.mx as umx, b.my as umy, b.sp as usp, e.x as dx, e.y as dy, e.mx as dmx, e.my as dmy, e.sp as dsp
+    from contact_v c join handler_v h on h.game_id = c.game_id and h.period = c.period and h.unix_ms between c.tc - 2000 and c.tc + 3000
+    left join soft_v a on a.game_id = h.game_id and a.period = h.period and a.unix_ms = h.unix_ms and a.player_id = c.s left join soft_v b on b.game_id = h.game_id and b.period = h.period and b.unix_ms = h.unix_ms and b.player_id = c.u
+    left join soft_v e on e.game_id = h.game_id and e.period = h.period and e.unix_ms = h.unix_ms and e.player_id = c.d"""
+
+
+def _first_at(ms: int, name: str) -> str:
+    """Columns of the first frame at or after a time of the contact, else of the last, under a prefix."""
+    return f"(select id as {name}_id, {', '.join(f'coalesce(arg_min({c}, t) filter (t >= tc + {ms}), arg_max({c}, t)) as {name}_{c}' for c in ('t', 'smx', 'smy', 'umx', 'umy', 'dmx', 'dmy', 'ux', 'uy', 'dx', 'dy'))} from scene_v group by id) {name} on {name}_id = c.id"
+
+
+_VIEWS["mark_v"] = f"""select c.*, z.seg, z.handler_id, z.free, z.sx, z.sy, z.smx, z.smy, z.ssp, z.usp, z.ux, z.uy, z.umx, z.umy, z.dx, z.dy, z.dmx, z.dmy, z.team, case when coalesce(attacks_left, true) then 525 else 8875 end as hx, b.*, m.*, p.*, l.*, o.*, g.*
+    from contact_v c join scene_v z on z.id = c.id and z.t = z.tc join {_first_at(-500, "b")} join {_first_at(-300, "m")} join {_first_at(300, "p")} join {_first_at(1500, "l")} join {_first_at(1000, "o")} join {_first_at(-200, "g")}
+    left join direction_v s on s.game_id = c.game_id and s.period = c.period and s.team_id = z.team"""
+_VIEWS["stride_v"] = """select w.*, first_value(sgn) over (partition by id order by t) as sgn0, first_value(t) over (partition by id order by t) as t_open from (
+      select z.id, z.t, z.ux, z.uy, k.sx, k.sy, k.hx, k.tc, case when (k.umx - k.b_umx) ** 2 + (k.umy - k.b_umy) ** 2 > 0.00000001 then sign((z.ux - k.sx) * (k.umx - k.b_umx) + (z.uy - k.sy) * (k.umy - k.b_umy)) end as sgn
+      from scene_v z join mark_v k on k.id = z.id where z.t >= z.tc - 1500 and z.seg = k.seg and z.ux is not null) w"""
+_VIEWS["through_v"] = """select id, min(t) as t_pass, arg_min(case when (hx - sx) * (sy - uy) + (2500 - sy) * (ux - sx) > 0 then 'left' else 'right' end, t) as side from stride_v where sgn0 <> 0 and sgn <> sgn0 and t < tc + 3000 group by id"""
+_VIEWS["guards_v"] = """select z.id, z.t, z.tc, arg_min(f.player_id, ((f.x - z.ux) ** 2 + (f.y - z.uy) ** 2) * 100000 + f.player_id) as u_guard, arg_min(f.player_id, ((f.x - z.sx) ** 2 + (f.y - z.sy) ** 2) * 100000 + f.player_id) filter (f.player_id <> z.did) as s_guard
+    from scene_v z join contact_v c on c.id = z.id join soft_v f on f.game_id = c.game_id and f.period = c.period and f.unix_ms = z.t and f.team_id <> z.team group by all"""
+
+
+def _turn(ax: str, ay: str, bx: str, by: str) -> str:
+    """Degrees between two vectors."""
+    size = f"(sqrt(({ax}) ** 2 + ({ay}) ** 2) * sqrt(({bx}) ** 2 + ({by}) ** 2))"
+    return f"case when {size} > 0.00000001 then degrees(acos(greatest(-1.0, least(1.0, (({ax}) * ({bx}) + ({ay}) * ({by})) / {size})))) end"
+
+
+def _moved(a: str, b: str, name: str) -> str:
+    at = lambda p, c: f"k.{p}_{c}" if p else f"k.{c}"
+    x, y, size = f"({at(b, 'smx')} - {at(a, 'smx')})", f"({at(b, 'smy')} - {at(a, 'smy')})", "sqrt((k.dmx - k.b_dmx) ** 2 + (k.dmy - k.b_dmy) ** 2)"
+    lo, hi = (f"k.{p}_t" if p else "k.tc" for p in (a, b))
+    speeds = f"from scene_v z where z.id = k.id and z.t between {lo} and {hi})"
+    return f"""case when {hi} > {lo} then (select avg(ssp) {speeds} / 100 end as scr_mean_speed_{name}, case when {hi} > {lo} then (select max(ssp) {speeds} / 100 end as scr_max_speed_{name},
+      case when {hi} > {lo} then sqrt({x} ** 2 + {y} ** 2) / 100 end as scr_disp_{name}_ft, case when {hi} > {lo} and {size} > 0.0001 then ({x} * (k.dmx - k.b_dmx) + {y} * (k.dmy - k.b_dmy)) / {size} / 100 end as scr_disp_along_def_{name}_ft"""
+
+
+_FEATURES = f"""select k.game_id, k.period, k.s, k.u, k.d, k.tc as t_contact_ms, k.team as offense_team_id, k.handler_id, j.user_def_id, q.s_guard as screener_def_id, j.user_def_id = k.d as screened_def_is_user_def, k.handler_id = k.u as on_ball, k.free as ball_in_flight_at_contact,
+      exists (select 1 from soft_v a join soft_v b on b.game_id = a.game_id and b.period = a.period and b.unix_ms = a.unix_ms and b.x = a.x and b.y = a.y and b.player_id <> a.player_id where a.game_id = k.game_id and a.period = k.period and a.unix_ms = k.tc and a.player_id in (k.s, k.u, k.d)) as xy_shared_at_contact,
+      k.t_start_ms as t_set_start_ms, coalesce((select max(z.t) from scene_v z where z.id = k.id and z.t > k.tc - 2000 and z.t < k.tc and (z.svx * (k.sx - z.smx) + z.svy * (k.sy - z.smy)) / nullif(sqrt((k.sx - z.smx) ** 2 + (k.sy - z.smy) ** 2), 0) > 200), k.tc - 2000) as t_approach_ms,
+      h.t_pass as t_pass_ms, least(k.tc + 3000, greatest(k.tc + 1500, coalesce(h.t_pass, 0) + 1000)) as t_end_ms, sqrt((k.sx - k.dx) ** 2 + (k.sy - k.dy) ** 2) / 100 as min_dist_ft,
+      (select sqrt(min((z.sx - z.ux) ** 2 + (z.sy - z.uy) ** 2)) / 100 from scene_v z where z.id = k.id and z.t between k.tc - 1000 and k.tc + 1000) as min_dist_screener_user_ft,
+      k.sx / 100.0 as x_ft, k.sy / 100.0 as y_ft, k.ssp / 100 as screener_speed_fts, k.usp / 100 as user_speed_fts, {_turn("k.umx - k.b_umx", "k.umy - k.b_umy", "k.hx - k.sx", "2500 - k.sy")} as approach_angle_deg, h.side as side_passed,
+      (k.l_smx - k.smx) / 100 as screener_dx_1p5s, (k.l_smy - k.smy) / 100 as screener_dy_1p5s, ((k.l_smx - k.smx) * (k.hx - k.sx) + (k.l_smy - k.smy) * (2500 - k.sy)) / sqrt((k.hx - k.sx) ** 2 + (2500 - k.sy) ** 2) / 100 as screener_to_basket_1p5s_ft,
+      sqrt((k.o_dx - k.o_ux) ** 2 + (k.o_dy - k.o_uy) ** 2) / 100 as screened_def_to_user_1s_ft, sqrt((f.x - k.o_ux) ** 2 + (f.y - k.o_uy) ** 2) / 100 as screener_def_to_user_1s_ft, {_turn("k.dmx - k.b_dmx", "k.dmy - k.b_dmy", "k.sx - k.b_dmx", "k.sy - k.b_dmy")} as def_approach_angle_deg,
+      {_moved("b", "", "m05_0")}, {_moved("m", "", "m03_0")}, {_moved("", "p", "0_p03")}, case when k.tc > k.b_t then (select avg(dsp) from scene_v z where z.id = k.id and z.t between k.b_t and k.tc) / 100 end as def_mean_speed_m05_0
+    from mark_v k left join through_v h on h.id = k.id join guards_v q on q.id = k.id and q.t = q.tc left join soft_v f on f.game_id = k.game_id and f.period = k.period and f.unix_ms = k.o_t and f.player_id = q.s_guard
+    left join (select id, arg_max(u_guard, n * 100000 - u_guard) as user_def_id from (select r.id, r.u_guard, count(*) as n from guards_v r join mark_v y on y.id = r.id where r.t between r.tc - 1000 and y.g_t group by all) group by id) j on j.id = k.id"""
+_SCORED = f"""select *, 1 / (1 + exp(-(-1.6387 + 0.1047 * least(30, coalesce(user_speed_fts, 0)) + 0.1028 * least(30, coalesce(def_mean_speed_m05_0, 0)) + 0.0544 * least(sqrt((x_ft - 5.25) ** 2 + (y_ft - 25) ** 2), sqrt((x_ft - 88.75) ** 2 + (y_ft - 25) ** 2))
+      - 0.427 * coalesce(min_dist_ft, 0) + 0.6751 * cast(t_pass_ms is not null as int) - 1.4002 * cast(ball_in_flight_at_contact as int) + 0.4662 * cast(on_ball as int)))) as screen_confidence, concat_ws(':', game_id, 'screen_candidate', t_contact_ms, concat_ws('-', s, u)) as event_uid from ({_FEATURES})"""
+_MEASURED = ["min_dist_ft", "min_dist_screener_user_ft", "x_ft", "y_ft", "screener_speed_fts", "user_speed_fts", "approach_angle_deg", "screener_dx_1p5s", "screener_dy_1p5s", "screener_to_basket_1p5s_ft", "screened_def_to_user_1s_ft", "screener_def_to_user_1s_ft", "def_approach_angle_deg"]
+_MEASURED += [f"scr_{what}_{span}{unit}" for span in ("m05_0", "m03_0", "0_p03") for what, unit in (("mean_speed", ""), ("max_speed", ""), ("disp", "_ft"), ("disp_along_def", "_ft"))] + ["def_mean_speed_m05_0", "screen_confidence"]
+
+
+@query("l2_screen_features", _over("select * replace (" + ", ".join(f"round({c}, 3) + 0.0 as {c}" for c in _MEASURED) + f") from ({_SCORED})", "frames_v", "fscreen_v"))
+def _(spark, d):
+    """Features of the set and moving screens of the lens that has both."""
+    own = stored(spark, d, "frames_screen", lambda: spark_view(spark, d, FRAMES_SCREEN))
+    held = stored(spark, d, "handlers_screen", lambda: ev.handler(own, index(spark, d)))
+    columns = ["game_id", "period", "s", "u", "d", "t_contact_ms", "t_start_ms"]
+    found = stored(spark, d, "screens_screen", lambda: ev.screens(own, held).select(*columns).unionByName(sc.moving_screens(own, held).select(*columns)).distinct())
+    sides = stored(spark, d, "direction_screen", lambda: fr.attack_direction(own, pbp(spark, d)))
+    rows = sf.screen_features(found, own, held, sides)
+    return rows.withColumns({c: F.round(c, 3) + F.lit(0.0) for c in _MEASURED})
