@@ -102,3 +102,10 @@ select r.game_id, r.period, r.unix_ms, r.game_clock_cs, r.shot_clock_cs, r.k, r.
        case when r.player_id = 1003 then z.y_cft + 40 when r.player_id = 1004 then z.y_cft + 240 + 30 * (r.k % 40) else r.y_cft end as y_cft, r.z_cft
 from ({FRAMES}) r join (select game_id, k, x_cft, y_cft from ({FRAMES}) z0 where player_id = 1010) z on z.game_id = r.game_id and z.k = r.k
 """
+
+#: PBP_NEAR with fouls of every class, and kicked balls and other violations in place of every second timeout.
+PBP_CALLS = f"""
+select game_id, event_num, period, pctime_sec, case when turned then 7 else msg_type end as msg_type, case when turned then 4 + cast(floor(event_num / 2) as bigint) % 2 when msg_type = 6 then event_num % 31 else action_type end as action_type,
+       p1_team_id, p1_id, p3_team_id, description
+from (select *, msg_type = 9 and event_num % 2 = 0 as turned from ({PBP_NEAR}) c0) c1
+"""

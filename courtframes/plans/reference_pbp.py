@@ -130,13 +130,6 @@ def _(spark, d):
     return sc.filled(index(spark, d))
 
 
-@query("p22_shot_clock_table", """select game_id, period, unix_ms, case when fill_method in ('observed', 'off_game_clock', 'carry_forward') then shot_clock_filled_cs else unix_ms % 2400 end as shot_clock_cs,
-    case when fill_method in ('observed', 'off_game_clock', 'carry_forward') then fill_method else concat('imputed:', fill_method) end as fill_method, fill_method not in ('observed', 'off_game_clock', 'carry_forward') as is_imputed from filled_v""")
-def _(spark, d):
-    fills = sc.filled(index(spark, d))
-    return sc.table(fills, fills.withColumn("shot_clock_imputed_cs", F.col("unix_ms") % 2400))
-
-
 @query("p25_post_release", "select game_id, event_num, msg_type as terminal_msg_type, event_num * 40 as t_terminal, event_num * 50 as t_end, case when msg_type in (1, 2) then event_num * 40 + 1500 else event_num * 50 end as t_end_post_ms, 1.5::double as post_release_s from pbp_v where msg_type in (1, 2, 5)")
 def _(spark, d):
     w = pbp(spark, d).filter("msg_type in (1, 2, 5)").select("game_id", "event_num", F.col("msg_type").alias("terminal_msg_type"), (F.col("event_num") * 40).alias("t_terminal"), (F.col("event_num") * 50).alias("t_end"))
@@ -317,14 +310,6 @@ def _(spark, d):
     return rp.link_in_order(official, own, ["game_id", "p1_id"]).select("game_id", "p1_id", "line", "event_num")
 
 
-@query("x12_shot_clock_backtest", """select f.game_id, count(*) as n, quantile_cont(abs(i.shot_clock_imputed_cs - f.shot_clock_filled_cs), 0.5)::double as median_error, round(avg((abs(i.shot_clock_imputed_cs - f.shot_clock_filled_cs) <= 100)::int), 6) as within_1, round(avg((abs(i.shot_clock_imputed_cs - f.shot_clock_filled_cs) <= 200)::int), 6) as within_2
-    from filled_v f join (select game_id, period, unix_ms, unix_ms % 2400 as shot_clock_imputed_cs from index_v) i using (game_id, period, unix_ms) where f.fill_method = 'observed' group by f.game_id""")
-def _(spark, d):
-    seen = sc.filled(index(spark, d)).filter("fill_method = 'observed'").withColumn("shot_clock_imputed_cs", F.col("unix_ms") % 2400)
-    out = rp.error_summary(seen, "shot_clock_imputed_cs", "shot_clock_filled_cs", ["game_id"])
-    return out.select("game_id", "n", "median_error", F.round("within_1", 6).alias("within_1"), F.round("within_2", 6).alias("within_2"))
-
-
 @query("x10_penalty_check", "select in_penalty, count(*) as n_fouls, cast(sum(to_ft) as bigint) as n_to_free_throws from (select fouls_before >= 4 or (pctime_sec <= 120 and late_before >= 1) as in_penalty, case when exists (select 1 from pbp_v p where p.msg_type = 3 and p.game_id = f.game_id and p.period = f.period and p.pctime_sec = f.pctime_sec and p.p1_team_id <> f.p1_team_id) then 1 else 0 end as to_ft from foul_v f where is_team) group by 1")
 def _(spark, d):
     own = pbp(spark, d)
