@@ -114,6 +114,17 @@ def _(spark, d):
     return rim_ledger(spark, d)
 
 
+def refined_ledger(spark, d):
+    """The ledger with boundaries where control changes hands."""
+    build = lambda: lg.ledger_times(po.possessions(near_log(spark, d)), near_log(spark, d), aligned(spark, d), index(spark, d), rim_direction(spark, d), rim_handlers(spark, d))
+    return stored(spark, d, "ledger_refined", build)
+
+
+@query("p6_refined_ledger")
+def _(spark, d):
+    return refined_ledger(spark, d)
+
+
 _VIEWS["onear_v"] = _VIEWS["order_v"].replace("pbp_v", "pnear_v")
 _VIEWS["say_v"] = "select game_id, pos, event_num, msg_type, p1_team_id as team, pctime_sec as c from onear_v where msg_type in (1, 2, 4, 5, 6, 7, 10, 12, 13)"
 _VIEWS["said_v"] = "select *, lag(msg_type) over w as last_type, lag(team) over w as last_team, lag(event_num) over w as last_num from say_v window w as (partition by game_id order by pos)"
