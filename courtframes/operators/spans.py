@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from courtframes.operators import kernels as kn
 from courtframes.operators.events import FRAME, PERIOD, ball_rows, player_rows
+from courtframes.operators.playbyplay import offense_at, order_pbp
 from courtframes.operators.shots import HOOP_LEFT_CFT, HOOP_RIGHT_CFT, HOOP_Y_CFT
 
 BUCKET_MS = 4000
@@ -95,3 +96,27 @@ def direction_check(entities: DataFrame, pbp: DataFrame, direction: DataFrame) -
     told = hits.join(direction.select(*PERIOD, "team_id", "attacks_left"), [*PERIOD, "team_id"], "left")
     known = F.col("hit").isNotNull() & F.col("attacks_left").isNotNull()
     return told.groupBy("game_id").agg(F.count_if(known).alias("n_shots_rim"), F.count_if(known & (F.col("hit.left") == F.col("attacks_left"))).alias("n_agree"), F.count_if(F.col("hit").isNull()).alias("n_no_rim"))
+
+
+def event_owners(pbp: DataFrame, ledger: DataFrame) -> DataFrame:
+    """game_id, event_num and the poss_seq of the possession that each row of the log lies in; an end event belongs to the one it ends (P10).
+
+    The owner is the first possession that ends at or after the row in the log's order; one without an end event ends with its period, and
+    rows behind all ends belong to the last possession.  Of possessions with one end event the first owns it.  Games without possessions give no rows.
+    """
+    rows = order_pbp(pbp).select("game_id", "period", "pos", F.col("event_num").cast("long").alias("event_num"))
+    places = rows.select("game_id", F.col("event_num").alias("end_event_num"), F.col("pos").alias("__end"))
+    closing = rows.groupBy("game_id", "period").agg(F.max("pos").alias("__close"))
+    ends = ledger.select("game_id", "period", "poss_seq", F.col("end_event_num").cast("long").alias("end_event_num")).join(places, ["game_id", "end_event_num"], "left").join(closing, ["game_id", "period"], "left")
+    ends = ends.groupBy("game_id", F.coalesce("__end", "__close").alias("pos")).agg(F.min("poss_seq").alias("poss_seq")).filter("pos is not null")
+    last = ledger.groupBy("game_id").agg(F.max("poss_seq").alias("__last"))
+    found = kn.asof(rows, ends, ["game_id"], "pos", ["poss_seq"], forward=True).join(last, "game_id")
+    return found.select("game_id", "event_num", F.coalesce("poss_seq", "__last").alias("poss_seq"))
+
+
+def constrained_control(handlers: DataFrame, ledger: DataFrame) -> DataFrame:
+    """handlers with control_team_id -1 wherever the ledger (t_start_ms, t_end_ms) has another team, or none, in possession (L2.29)."""
+    times = offense_at(handlers.select("game_id", "period", F.col("unix_ms").alias("t_ms")), ledger).withColumnsRenamed({"t_ms": "unix_ms", "offense_team_id": "__offense"})
+    rows = handlers.join(times, ["game_id", "period", "unix_ms"], "left")
+    agreed = F.when(F.col("control_team_id") == F.col("__offense"), F.col("control_team_id")).otherwise(F.lit(-1))
+    return rows.withColumn("control_team_id", agreed).select(*handlers.columns)

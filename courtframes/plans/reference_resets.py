@@ -12,6 +12,7 @@ from courtframes.operators import reports as rp
 from courtframes.operators import resets as rs
 from courtframes.operators import shot_clock as sc
 from courtframes.operators import shots as sh
+from courtframes.operators import spans as sp
 from courtframes.plans.lenses import FRAMES_RIM, PBP_CALLS, spark_view, sql_view
 from courtframes.plans.reference import _VIEWS, index, query
 from courtframes.plans.reference_alignment import _over, rim_frames, rim_handlers
@@ -132,3 +133,24 @@ def _(spark, d):
     seen = sc.filled(index(spark, d)).filter("fill_method = 'observed'").join(imputed_clock(spark, d), ["game_id", "period", "unix_ms"])
     out = rp.error_summary(seen, "shot_clock_imputed_cs", "shot_clock_filled_cs", ["game_id"])
     return out.select("game_id", "n", "median_error", F.round("within_1", 6).alias("within_1"), F.round("within_2", 6).alias("within_2"))
+
+
+_VIEWS["rend_v"] = """select game_id, end_pos, min(poss_seq) as poss_seq from (select l.game_id, l.poss_seq, coalesce(o.pos, (select max(p.pos) from order_v p where p.game_id = l.game_id and p.period = l.period)) as end_pos
+    from ledger_v l left join order_v o on o.game_id = l.game_id and o.event_num = l.end_event_num) group by all"""
+
+
+@query("p10_event_owners", _IN_LENS("""select o.game_id, o.event_num, coalesce(e.poss_seq, z.last) as poss_seq from order_v o asof left join rend_v e on e.game_id = o.game_id and o.pos <= e.end_pos
+    join (select game_id, max(poss_seq) as last from ledger_v group by all) z on z.game_id = o.game_id"""))
+def _(spark, d):
+    return sp.event_owners(calls(spark, d), po.possessions(calls(spark, d)))
+
+
+_VIEWS["rspan_v"] = """select game_id, period, t0, max(t1) as t1, arg_max(offense, t1 * 1000 + offense) as offense from (select l.game_id, l.period, l.offense_team_id as offense, a.t_ms as t0, b.t_ms as t1 from ledger_v l
+    join located_v a on a.game_id = l.game_id and a.event_num = l.start_event_num join located_v b on b.game_id = l.game_id and b.event_num = l.end_event_num) group by game_id, period, t0"""
+
+
+@query("l2_constrained_control", _IN_LENS("""select h.* replace (case when h.control_team_id = s.offense and h.unix_ms <= s.t1 then h.control_team_id else -1 end as control_team_id) from handler_v h
+    asof left join rspan_v s on s.game_id = h.game_id and s.period = h.period and h.unix_ms >= s.t0"""))
+def _(spark, d):
+    ends = located(spark, d).select("game_id", F.col("event_num").cast("long").alias("end_event_num"), F.col("t_ms").alias("t_end_ms"))
+    return sp.constrained_control(rim_handlers(spark, d), timed_ledger(spark, d).join(ends, ["game_id", "end_event_num"]))
