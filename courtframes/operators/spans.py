@@ -102,7 +102,8 @@ def event_owners(pbp: DataFrame, ledger: DataFrame) -> DataFrame:
     """game_id, event_num and the poss_seq of the possession that each row of the log lies in; an end event belongs to the one it ends (P10).
 
     The owner is the first possession that ends at or after the row in the log's order; one without an end event ends with its period, and
-    rows behind all ends belong to the last possession.  Of possessions with one end event the first owns it.  Games without possessions give no rows.
+    rows behind all ends belong to the last possession.  Of possessions with one end event, as at a change that a basket reveals,
+    the first owns it and all are over behind it.  Games without possessions give no rows.
     """
     rows = order_pbp(pbp).select("game_id", "period", "pos", F.col("event_num").cast("long").alias("event_num"))
     places = rows.select("game_id", F.col("event_num").alias("end_event_num"), F.col("pos").alias("__end"))
