@@ -109,3 +109,8 @@ select game_id, event_num, period, pctime_sec, case when turned then 7 else msg_
        p1_team_id, p1_id, p3_team_id, description
 from (select *, msg_type = 9 and event_num % 2 = 0 as turned from ({PBP_NEAR}) c0) c1
 """
+
+#: PBP_CALLS as a slow game: rows between every 50th are rebounds, so that windows between rows that end a possession have room for a crossing.
+PBP_SLOW = f"""
+select game_id, event_num, period, pctime_sec, case when event_num % 50 = 0 or msg_type in (12, 13) then msg_type else 4 end as msg_type, action_type, p1_team_id, p1_id, p3_team_id, description from ({PBP_CALLS}) s0
+"""
