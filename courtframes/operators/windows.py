@@ -35,7 +35,7 @@ def _attacks(rows: DataFrame, ball: DataFrame, direction: DataFrame) -> DataFram
     teams = direction.groupBy("game_id").agg(F.min("team_id").alias("__a"), F.max("team_id").alias("__b"))
     lefts = direction.filter("attacks_left").groupBy(*PERIOD).agg(F.count("*").alias("__n_left"), F.min("team_id").alias("__left"))
     rows = rows.join(near, ONE, "left").join(teams, "game_id", "left").join(lefts, PERIOD, "left")
-    rival = lambda team: F.when(team == F.col("__a"), F.col("__b")).when(team == F.col("__b"), F.col("__a"))
+    rival = lambda team: F.when(F.col("__a") != F.col("__b"), F.when(team == F.col("__a"), F.col("__b")).when(team == F.col("__b"), F.col("__a")))
     by_ball = F.when(F.col("__n_left") == 1, F.when(F.col("__bx") < HALF_CFT, F.col("__left")).otherwise(rival(F.col("__left"))))
     middle = F.col("__bx").isNull() | (F.abs(F.col("__bx") - HALF_CFT) < MIDDLE_CFT)
     rows = rows.withColumn("offense_team_id", F.when(named, F.col("team_id")).when(~middle, by_ball))
