@@ -59,7 +59,7 @@ _VIEWS["wfrom_v"] = """select w.*, t + 500 as t_end, last_value(case when t is n
       msg_type in (1, 2, 5) and team_id is not null as named from wtime_v w left join (select game_id, period, min(unix_ms) as t0 from index_v group by all) f on f.game_id = w.game_id and f.period = w.period
     window o as (partition by w.game_id, w.period order by event_num rows between unbounded preceding and 1 preceding)"""
 _VIEWS["wmid_v"] = """select w.game_id, w.event_num, median(bx) as bx from wfrom_v w join pball_v b on b.game_id = w.game_id and b.period = w.period and b.unix_ms between w.t - 500 and w.t + 500 where not named group by all"""
-_VIEWS["wside_v"] = """select w.*, m.bx, case when w.named or o.team_id is not null or d.attacks_left then d.attacks_left end as attacks_left, case when w.named then w.team_id when o.team_id is not null or d.attacks_left then d.team_id end as offense, o.team_id as defense from wfrom_v w left join wmid_v m on m.game_id = w.game_id and m.event_num = w.event_num
+_VIEWS["wside_v"] = """select w.*, m.bx as mid, case when w.named or o.team_id is not null or d.attacks_left then d.attacks_left end as attacks_left, case when w.named then w.team_id when o.team_id is not null or d.attacks_left then d.team_id end as offense, o.team_id as defense from wfrom_v w left join wmid_v m on m.game_id = w.game_id and m.event_num = w.event_num
     left join direction_v d on d.game_id = w.game_id and d.period = w.period and case when named then d.team_id = w.team_id else abs(m.bx - 4700) >= 300 and d.attacks_left = (m.bx < 4700) end
     left join direction_v o on o.game_id = d.game_id and o.period = d.period and o.team_id <> d.team_id"""
 _VIEWS["wball_v"] = """select w.game_id, w.event_num, arg_max(front, unix_ms) as ends_front, max(unix_ms) filter (not front) as back
@@ -72,7 +72,7 @@ _VIEWS["wframe_v"] = """select w.game_id, w.event_num, count(*) as n_frames, cou
 _VIEWS["wwho_v"] = """select game_id, event_num, count(*) as n_people, list(player_id order by player_id) filter (own and 100 * n >= 95 * n_frames) as ours, list(player_id order by player_id) filter (not own and 100 * n >= 95 * n_frames) as theirs
     from (select w.game_id, w.event_num, f.team_id, f.player_id, f.team_id = w.offense as own, n_frames, count(*) as n from wspan_v w join wframe_v c on c.game_id = w.game_id and c.event_num = w.event_num
       join frames_v f on f.game_id = w.game_id and f.period = w.period and f.unix_ms between w.t_start and w.t_end and f.team_id <> -1 group by all) group by all"""
-_VIEWS["wout_v"] = """select w.*, kind, n_frames, clock_0, clock_1, shot_0, ours, theirs, case when t is null then concat('terminal_not_located:', kind) when not named and (bx is null or abs(bx - 4700) < 300) then 'offense_ambiguous' when offense is null then 'direction_missing' when defense is null then 'offense_unknown_team' when ends_front is null then 'no_ball_frames'
+_VIEWS["wout_v"] = """select w.*, kind, n_frames, clock_0, clock_1, shot_0, ours, theirs, case when t is null then concat('terminal_not_located:', kind) when not named and (mid is null or abs(mid - 4700) < 300) then 'offense_ambiguous' when offense is null then 'direction_missing' when defense is null then 'offense_unknown_team' when ends_front is null then 'no_ball_frames'
       when t_cross is null then concat('no_crossing:', case when t_end - since < 1500 then 'short_window:' when ends_front and back is null then 'always_frontcourt:' else 'ends_backcourt:' end, kind)
       when t_start is null then 'frontcourt_too_short' when n_frames < 2 or n_segments <> 1 then 'gap_in_window' when n_people > 10 then 'lineup_change' when n_people < 10 or len(ours) <> 5 or len(theirs) <> 5 then 'missing_players' else 'accepted' end as outcome
     from (select *, case msg_type when 1 then 'fg_made' when 2 then 'fg_missed' when 5 then 'turnover' when 6 then 'foul' when 7 then 'violation' when 9 then 'timeout' else 'period_end' end as kind from wspan_v) w
