@@ -6,6 +6,7 @@ do not depend on the order of summation.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,10 +96,12 @@ def shot_positions(entities: DataFrame, pbp: DataFrame, tolerance_cs: int = 100)
     """
     width = 2 * tolerance_cs
     shots = pbp.filter(F.col("msg_type").isin(1, 2) & F.col("p1_team_id").isNotNull()).select("game_id", "period", "event_num", "p1_team_id", (F.col("pctime_sec") * 100).alias("at"))
-    shots = shots.withColumn("bucket", F.explode(F.sequence(F.floor((F.col("at") - tolerance_cs) / width), F.floor((F.col("at") + tolerance_cs) / width))))
+    # shots of one clock look at the same frames, which are read once
+    asked = shots.select("game_id", "period", "at").distinct().withColumn("bucket", F.explode(F.sequence(F.floor((F.col("at") - tolerance_cs) / width), F.floor((F.col("at") + tolerance_cs) / width))))
     ball = entities.filter(F.col("team_id") == BALL).select("game_id", "period", "game_clock_cs", "x_cft", "y_cft", F.floor(F.col("game_clock_cs") / width).alias("bucket"))
-    near = shots.join(ball, ["game_id", "period", "bucket"]).filter(F.abs(F.col("game_clock_cs") - F.col("at")) <= tolerance_cs)
-    return near.groupBy("game_id", "period", "event_num", "p1_team_id").agg(F.median("x_cft").alias("ball_x_cft"), F.median("y_cft").alias("ball_y_cft"), F.count("*").alias("n_frames"))
+    near = asked.join(ball, ["game_id", "period", "bucket"]).filter(F.abs(F.col("game_clock_cs") - F.col("at")) <= tolerance_cs)
+    places = near.groupBy("game_id", "period", "at").agg(F.median("x_cft").alias("ball_x_cft"), F.median("y_cft").alias("ball_y_cft"), F.count("*").alias("n_frames"))
+    return shots.join(places, ["game_id", "period", "at"]).select("game_id", "period", "event_num", "p1_team_id", "ball_x_cft", "ball_y_cft", "n_frames")
 
 
 def attack_direction(entities: DataFrame, pbp: DataFrame) -> DataFrame:
@@ -136,14 +139,42 @@ def locate_clock(index: DataFrame, readings: DataFrame, bin_cs: int = 100) -> Da
     Where readings have after_ms, not null, only later frames count.  Of several segments the lowest, inside it the frame nearest the bin's centre, then the earliest.
     """
     keys = ["game_id", "period"]
-    asked = readings.withColumn("__b", F.explode(F.sequence(F.floor((F.col("clock_cs") - bin_cs) / bin_cs), F.floor((F.col("clock_cs") + bin_cs) / bin_cs))))
+    # rows of one clock ask once
+    asks = ["game_id", "period", "clock_cs", *(c for c in ("after_ms",) if c in readings.columns)]
+    asked = readings.select(*asks).distinct().withColumn("__b", F.explode(F.sequence(F.floor((F.col("clock_cs") - bin_cs) / bin_cs), F.floor((F.col("clock_cs") + bin_cs) / bin_cs))))
     frames = index.select(*keys, "unix_ms", "segment_id", "game_clock_cs", F.floor(F.col("game_clock_cs") / bin_cs).alias("__b"))
     apart = F.col("game_clock_cs") - F.col("clock_cs")
     near = asked.join(frames, [*keys, "__b"]).withColumn("__in", (apart >= 0) & (apart < bin_cs)).filter(F.abs(apart) <= bin_cs)
     if "after_ms" in readings.columns:
         near = near.filter("after_ms is null or unix_ms > after_ms")
     rank = F.struct(~F.col("__in"), "segment_id", F.abs(2 * apart - bin_cs), "unix_ms")
-    return near.groupBy(*readings.columns).agg(F.min_by("unix_ms", rank).alias("unix_ms"))
+    found = near.groupBy(*asks).agg(F.min_by("unix_ms", rank).alias("unix_ms"))
+    rows, found = readings.distinct().alias("r"), found.alias("f")
+    on = [F.col(f"r.{c}") == F.col(f"f.{c}") for c in asks if c != "after_ms"] + [F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}")) for c in asks if c == "after_ms"]
+    return rows.join(found, on).select("r.*", "f.unix_ms")
+
+
+class Readings:
+    """The frames of one period as a fold asks for them: the frame of a clock reading behind a moment that never falls from call to call."""
+
+    def __init__(self, t: np.ndarray, segment: np.ndarray, clock: np.ndarray, bin_cs: int = 100):
+        order = np.argsort(clock, kind="stable")
+        order = order[~np.isnan(clock[order])]
+        self._t, self._segment, self._clock, self._bin = t[order], segment[order], clock[order], bin_cs
+        self._places: dict[float, tuple[list[int], int]] = {}
+
+    def place(self, clock: float, after: int) -> int | None:
+        """First frame later than `after`: in the bin above the clock, else within a bin around it; lowest segment, middle, earliest."""
+        if clock not in self._places:
+            i, j = self._clock.searchsorted(clock - self._bin), self._clock.searchsorted(clock + self._bin, "right")
+            apart, t = self._clock[i:j] - clock, self._t[i:j]
+            order = np.lexsort((t, np.abs(2 * apart - self._bin), self._segment[i:j], ~((apart >= 0) & (apart < self._bin))))
+            self._places[clock] = t[order].tolist(), 0
+        places, k = self._places[clock]
+        while k < len(places) and places[k] <= after:
+            k += 1
+        self._places[clock] = (places, k) if k < len(places) else ([], 0)
+        return places[k] if k < len(places) else None
 
 
 def locate_video(frames: DataFrame, anchors: DataFrame) -> DataFrame:
