@@ -83,7 +83,8 @@ def direction_check(entities: DataFrame, pbp: DataFrame, direction: DataFrame) -
     """
     width = CHECK_BEFORE_CS + CHECK_AFTER_CS
     shots = pbp.filter(F.col("msg_type").isin(1, 2) & F.col("p1_team_id").isNotNull()).select(*PERIOD, "event_num", F.col("p1_team_id").alias("team_id"), (F.col("pctime_sec") * 100).alias("at"))
-    shots = shots.withColumn("bucket", F.explode(F.sequence(F.floor((F.col("at") - CHECK_AFTER_CS) / width), F.floor((F.col("at") + CHECK_BEFORE_CS) / width))))
+    # shots of one clock look at the same frames, which are read once
+    asked = shots.select(*PERIOD, "at").distinct().withColumn("bucket", F.explode(F.sequence(F.floor((F.col("at") - CHECK_AFTER_CS) / width), F.floor((F.col("at") + CHECK_BEFORE_CS) / width))))
     clock = entities.filter("team_id = -1").select(*FRAME, "game_clock_cs")
     ball = ball_rows(entities).join(clock, FRAME).withColumn("bucket", F.floor(F.col("game_clock_cs") / width))
 
@@ -91,9 +92,9 @@ def direction_check(entities: DataFrame, pbp: DataFrame, direction: DataFrame) -
         dx, dy = F.col("bx") - hoop, F.col("by") - HOOP_Y_CFT
         return (F.col("bz") > CHECK_LOW_CFT) & (F.col("bz") < CHECK_HIGH_CFT) & (dx * dx + dy * dy < CHECK_RIM_CFT * CHECK_RIM_CFT)
 
-    near = shots.join(ball, [*PERIOD, "bucket"]).filter((F.col("game_clock_cs") >= F.col("at") - CHECK_AFTER_CS) & (F.col("game_clock_cs") <= F.col("at") + CHECK_BEFORE_CS))
-    hits = near.groupBy(*PERIOD, "event_num", "team_id").agg(F.min(F.when(at(HOOP_LEFT_CFT) | at(HOOP_RIGHT_CFT), F.struct("unix_ms", at(HOOP_LEFT_CFT).alias("left")))).alias("hit"))
-    told = hits.join(direction.select(*PERIOD, "team_id", "attacks_left"), [*PERIOD, "team_id"], "left")
+    near = asked.join(ball, [*PERIOD, "bucket"]).filter((F.col("game_clock_cs") >= F.col("at") - CHECK_AFTER_CS) & (F.col("game_clock_cs") <= F.col("at") + CHECK_BEFORE_CS))
+    hits = near.groupBy(*PERIOD, "at").agg(F.min(F.when(at(HOOP_LEFT_CFT) | at(HOOP_RIGHT_CFT), F.struct("unix_ms", at(HOOP_LEFT_CFT).alias("left")))).alias("hit"))
+    told = shots.join(hits, [*PERIOD, "at"]).join(direction.select(*PERIOD, "team_id", "attacks_left"), [*PERIOD, "team_id"], "left")
     known = F.col("hit").isNotNull() & F.col("attacks_left").isNotNull()
     return told.groupBy("game_id").agg(F.count_if(known).alias("n_shots_rim"), F.count_if(known & (F.col("hit.left") == F.col("attacks_left"))).alias("n_agree"), F.count_if(F.col("hit").isNull()).alias("n_no_rim"))
 
