@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Letters with marks and the plain letters they become; kinds of free throws; suffixes that are no part of a name.
 MARKED = "áàâäãåāčćçďđéèêëēėęíìîïīłñńňóòôöõøōřšśțţťúùûüūýÿžźżğ"
 PLAIN = "aaaaaaacccddeeeeeeeiiiiilnnnooooooorsstttuuuuuyyzzzg"
-FREE_THROW_KINDS = ["technical", "flagrant", "clear path"]
+FREE_THROW = r"(?s)^.*?free throw (technical|flagrant|clear path|) *([0-9]|) *(?:of ([0-9])|)"
 SUFFIXES = ["jr", "sr", "ii", "iii", "iv"]
 
 
@@ -32,14 +32,10 @@ def free_throw(text: Column) -> Column:
     What follows "Free Throw" is read from left to right: a kind, the attempt's digit, and "of" with the trip's digit.
     """
     lower = F.lower(F.coalesce(text, F.lit("")))
-    tail = F.when(lower.contains("free throw "), F.array_join(F.slice(F.split(lower, "free throw "), 2, 1 << 30), "free throw ")).otherwise("")
-    kind = F.lit("")
-    for name in FREE_THROW_KINDS:
-        kind = F.when(tail.startswith(name), name).otherwise(kind)
-    rest = F.ltrim(F.substr(tail, F.length(kind) + 1))
-    n = F.left(rest, F.lit(1)).try_cast("int")
-    trip = F.ltrim(F.when(n.isNull(), rest).otherwise(F.substr(rest, F.lit(2))))
-    of = F.when(trip.startswith("of "), F.substr(trip, F.lit(4), F.lit(1)).try_cast("int"))
+    part = lambda i: F.regexp_extract(lower, FREE_THROW, i)
+    # the code of a digit: a cast that fails, as on most rows, would build an error each time
+    digit = lambda c: F.when(c != "", F.ascii(c) - 48)
+    kind, n, of = part(1), digit(part(2)), digit(part(3))
     return F.struct(kind.alias("kind"), n.alias("n"), of.alias("of"), (~lower.startswith("miss")).alias("made"))
 
 

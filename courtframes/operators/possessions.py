@@ -46,9 +46,10 @@ def _spoken(pbp: DataFrame) -> DataFrame:
     """Ordered rows with team, rival, attempt (a free throw that is no technical), final, and says: who has the ball after."""
     if "p1_is_team" not in pbp.columns:
         pbp = pbp.withColumn("p1_is_team", F.lit(False))
-    ft = free_throw(F.col("description"))
+    # the text is read once, below the windows of the order
+    ft = F.col("__ft")
     game = Window.partitionBy("game_id")
-    rows = order_pbp(pbp).withColumn("team", F.col("p1_team_id").cast("long"))
+    rows = order_pbp(pbp.withColumn("__ft", free_throw(F.col("description")))).withColumn("team", F.col("p1_team_id").cast("long"))
     rows = rows.select("*", F.min("team").over(game).alias("__low"), F.max("team").over(game).alias("__high"))
     two = (F.col("__low") < F.col("__high")) & ~F.max((F.col("team") != F.col("__low")) & (F.col("team") != F.col("__high"))).over(game)
     # with other than two teams nobody is known to get the ball
@@ -156,16 +157,6 @@ def _placed(pbp: DataFrame) -> DataFrame:
     return rows.withColumn("belongs", F.when(F.col("late"), _last(change)).otherwise(F.col("nth")))
 
 
-def _openings(placed: DataFrame) -> DataFrame:
-    """One row per opening: game_id, nth and what is known at once."""
-    first = F.col("nth") - F.size("before") + 1
-    each = F.transform(F.concat("before", "after"), lambda x, i: F.struct((first + i).alias("nth"), x.alias("o")))
-    found = placed.select("game_id", F.explode(each).alias("e")).select("game_id", "e.nth", "e.o.*")
-    order = Window.partitionBy("game_id").orderBy("nth")
-    ended = F.struct(F.lead("ended").over(order).alias("event"), F.coalesce(F.lead("how").over(order), F.lit("game_end")).alias("how"))
-    return found.select("game_id", "nth", "period", "team", "start", "why", ended.alias("end"))
-
-
 def possessions(pbp: DataFrame) -> DataFrame:
     """Possessions of each game in order, with shots, free throws, offensive rebounds, points and the rows that belong to them.
 
@@ -176,17 +167,26 @@ def possessions(pbp: DataFrame) -> DataFrame:
     claim = F.when(_is(JUMP_BALL), F.col("winner")).when(_is(REBOUND) & ~F.col("late"), F.col("team")).otherwise(F.col("needs"))
     points = F.when(_is(MADE) & F.col("team").isNotNull(), F.when(F.col("description").contains("3PT"), 3).otherwise(2)).when(F.col("attempt") & F.col("went_in"), 1).otherwise(0)
     technical = _is(FREE_THROW) & F.col("team").isNotNull() & ~F.col("attempt") & F.col("went_in")
-    rows = placed.select(
-        "game_id", F.col("belongs").alias("nth"), "pos", F.col("event_num").cast("long").alias("event_num"), F.when(~F.col("late"), claim).alias("claim"), _is(JUMP_BALL).alias("tip"), "team",
+    # a row goes to its possession and its openings to theirs in one dealing, so that the windows above are run once
+    fact = F.struct(
+        "pos", F.col("event_num").cast("long").alias("event_num"), F.when(~F.col("late"), claim).alias("claim"), _is(JUMP_BALL).alias("tip"), "team",
         (_is(MADE, MISSED) & F.col("team").isNotNull()).cast("int").alias("fga"), F.col("attempt").cast("int").alias("fta"), points.alias("points"),
         technical.cast("int").alias("technical"), (_is(REBOUND) & ~F.col("late") & (F.col("holder").isNotNull() | F.col("open_basket"))).alias("rebound"),
     )
-    held = rows.groupBy("game_id", "nth").agg(
+    rows = placed.withColumn("__fact", fact)
+    opening, told = (F.lit(None).cast(rows.schema[c].dataType.elementType if c == "before" else rows.schema[c].dataType) for c in ("before", "__fact"))
+    item = lambda nth, o, r: F.struct(nth.cast("long").alias("nth"), o.alias("o"), r.alias("r"))
+    first = F.col("nth") - F.size("before") + 1
+    opened = F.transform(F.concat("before", "after"), lambda o, i: item(first + i, o, told))
+    rows = rows.select("game_id", F.explode(F.concat(F.array(item(F.col("belongs"), opening, F.col("__fact"))), opened)).alias("e")).select("game_id", "e.nth", "e.o", "e.r", "e.r.*")
+    all_ = rows.groupBy("game_id", "nth").agg(
         F.min(F.when(F.col("claim").isNotNull(), F.struct("pos", "claim", "tip"))).alias("claimed"), F.sum("fga").alias("n_fga"), F.sum("fta").alias("n_fta"), F.sum("points").alias("points"),
-        F.sum("technical").alias("technical"), F.array_sort(F.collect_list(F.struct("pos", "event_num"))).alias("events"),
-        F.collect_list(F.when(F.col("rebound"), F.col("team"))).alias("rebounds"), F.collect_list(F.when(F.col("technical") == 1, F.col("team"))).alias("technicals"),
-    )
-    all_ = _openings(placed).join(held, ["game_id", "nth"], "left")
+        F.sum("technical").alias("technical"), F.array_sort(F.collect_list(F.when(F.col("r").isNotNull(), F.struct("pos", "event_num")))).alias("events"),
+        F.collect_list(F.when(F.col("rebound"), F.col("team"))).alias("rebounds"), F.collect_list(F.when(F.col("technical") == 1, F.col("team"))).alias("technicals"), F.first("o", ignorenulls=True).alias("o"),
+    ).filter("o is not null")
+    order = Window.partitionBy("game_id").orderBy("nth")
+    end = F.struct(F.lead("o.ended").over(order).alias("event"), F.coalesce(F.lead("o.how").over(order), F.lit("game_end")).alias("how"))
+    all_ = all_.select("*", *[F.col(f"o.{c}").alias(c) for c in ("period", "team", "start", "why")], end.alias("end"))
     team = F.coalesce("team", "claimed.claim")
     why = F.when(F.col("team").isNull() & F.col("claimed.tip") & (F.col("why") == "period_start"), "jump_ball").otherwise(F.col("why"))
     of_team = lambda c: F.coalesce(F.size(F.filter(c, lambda t: t == F.col("offense_team_id"))), F.lit(0))

@@ -8,10 +8,14 @@ import time
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from courtframes.functions.text import free_throw
+from courtframes.operators import events as ev
 from courtframes.operators import frames as fr
 from courtframes.operators import kernels as kn
 from courtframes.operators import ledger, shot_clock, shots
+from courtframes.operators import possessions as po
 from tests.test_shots import OFF, SHOOTER, _scene
 
 
@@ -69,3 +73,28 @@ def test_imputed_clock_folds_resets_once(spark):
     assert "concat(" not in _plan(found)
     got = {r.unix_ms // 40: r.shot_clock_imputed_cs for r in found.collect()}
     assert (got[0], got[99], got[100], got[110], got[115], got[999]) == (2400, 2400 - 4 * 99, 2400, 2360, 2340, 2360 - 4 * 109)
+
+
+def test_possessions_run_their_windows_once(spark):
+    rows = [("g", 1, 1, 720, 12, 0, None, None, ""), ("g", 2, 1, 700, 1, 1, 100, None, "Layup"), ("g", 3, 1, 680, 3, 1, 200, None, "Free Throw 1 of 1"), ("g", 4, 1, 0, 13, 0, None, None, "")]
+    pbp = spark.createDataFrame(rows, "game_id string, event_num int, period int, pctime_sec int, msg_type int, p1_id long, p1_team_id long, p3_team_id long, description string")
+    found = po.possessions(pbp)
+    assert _plan(found).count("LogicalRDD") == 1
+    assert [(r.poss_seq, r.offense_team_id, r.points, r.end_type) for r in found.orderBy("poss_seq").collect()] == [(0, 100, 2, "made_fg"), (1, 200, 1, "made_ft"), (2, 100, 0, "period_end")][: found.count()] and found.count() >= 2
+
+
+def test_free_throws_are_read_without_failing_casts(spark):
+    texts = ["", "MISS Free Throw 1 of 2", "Free Throw Flagrant 2 of 3", "Free Throw Technical", "free throw Clear Path x of 2", "a Free Throw 1 free throw 2 of 2", "Free Throw of 3"]
+    read = spark.createDataFrame([(t,) for t in texts], "t string").select(free_throw(F.col("t")).alias("f"))
+    assert "try" not in _plan(read).lower()
+    assert [tuple(r.f) for r in read.collect()] == [
+        ("", None, None, True), ("", 1, 2, False), ("flagrant", 2, 3, True), ("technical", None, None, True), ("clear path", None, None, True), ("", 1, None, True), ("", None, 3, True),
+    ]
+
+
+def test_facts_behind_a_release_lay_no_frames_out_by_shot(spark):
+    scene = _scene(spark)
+    shots_ = spark.createDataFrame([("g", e, 1, 1 + e % 2, OFF, SHOOTER, True, 40 * e) for e in range(200)], "game_id string, event_num int, period int, msg_type int, team_id long, shooter_id long, attacks_left boolean, t_release_ms long")
+    held = ev.handler(scene, fr.frame_index(scene))
+    found = shots.after_release(shots_, scene, held)
+    assert "sequence(" not in _plan(found) and found.count() == 200
