@@ -94,8 +94,7 @@ _FLAT = f"select * replace (coalesce(array_to_string(offense_ids, ','), '') as o
 @query("p17_clock_windows", _IN_LENS(_FLAT))
 def _(spark, d):
     """Windows that end at the clock's moment of their row."""
-    found = sh.terminal_times(rim_frames(spark, d), index(spark, d), calls(spark, d), sides(spark, d), refine=False)
-    return _flat(wd.half_court_windows(found, rim_frames(spark, d), index(spark, d), sides(spark, d)))
+    return _flat(clock_windows(spark, d))
 
 
 @query("p17_reject_counts", _IN_LENS("select game_id, outcome, count(*) as n from wout_v group by all"))

@@ -98,3 +98,15 @@ def test_facts_behind_a_release_lay_no_frames_out_by_shot(spark):
     held = ev.handler(scene, fr.frame_index(scene))
     found = shots.after_release(shots_, scene, held)
     assert "sequence(" not in _plan(found) and found.count() == 200
+
+
+def test_moments_by_the_clock_read_no_entities(spark):
+    scene = _scene(spark)
+    index = spark.createDataFrame(fr.frame_index(scene).collect())
+    pbp = spark.createDataFrame([("g", e, 1, 697.0, 1 + e % 2, OFF, SHOOTER) for e in range(3)], "game_id string, event_num int, period int, pctime_sec double, msg_type int, p1_team_id long, p1_id long")
+    side = spark.createDataFrame([("g", OFF, 1, True)], "game_id string, team_id long, period int, attacks_left boolean")
+    found = shots.terminal_times(scene, index, pbp, side, refine=False)
+    # log, sides and index alone
+    assert _plan(found).count("LogicalRDD") == 3
+    times = [r.t_terminal_ms for r in found.orderBy("event_num").collect()]
+    assert times == sorted(set(times)) and times[0] == index.filter("game_clock_cs between 69700 and 69799").orderBy(F.abs(2 * (F.col("game_clock_cs") - 69700) - 100), "unix_ms").first().unix_ms
