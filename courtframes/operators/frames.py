@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtframes.operators.kernels import over, segment
+from courtframes.operators.kernels import dealt, over, segment
 
 ENTITY = ["game_id", "period", "unix_ms", "team_id", "player_id"]
 FRAME = ["game_id", "period", "unix_ms"]
@@ -25,7 +25,7 @@ def dedup_entities(raw: DataFrame) -> DataFrame:
     Rows are dealt by frame, and sorted once; the frame index reuses the dealing.
     """
     first = F.row_number().over(over(ENTITY, ["event_id", "moment_idx"]))
-    return raw.repartition(*FRAME).withColumn("__nth", first).filter("__nth = 1").drop("__nth")
+    return dealt(raw, FRAME).withColumn("__nth", first).filter("__nth = 1").drop("__nth")
 
 
 def frame_index(entities: DataFrame) -> DataFrame:

@@ -15,6 +15,19 @@ def over(keys: list[str], order: list[str | Column]):
     return Window.partitionBy(*keys).orderBy(*order)
 
 
+#: Fixed value: rows that one task sorts, at most and about.
+TASK_ROWS = 1_000_000
+
+
+def dealt(df: DataFrame, keys: list[str], of: DataFrame | None = None, rows: int = TASK_ROWS) -> DataFrame:
+    """df dealt by keys over as many tasks as the rows of `of` (df itself) ask for, so that a task's sort does not grow with the table.
+
+    The rows are counted, which a stored table answers from its footers; give as `of` a table that df is a part of.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-(df if of is None else of).count() // rows)), *keys)
+
+
 def segment(df: DataFrame, keys: list[str], order: list[str], starts: Column, name: str = "segment_id") -> DataFrame:
     """Number of the stretch each row is in; a row where `starts` is true begins a new one, from zero."""
     count = F.sum(F.coalesce(starts, F.lit(False)).cast("int")).over(over(keys, order).rowsBetween(Window.unboundedPreceding, 0))

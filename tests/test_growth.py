@@ -110,3 +110,13 @@ def test_moments_by_the_clock_read_no_entities(spark):
     assert _plan(found).count("LogicalRDD") == 3
     times = [r.t_terminal_ms for r in found.orderBy("event_num").collect()]
     assert times == sorted(set(times)) and times[0] == index.filter("game_clock_cs between 69700 and 69799").orderBy(F.abs(2 * (F.col("game_clock_cs") - 69700) - 100), "unix_ms").first().unix_ms
+
+
+def test_tasks_of_frames_follow_the_rows(spark):
+    rows = spark.range(1000).selectExpr("id % 7 as k", "id as v")
+    assert kn.dealt(rows, ["k"], rows=100).rdd.getNumPartitions() == 10
+    assert kn.dealt(rows.filter("v < 10"), ["k"], of=rows, rows=100).rdd.getNumPartitions() == 10
+    assert kn.dealt(rows, ["k"]).rdd.getNumPartitions() == 4
+    raw = spark.createDataFrame([("g", 1, 40 * i, -1, -1, 0, 0, 0, 72000 - 4 * i, 2400, 1, i) for i in range(50)], "game_id string, period int, unix_ms long, team_id long, player_id long, x_cft int, y_cft int, z_cft int, game_clock_cs int, shot_clock_cs int, event_id int, moment_idx int")
+    # a dealing by number is kept as it is, however small its parts
+    assert "RepartitionByExpression [game_id#" in _plan(fr.dedup_entities(raw)) and ", 4" in next(line for line in _plan(fr.dedup_entities(raw)).splitlines() if "RepartitionByExpression" in line)
