@@ -35,8 +35,13 @@ def ledger(spark, d):
     return stored(spark, d, "ledger_slow", build)
 
 
+def searched(spark, d):
+    return stored(spark, d, "searched_rim", lambda: sh.searched(rim_frames(spark, d), index(spark, d)))
+
+
 def times(spark, d, name="own", **rule):
-    return stored(spark, d, f"terminals_{name}", lambda: sh.terminal_times(rim_frames(spark, d), index(spark, d), calls(spark, d), sides(spark, d), **rule))
+    asked = (lambda: searched(spark, d)) if rule.get("refine", True) else (lambda: None)
+    return stored(spark, d, f"terminals_{name}", lambda: sh.terminal_times(rim_frames(spark, d), index(spark, d), calls(spark, d), sides(spark, d), asked=asked(), **rule))
 
 
 def windows(spark, d, name="own", **rule):
