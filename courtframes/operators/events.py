@@ -37,9 +37,10 @@ def player_rows(entities: DataFrame) -> DataFrame:
 def nearest_players(entities: DataFrame) -> DataFrame:
     """Per frame with a ball: nearest and second nearest player, and the nearest of each of both teams.
 
-    Rows are dealt by frame once; ball, ranks and the result share that dealing.
+    Rows are dealt by frame once, over tasks by their number; ball, ranks and the result share that dealing.
     """
     frame = Window.partitionBy(*FRAME)
+    entities = kn.dealt(entities.select(*FRAME, "team_id", "player_id", "x_cft", "y_cft", "z_cft"), FRAME, entities)
     is_ball = F.col("team_id") == BALL
     ball = [F.max(F.when(is_ball, F.col(c))).over(frame).alias(b) for c, b in (("x_cft", "bx"), ("y_cft", "by"), ("z_cft", "bz"))]
     d = entities.select(*FRAME, "team_id", "player_id", "x_cft", "y_cft", *ball).filter(~is_ball & F.col("bx").isNotNull()).withColumn("d2", _apart2("x_cft", "y_cft", "bx", "by"))
@@ -72,7 +73,7 @@ def handler(entities: DataFrame, index: DataFrame) -> DataFrame:
         (close & F.coalesce(F.col("near_d2") == F.col("second_d2"), F.lit(False))).alias("cand_ambiguous"),
         F.coalesce(held, F.lit(False)).alias("__held"),
     )
-    rows = kn.mark_runs(rows, SEGMENT, ["unix_ms"], ["cand_team"])
+    rows = kn.mark_runs(kn.dealt(rows, SEGMENT, index), SEGMENT, ["unix_ms"], ["cand_team"])
     rows = _spread(rows, "cand_team", lambda t: kn.hysteresis(t, SEGMENT, "cand_team", HOLD, SWITCH), "control")
     of_control = lambda c: F.when(F.col("control") == F.col("team_a"), F.col(f"{c}_a")).when(F.col("control") == F.col("team_b"), F.col(f"{c}_b"))
     own = F.coalesce(F.col("__held") & (of_control("best_d2") <= reach), F.lit(False))
@@ -94,7 +95,7 @@ def _spread(rows: DataFrame, value: str, rule, name: str) -> DataFrame:
 
 def touches(handlers: DataFrame) -> DataFrame:
     """Runs of one handler in a segment."""
-    table = kn.runs(handlers, SEGMENT, "unix_ms", ["handler_id"], F.first("period").alias("period"), F.bool_or("cand_ambiguous").alias("cand_ambiguous"))
+    table = kn.runs(kn.dealt(handlers, SEGMENT), SEGMENT, "unix_ms", ["handler_id"], F.first("period").alias("period"), F.bool_or("cand_ambiguous").alias("cand_ambiguous"))
     return table.filter("handler_id >= 0").select(*SEGMENT, "period", "handler_id", F.col("t_start").alias("t_start_ms"), F.col("t_end").alias("t_end_ms"), F.col("n").alias("n_frames"), "cand_ambiguous")
 
 
@@ -105,8 +106,8 @@ def _at_rim(x: str, y: str, z: str) -> Column:
 
 def flights(handlers: DataFrame, entities: DataFrame, min_frames: int = 2) -> DataFrame:
     """Stretches of a segment in which the ball is there and nobody is a candidate."""
-    rows = handlers.join(ball_rows(entities).drop("bz"), FRAME, "left")
-    rows = rows.withColumn("free", F.col("has_ball") & (F.col("cand_id") < 0))
+    rows = kn.dealt(handlers, FRAME).join(ball_rows(entities).drop("bz"), FRAME, "left")
+    rows = kn.dealt(rows, SEGMENT, handlers).withColumn("free", F.col("has_ball") & (F.col("cand_id") < 0))
     w = kn.over(SEGMENT, ["unix_ms"])
     step = F.hypot(F.col("bx") - F.lag("bx").over(w), F.col("by") - F.lag("by").over(w))
     receiver = F.when((F.col("cand_id") >= 0) & (F.col("handler_id") >= 0), F.struct("handler_id", "unix_ms"))
@@ -134,25 +135,30 @@ def transfers(handlers: DataFrame, entities: DataFrame) -> DataFrame:
     between them without a candidate.  Kind: pass with at least two, else handoff when both stand within
     3 ft at the catch, ambiguous within 5 ft, strip beyond.
     """
-    rows = kn.mark_runs(handlers, SEGMENT, ["unix_ms"], ["handler_id"], "touch")
-    mine = F.when(F.col("cand_id") == F.col("handler_id"), F.col("unix_ms"))
+    rows = kn.mark_runs(kn.dealt(handlers, SEGMENT), SEGMENT, ["unix_ms"], ["handler_id"], "touch")
+    # frames without a candidate are counted along the segment: those between two frames are a difference
+    free = F.coalesce(F.col("has_ball") & (F.col("cand_id") < 0), F.lit(False)).cast("long")
+    rows = rows.withColumn("upto", F.sum(free).over(kn.over(SEGMENT, ["unix_ms"]).rowsBetween(Window.unboundedPreceding, 0))).withColumn("until", F.col("upto") - free)
+    is_mine = F.col("cand_id") == F.col("handler_id")
+    mine = F.when(is_mine, F.col("unix_ms"))
     table = rows.filter("handler_id >= 0").groupBy(*SEGMENT, "touch", "handler_id").agg(
-        F.first("period").alias("period"), F.min("unix_ms").alias("t0"), F.max("unix_ms").alias("t1"), F.max(mine).alias("mine_last"), F.min(mine).alias("mine_first")
+        F.first("period").alias("period"), F.min("unix_ms").alias("t0"), F.max("unix_ms").alias("t1"), F.max(mine).alias("mine_last"), F.min(mine).alias("mine_first"),
+        F.coalesce(F.max(F.when(is_mine, F.col("until"))), F.max("until")).alias("until"), F.coalesce(F.min(F.when(is_mine, F.col("upto"))), F.min("upto")).alias("upto"),
     )
     w = kn.over(SEGMENT, ["touch"])
     nxt = lambda c: F.lead(c).over(w)
     pairs = table.select(
-        *SEGMENT, "period", F.col("handler_id").alias("giver"), nxt("handler_id").alias("taker"), F.coalesce("mine_last", "t1").alias("t_release_ms"), F.coalesce(nxt("mine_first"), nxt("t0")).alias("t_catch_ms")
+        *SEGMENT, "period", F.col("handler_id").alias("giver"), nxt("handler_id").alias("taker"), F.coalesce("mine_last", "t1").alias("t_release_ms"), F.coalesce(nxt("mine_first"), nxt("t0")).alias("t_catch_ms"), (nxt("upto") - F.col("until")).alias("n_free")
     ).filter(F.col("taker").isNotNull() & (F.col("giver") != F.col("taker")))
-    free = handlers.filter(F.col("has_ball") & (F.col("cand_id") < 0)).select(*SEGMENT, "unix_ms")
-    inside = kn.range_join(free, pairs, SEGMENT, "unix_ms", "t_release_ms", "t_catch_ms", 4000).groupBy(*SEGMENT, "t_release_ms").agg(F.count("*").alias("n_free"))
-    out = pairs.join(inside, [*SEGMENT, "t_release_ms"], "left").withColumn("n_free", F.coalesce("n_free", F.lit(0)))
-    players = player_rows(entities)
-    place = lambda who, x: players.select("game_id", "period", F.col("unix_ms").alias("t_catch_ms"), F.col("player_id").alias(who), F.col("x_cft").alias(f"{x}x"), F.col("y_cft").alias(f"{x}y"), F.col("team_id").alias(f"{x}team"))
-    at = ["game_id", "period", "t_catch_ms"]
-    out = out.join(place("giver", "g"), [*at, "giver"], "left").join(place("taker", "t"), [*at, "taker"], "left").withColumn("d2", _apart2("gx", "gy", "tx", "ty"))
+    # both players' places are read from one dealing of the players by frame
+    at = [*PERIOD, "t_catch_ms"]
+    players = player_rows(entities).withColumnRenamed("unix_ms", "t_catch_ms")
+    there = kn.dealt(players, at, entities).join(pairs.select(*at, "giver", "taker"), at).filter("player_id = giver or player_id = taker")
+    place = lambda who, x: F.max(F.when(F.col("player_id") == F.col(who), F.struct(F.col("x_cft").alias("x"), F.col("y_cft").alias("y"), "team_id"))).alias(x)
+    places = there.groupBy(*at, "giver", "taker").agg(place("giver", "g"), place("taker", "t"))
+    out = pairs.join(places, [*at, "giver", "taker"], "left").withColumn("d2", _apart2("g.x", "g.y", "t.x", "t.y"))
     kind = F.when(F.col("n_free") >= 2, "pass").when(F.col("d2") <= 300 * 300, "handoff").when(F.col("d2") <= 500 * 500, "ambiguous").otherwise("strip")
-    return out.select(*SEGMENT, "period", "giver", "taker", "t_release_ms", "t_catch_ms", "n_free", "d2", kind.alias("kind"), (F.col("gteam") == F.col("tteam")).alias("same_team"))
+    return out.select(*SEGMENT, "period", "giver", "taker", "t_release_ms", "t_catch_ms", "n_free", "d2", kind.alias("kind"), (F.col("g.team_id") == F.col("t.team_id")).alias("same_team"))
 
 
 def clock_stops(index: DataFrame, min_ms: int = 200, micro_ms: int = 1000) -> DataFrame:
@@ -228,11 +234,15 @@ def ball_distances(entities: DataFrame) -> DataFrame:
 
 def player_speeds(entities: DataFrame, frames: int = 5) -> DataFrame:
     """Speed in hundredths of a foot per second from smoothed places; null beside holes."""
+    return _with_speed(entities, frames).select(*FRAME, "player_id", "speed")
+
+
+def _with_speed(entities: DataFrame, frames: int = 5) -> DataFrame:
     keys = ["game_id", "player_id", "period"]
-    rows = player_rows(entities)
+    rows = kn.dealt(player_rows(entities), keys, entities)
     for c in ("x_cft", "y_cft"):
         rows = kn.smooth(rows, keys, ["unix_ms"], c, frames)
-    return kn.central_speed(rows, keys, "unix_ms", "x_cft_smooth", "y_cft_smooth", 60).select(*FRAME, "player_id", "speed")
+    return kn.central_speed(rows, keys, "unix_ms", "x_cft_smooth", "y_cft_smooth", 60).drop("x_cft_smooth", "y_cft_smooth")
 
 
 def snapshots(entities: DataFrame, moments: DataFrame) -> DataFrame:
@@ -254,14 +264,18 @@ def approaches(entities: DataFrame, handlers: DataFrame, direction: DataFrame, s
     faster than speed_cft per second; a drive when the player is the handler at its start."""
     keys = ["game_id", "player_id", "period"]
     side = direction.select("game_id", "team_id", "period", "attacks_left")
-    rows = player_rows(entities).join(side, ["game_id", "team_id", "period"], "left")
+    # handlers come to the players first, so that rates and runs share one dealing by player; a frame without handler counts for rates alone
+    state = handlers.select(*FRAME, "segment_id", "handler_id", "control_team_id", F.lit(True).alias("known"))
+    rows = kn.dealt(player_rows(entities), FRAME, entities).join(state, FRAME, "left").join(side, ["game_id", "team_id", "period"], "left")
     hoop = F.when(F.coalesce("attacks_left", F.lit(True)), 525).otherwise(8875)
-    rows = rows.withColumn("dist", F.hypot(F.col("x_cft") - hoop, F.col("y_cft") - 2500))
+    rows = rows.select(
+        *FRAME, "player_id", "segment_id", "known", F.hypot(F.col("x_cft") - hoop, F.col("y_cft") - 2500).alias("dist"),
+        (F.col("control_team_id") == F.col("team_id")).alias("attacks"), (F.col("handler_id") == F.col("player_id")).alias("has_it"),
+    )
     w = kn.over(keys, ["unix_ms"])
     rate = -(F.lead("dist").over(w) - F.lag("dist").over(w)) / ((F.lead("unix_ms").over(w) - F.lag("unix_ms").over(w)) / 1000)
-    rows = rows.withColumn("rate", rate).join(handlers.select(*FRAME, "segment_id", "handler_id", "control_team_id"), FRAME)
-    rows = rows.withColumn("nears", F.coalesce(F.col("rate") > speed_cft, F.lit(False)) & (F.col("control_team_id") == F.col("team_id")))
-    rows = rows.withColumn("has_it", F.col("handler_id") == F.col("player_id"))
+    rows = kn.dealt(rows, keys, entities).withColumn("rate", rate).filter("known")
+    rows = rows.withColumn("nears", F.coalesce(F.col("rate") > speed_cft, F.lit(False)) & F.col("attacks"))
     table = kn.runs(rows, [*keys, "segment_id"], "unix_ms", ["nears"], F.min_by("has_it", "unix_ms").alias("has_it"), F.min_by("dist", "unix_ms").alias("d0"), F.max_by("dist", "unix_ms").alias("d1"))
     kept = table.filter(F.col("nears") & (F.col("n") >= frames) & (~F.col("has_it") | (F.col("d0") >= 1000)))
     return kept.select("game_id", "period", "segment_id", "player_id", F.col("t_start").alias("t_start_ms"), F.col("t_end").alias("t_end_ms"), F.col("n").alias("n_frames"), F.when(F.col("has_it"), "drive").otherwise("cut").alias("kind"))
@@ -270,18 +284,32 @@ def approaches(entities: DataFrame, handlers: DataFrame, direction: DataFrame, s
 def screens(entities: DataFrame, handlers: DataFrame, slow_cft: int = 600, near_cft: int = 600, user_cft: int = 800, frames: int = 5) -> DataFrame:
     """Set screens: a slow player of the team in control, other than the handler, stands within near_cft of
     the nearest opponent of a team-mate within user_cft, for at least `frames` frames of a segment."""
-    slow = player_speeds(entities).filter(F.col("speed") < slow_cft).select(*FRAME, F.col("player_id").alias("s"))
-    control = handlers.select(*FRAME, "segment_id", "handler_id", F.col("control_team_id").alias("team_id")).filter("team_id >= 0")
-    players = player_rows(entities)
-    own = players.join(control, [*FRAME, "team_id"])
-    screeners = own.join(slow, (own["player_id"] == slow["s"]) & (own["game_id"] == slow["game_id"]) & (own["period"] == slow["period"]) & (own["unix_ms"] == slow["unix_ms"])).filter("s <> handler_id")
-    screeners = screeners.select(*[own[c] for c in FRAME], "segment_id", "team_id", "s", F.col("x_cft").alias("sx"), F.col("y_cft").alias("sy"))
-    users = own.select(*FRAME, F.col("player_id").alias("u"), F.col("x_cft").alias("ux"), F.col("y_cft").alias("uy"))
-    pairs = screeners.join(users, FRAME).filter("s <> u").filter(_apart2("sx", "sy", "ux", "uy") <= user_cft * user_cft)
-    foes = players.select(*FRAME, F.col("team_id").alias("foe_team"), F.col("player_id").alias("d"), F.col("x_cft").alias("dx"), F.col("y_cft").alias("dy"))
-    near = pairs.join(foes, FRAME).filter("foe_team <> team_id")
-    near = near.groupBy(*FRAME, "segment_id", "s", "u").agg(F.min(F.struct(_apart2("ux", "uy", "dx", "dy").alias("d2"), "d", _apart2("sx", "sy", "dx", "dy").alias("sd2"))).alias("f"))
-    near = near.filter(F.col("f.sd2") <= near_cft * near_cft).select(*FRAME, "segment_id", "s", "u", "f.d", "f.sd2")
+    return screen_runs(screen_pairs(entities, handlers, slow_cft, near_cft, user_cft), slow_cft, frames)
+
+
+def screen_pairs(entities: DataFrame, handlers: DataFrame, slow_cft: int = 600, near_cft: int = 600, user_cft: int = 800) -> DataFrame:
+    """Frames in which a player s stands as in a screen for u by u's nearest opponent d, with the speed of s and the squared distance of s and d.
+
+    A frame's players are one list, so screener, user and opponents meet in it without joins.
+    """
+    one = F.struct("team_id", "player_id", "x_cft", "y_cft", "speed")
+    people = kn.dealt(_with_speed(entities), FRAME, entities).groupBy(*FRAME).agg(F.collect_list(one).alias("people"))
+    control = handlers.filter("control_team_id >= 0").select(*FRAME, "segment_id", "handler_id", F.col("control_team_id").alias("team_id"))
+    rows = people.join(control, FRAME)
+    apart2 = lambda a, b: (a["x_cft"] - b["x_cft"]) * (a["x_cft"] - b["x_cft"]) + (a["y_cft"] - b["y_cft"]) * (a["y_cft"] - b["y_cft"])
+    own = F.filter("people", lambda p: p["team_id"] == F.col("team_id"))
+    screener = F.filter("own", lambda p: (p["speed"] < slow_cft) & (p["player_id"] != F.col("handler_id")))
+    rows = rows.withColumns({"own": own, "foes": F.filter("people", lambda p: p["team_id"] != F.col("team_id"))}).drop("people")
+    rows = rows.withColumn("ps", F.explode(screener))
+    rows = rows.withColumn("pu", F.explode(F.filter("own", lambda p: (p["player_id"] != F.col("ps.player_id")) & (apart2(F.col("ps"), p) <= user_cft * user_cft))))
+    foe = F.array_min(F.transform("foes", lambda p: F.struct(apart2(F.col("pu"), p).alias("d2"), p["player_id"].alias("d"), apart2(F.col("ps"), p).alias("sd2"))))
+    near = rows.select(*FRAME, "segment_id", F.col("ps.player_id").alias("s"), F.col("pu.player_id").alias("u"), F.col("ps.speed").alias("speed"), foe.alias("f"))
+    return near.filter(F.col("f.sd2") <= near_cft * near_cft).select(*FRAME, "segment_id", "s", "u", "f.d", "f.sd2", "speed")
+
+
+def screen_runs(pairs: DataFrame, slow_cft: int = 600, frames: int = 5) -> DataFrame:
+    """Stretches of the pairs whose screener is slower than slow_cft, of at least `frames` frames."""
+    near = pairs.filter(F.col("speed") < slow_cft)
     keys = ["game_id", "segment_id", "s", "u", "d"]
     w = kn.over(keys, ["unix_ms"])
     starts = F.lag("unix_ms").over(w).isNull() | (F.col("unix_ms") - F.lag("unix_ms").over(w) > 60)
@@ -295,15 +323,18 @@ def postups(entities: DataFrame, handlers: DataFrame, direction: DataFrame, fram
 
     The defender is the most frequent nearest opponent of the run, the least id of equals.
     """
-    players = player_rows(entities)
-    me = players.join(handlers.select(*FRAME, "segment_id", "handler_id"), FRAME).filter("player_id = handler_id")
-    me = me.join(player_speeds(entities), [*FRAME, "player_id"]).join(direction.select("game_id", "team_id", "period", "attacks_left"), ["game_id", "team_id", "period"], "left")
+    # the handler is laid beside all players of the frame, which are dealt by frame once
+    held = handlers.filter("handler_id <> -1").select(*FRAME, "segment_id", F.col("handler_id").alias("holder"))
+    rows = kn.dealt(player_rows(entities), FRAME, entities).join(held, FRAME)
+    own = F.struct("team_id", "x_cft", "y_cft")
+    rows = rows.withColumn("me", F.max(F.when(F.col("player_id") == F.col("holder"), own)).over(Window.partitionBy(*FRAME))).filter(F.col("me.team_id") != F.col("team_id"))
+    near = rows.groupBy(*FRAME, "segment_id", F.col("holder").alias("player_id"), F.col("me.team_id").alias("team_id"), F.col("me.x_cft").alias("mx"), F.col("me.y_cft").alias("my")).agg(
+        F.min(F.struct(_apart2("me.x_cft", "me.y_cft", "x_cft", "y_cft").alias("d2"), F.col("player_id").alias("foe"))).alias("f")
+    )
+    near = near.filter(F.col("f.d2") <= 400 * 400).join(direction.select("game_id", "team_id", "period", "attacks_left"), ["game_id", "team_id", "period"], "left")
     hoop = F.when(F.coalesce("attacks_left", F.lit(True)), 525).otherwise(8875)
-    close = (F.col("x_cft") - hoop) * (F.col("x_cft") - hoop) + (F.col("y_cft") - 2500) * (F.col("y_cft") - 2500) <= 1800 * 1800
-    me = me.filter(close & (F.col("speed") < 400)).select(*FRAME, "segment_id", "team_id", "player_id", F.col("x_cft").alias("mx"), F.col("y_cft").alias("my"))
-    foes = players.select(*FRAME, F.col("team_id").alias("foe_team"), F.col("player_id").alias("foe"), F.col("x_cft").alias("fx"), F.col("y_cft").alias("fy"))
-    near = me.join(foes, FRAME).filter("foe_team <> team_id").groupBy(*FRAME, "segment_id", "player_id").agg(F.min(F.struct(_apart2("mx", "my", "fx", "fy").alias("d2"), "foe")).alias("f"))
-    near = near.filter(F.col("f.d2") <= 400 * 400)
+    near = near.filter((F.col("mx") - hoop) * (F.col("mx") - hoop) + (F.col("my") - 2500) * (F.col("my") - 2500) <= 1800 * 1800)
+    near = near.join(player_speeds(entities).filter("speed < 400"), [*FRAME, "player_id"])
     keys = ["game_id", "segment_id", "player_id"]
     gap = F.col("unix_ms") - F.lag("unix_ms").over(kn.over(keys, ["unix_ms"]))
     marked = kn.segment(near.withColumn("__new", gap.isNull() | (gap > 60)), keys, ["unix_ms"], F.col("__new"), "run_id")
@@ -385,7 +416,7 @@ def incomplete_passes(found: DataFrame, handlers: DataFrame) -> DataFrame:
     lost = found.filter(F.col("from_id").isNotNull() & F.col("to_id").isNull() & ~F.col("reaches_rim"))
     lost = lost.select(*SEGMENT, "period", F.col("from_id").alias("giver"), F.col("t_start_ms").alias("unix_ms"), "t_end_ms", "ends_segment")
     mine = handlers.filter("cand_id >= 0").select(*SEGMENT, F.col("cand_id").alias("giver"), "unix_ms", F.lit(True).alias("__c"))
-    rows = kn.asof(lost, mine, [*SEGMENT, "giver"], "unix_ms", ["__c"]).withColumn("t_release_ms", F.coalesce("match_unix_ms", "unix_ms"))
+    rows = kn.asof(lost, mine, [*SEGMENT, "giver"], "unix_ms", ["__c"], of=handlers).withColumn("t_release_ms", F.coalesce("match_unix_ms", "unix_ms"))
     first = F.min_by(F.struct("period", F.col("unix_ms").alias("t_start_ms"), "t_end_ms", "ends_segment"), "unix_ms").alias("f")
     return rows.groupBy(*SEGMENT, "giver", "t_release_ms").agg(first).select(*SEGMENT, "giver", "t_release_ms", "f.*")
 

@@ -110,11 +110,12 @@ def central_speed(df: DataFrame, keys: list[str], time: str, x: str, y: str, max
     return df.withColumn(name, F.when(near, way / ((there(time) - back(time)) / 1000)))
 
 
-def asof(left: DataFrame, right: DataFrame, keys: list[str], time: str, values: list[str], forward: bool = False, tolerance: int | None = None) -> DataFrame:
+def asof(left: DataFrame, right: DataFrame, keys: list[str], time: str, values: list[str], forward: bool = False, tolerance: int | None = None, of: DataFrame | None = None) -> DataFrame:
     """left with the values of the latest right row at or before (forward: first at or after) its time.
 
     One union and one window per key, no range join; right rows of equal time must be unique by key and
-    time.  right's own time comes as match_<time>; beyond the tolerance all are null.
+    time.  right's own time comes as match_<time>; beyond the tolerance all are null.  With `of`, a table that both sides are
+    about parts of, rows are dealt over tasks by its number of rows.
     """
     extra = [c for c in left.columns if c not in keys + [time]]
     side = left.select(*keys, time, F.struct(*[F.col(c) for c in extra]).alias("__left"), F.lit(None).cast(right.select(F.struct(time, *values)).schema[0].dataType).alias("__right"), F.lit(1).alias("__side"))
@@ -122,7 +123,8 @@ def asof(left: DataFrame, right: DataFrame, keys: list[str], time: str, values:
     # forward reads the key backwards: a frame that ends at the last row would be read anew for each row
     w = over(keys, [F.desc(time), F.desc("__side")] if forward else [time, "__side"])
     found = F.last("__right", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    out = side.unionByName(other).withColumn("__found", found).filter("__side = 1")
+    rows = side.unionByName(other)
+    out = (rows if of is None else dealt(rows, keys, of)).withColumn("__found", found).filter("__side = 1")
     if tolerance is not None:
         gap = F.abs(F.col("__found")[time] - F.col(time))
         out = out.withColumn("__found", F.when(gap <= tolerance, F.col("__found")))
