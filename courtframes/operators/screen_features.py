@@ -25,7 +25,7 @@ SCREEN = [*PERIOD, "s", "u", "d", "t_contact_ms"]
 def motion(entities: DataFrame, frames: int = 5) -> DataFrame:
     """Player rows with smoothed places mx, my and, away from holes, central velocities vx, vy and speed, in hundredths of a foot (a second)."""
     keys = ["game_id", "player_id", "period"]
-    rows = player_rows(entities)
+    rows = kn.dealt(player_rows(entities), keys, entities)
     for c, name in (("x_cft", "mx"), ("y_cft", "my")):
         rows = kn.smooth(rows, keys, ["unix_ms"], c, frames, name=name)
     w = kn.over(keys, ["unix_ms"])
@@ -59,12 +59,18 @@ def _around(found: DataFrame, entities: DataFrame, handlers: DataFrame) -> DataF
 
     Frames are made whole first, about ten players in a list, so a screen meets some 125 rows and not ten times as many.
     """
+    width = BEFORE_MS + AFTER_MS
+    bucket = F.floor(F.col("unix_ms") / width)
+    deal = [*PERIOD, "__bucket"]
+    # players and the state of a frame are dealt by stretch of time once; frames are made and screens found in that dealing
     own = F.struct("player_id", "team_id", "x_cft", "y_cft", "mx", "my", "vx", "vy", "speed")
-    frames = motion(entities).groupBy(*FRAME).agg(F.collect_list(own).alias("players"))
-    state = handlers.select(*FRAME, F.col("segment_id").alias("segment"), "handler_id", (F.col("has_ball") & (F.col("cand_id") < 0)).alias("free"))
-    frames = frames.join(state, FRAME, "left")
+    state = F.struct(F.col("segment_id").alias("segment"), "handler_id", (F.col("has_ball") & (F.col("cand_id") < 0)).alias("free"))
+    parts = motion(entities).select(*FRAME, own.alias("player"), F.lit(None).alias("state")).unionByName(handlers.select(*FRAME, F.lit(None).alias("player"), state.alias("state")))
+    frames = kn.dealt(parts.withColumn("__bucket", bucket), deal, entities).groupBy(*FRAME, "__bucket").agg(F.collect_list("player").alias("players"), F.max("state").alias("state"))
+    frames = frames.filter(F.size("players") > 0).select(*FRAME, "__bucket", "players", "state.*")
     spans = found.select(*SCREEN).withColumns({"__lo": F.col("t_contact_ms") - BEFORE_MS, "__hi": F.col("t_contact_ms") + AFTER_MS})
-    rows = kn.range_join(frames, spans, PERIOD, "unix_ms", "__lo", "__hi", BEFORE_MS + AFTER_MS)
+    spans = spans.withColumn("__bucket", F.explode(F.sequence(F.floor(F.col("__lo") / width), F.floor(F.col("__hi") / width))))
+    rows = frames.join(spans, deal).filter("unix_ms between __lo and __hi").drop("__bucket", "__lo", "__hi")
     one = lambda who: F.get(F.filter("players", lambda p: p["player_id"] == F.col(who)), F.lit(0))
     rows = rows.withColumns({"ps": one("s"), "pu": one("u"), "pd": one("d")})
     apart2 = lambda p, q: (p["x_cft"] - q["x_cft"]) * (p["x_cft"] - q["x_cft"]) + (p["y_cft"] - q["y_cft"]) * (p["y_cft"] - q["y_cft"])

@@ -269,7 +269,8 @@ def _(spark, d):
     own = stored(spark, d, "frames_screen", lambda: spark_view(spark, d, FRAMES_SCREEN))
     held = stored(spark, d, "handlers_screen", lambda: ev.handler(own, index(spark, d)))
     columns = ["game_id", "period", "s", "u", "d", "t_contact_ms", "t_start_ms"]
-    found = stored(spark, d, "screens_screen", lambda: ev.screens(own, held).select(*columns).unionByName(sc.moving_screens(own, held).select(*columns)).distinct())
+    pairs = stored(spark, d, "screen_pairs_screen", lambda: ev.screen_pairs(own, held, sc.MOVING_CFT))
+    found = stored(spark, d, "screens_screen", lambda: ev.screen_runs(pairs, sc.SET_CFT).select(*columns).unionByName(sc.moving_screens(own, held, pairs=pairs).select(*columns)).distinct())
     sides = stored(spark, d, "direction_screen", lambda: fr.attack_direction(own, pbp(spark, d)))
     rows = sf.screen_features(found, own, held, sides)
     return rows.withColumns({c: F.round(c, 3) + F.lit(0.0) for c in _MEASURED})
