@@ -120,3 +120,42 @@ def test_tasks_of_frames_follow_the_rows(spark):
     raw = spark.createDataFrame([("g", 1, 40 * i, -1, -1, 0, 0, 0, 72000 - 4 * i, 2400, 1, i) for i in range(50)], "game_id string, period int, unix_ms long, team_id long, player_id long, x_cft int, y_cft int, z_cft int, game_clock_cs int, shot_clock_cs int, event_id int, moment_idx int")
     # a dealing by number is kept as it is, however small its parts
     assert "RepartitionByExpression [game_id#" in _plan(fr.dedup_entities(raw)) and ", 4" in next(line for line in _plan(fr.dedup_entities(raw)).splitlines() if "RepartitionByExpression" in line)
+
+
+def _dealings(df: DataFrame) -> int:
+    return _plan(df).count("RepartitionByExpression")
+
+
+def test_steps_of_handlers_are_dealt_by_their_rows(spark):
+    scene = _scene(spark)
+    index = fr.frame_index(scene)
+    made = ev.handler(scene, index)
+    held = spark.createDataFrame(made.collect(), made.schema)
+    side = spark.createDataFrame([("g", OFF, 1, True)], "game_id string, team_id long, period int, attacks_left boolean")
+    assert _dealings(made) == 2
+    assert _dealings(ev.touches(held)) == 1 and _dealings(ev.flights(held, scene)) == 2
+    assert _dealings(ev.incomplete_passes(ev.flights(held, scene), held)) == 3
+    # frames between release and catch are counted along the segment, and both places come from one dealing of players; touches are read for both sides
+    moves = _plan(ev.transfers(held, scene))
+    assert "explode" not in moves and moves.count("RepartitionByExpression") == 3 and moves.count("Join") == 2
+    assert _dealings(ev.approaches(scene, held, side)) == 2 and _dealings(ev.postups(scene, held, side)) == 2
+
+
+def test_screens_meet_in_one_list_of_players(spark):
+    scene = _scene(spark)
+    made = ev.handler(scene, fr.frame_index(scene))
+    held = spark.createDataFrame(made.collect(), made.schema)
+    plan = _plan(ev.screens(scene, held))
+    assert plan.count("Join") == 1 and plan.count("RepartitionByExpression") == 2
+
+
+def test_rules_of_release_read_one_stored_search(spark):
+    scene = _scene(spark)
+    index = fr.frame_index(scene)
+    pbp = spark.createDataFrame([("g", e, 1, 697.0, 1 + e % 2, OFF, SHOOTER) for e in range(40)], "game_id string, event_num int, period int, pctime_sec double, msg_type int, p1_team_id long, p1_id long")
+    side = spark.createDataFrame([("g", OFF, 1, True)], "game_id string, team_id long, period int, attacks_left boolean")
+    asked = shots.searched(scene, index).cache()
+    for rule in ({}, {"shooter_only": True}):
+        own = shots.terminal_times(scene, index, pbp, side, **rule).collect()
+        found = shots.terminal_times(scene, index, pbp, side, asked=asked, **rule).collect()
+        assert sorted(map(str, own)) == sorted(map(str, found)) and own
